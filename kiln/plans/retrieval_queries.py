@@ -1 +1,294 @@
-"""Queries (filled in below)."""
+"""Retrieval queries on ``pages``, ``documents``, ``embeddings`` and
+``conversations``.
+
+Bindings: the vector collection of the ``embeddings`` table types a vector
+as text when ``label`` is even (its document is the ``documents`` row with
+the same id) and as image otherwise (page = vec_id div 4 + 1, index =
+vec_id mod 4).  The retrieval-augmented answers search a second
+collection: every document embedded by the hashed text encoder, queried by
+every user turn of ``conversations``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.vectors import norm
+from ..operators import retrieval as R
+from ..tables import table
+from .registry import q, register
+
+K_TOP = 5
+K_RAG = 3
+BUDGET = 2000
+DIMS = 64
+
+
+def _d6(c):
+    # + 0.0 turns -0.0 into 0.0 so both engines hash the same value
+    return F.round(c, 6) + F.lit(0.0)
+
+
+# ---- pages -------------------------------------------------------------------
+
+def _html_text_sql(col: str) -> str:
+    t = f"regexp_replace({col}, {q(R.DROP_BLOCKS)}, ' ', 'g')"
+    t = f"regexp_replace({t}, {q(R.TAG)}, ' ', 'g')"
+    for ent, ch in R.ENTITIES:
+        t = f"replace({t}, {q(ent)}, {q(ch)})"
+    t = f"regexp_replace({t}, {q(R.BLANKS)}, ' ', 'g')"
+    from .curation_queries import strip_sql
+    return strip_sql(t)
+
+
+@register("extract_page_text", sql=f"""
+SELECT page_id, text FROM (SELECT page_id, {_html_text_sql('html')} AS text FROM pages) WHERE text <> ''""")
+def extract_page_text(spark, sf):
+    return R.extract_page_text(table(spark, sf, "pages"))
+
+
+@register("extract_page_images", sql=f"""
+SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS index, unnest(l) AS src
+FROM (SELECT page_id, regexp_extract_all(html, {q(R.IMG_SRC)}, 1) AS l FROM pages)""")
+def extract_page_images(spark, sf):
+    return R.extract_page_images(table(spark, sf, "pages"))
+
+
+# ---- hashed embeddings -------------------------------------------------------
+
+def hash_weights_sql(name: str, src: str, id_col: str, text_col: str) -> str:
+    """CTEs ``{name}_w(id, bucket, weight)`` and ``{name}_e(id, emb FLOAT[])``."""
+    return f"""
+ {name}_t AS (SELECT {id_col} AS id, unnest(regexp_extract_all(lower({text_col}), {q(R.TOKEN)})) AS tok FROM {src}),
+ {name}_h AS (SELECT id, ('0x' || substr(md5(tok), 1, 8))::BIGINT AS h FROM {name}_t),
+ {name}_s AS (SELECT id, CAST(h % {DIMS} AS INTEGER) AS bucket,
+                sum(CASE WHEN (h // {DIMS}) % 2 = 0 THEN 1 ELSE -1 END) AS v FROM {name}_h GROUP BY 1, 2),
+ {name}_n AS (SELECT id, sqrt(sum(CAST(v AS DOUBLE) * v)) AS n FROM {name}_s WHERE v <> 0 GROUP BY id),
+ {name}_w AS (SELECT s.id, s.bucket, s.v / n.n AS weight FROM {name}_s s JOIN {name}_n n USING (id) WHERE s.v <> 0),
+ {name}_e AS (SELECT i.id, list(CAST(coalesce(w.weight, 0) AS FLOAT) ORDER BY b.bucket) AS emb
+              FROM (SELECT DISTINCT {id_col} AS id FROM {src}) i CROSS JOIN (SELECT range AS bucket FROM range({DIMS})) b
+              LEFT JOIN {name}_w w ON w.id = i.id AND w.bucket = b.bucket GROUP BY i.id)"""
+
+
+@register("embed_text_hash", sql="WITH " + hash_weights_sql("dh", "documents", "doc_id", "text") + """
+SELECT id AS doc_id, bucket, round(weight, 6) AS weight FROM dh_w""")
+def embed_text_hash(spark, sf):
+    w = R.hashed_token_weights(table(spark, sf, "documents"), "doc_id", "text", DIMS)
+    return w.select("doc_id", "bucket", _d6(F.col("weight")).alias("weight"))
+
+
+# ---- vector ids and the collection --------------------------------------------
+
+def vector_id_sql(prefix: str, index: str, source: str) -> str:
+    h = f"('0x' || substr(md5(CAST({source} AS VARCHAR) || CAST({index} AS VARCHAR) || '{prefix}'), 1, 8))::BIGINT"
+    return f"('{prefix}_' || CAST({index} AS VARCHAR) || '_' || CAST({h} % 1000000 AS VARCHAR))"
+
+
+@register("make_vector_id", sql=f"SELECT doc_id, {vector_id_sql('text', 'doc_id', 'source')} AS id FROM documents")
+def make_vector_id(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", R.make_vector_id("text", F.col("doc_id"), F.col("source")).alias("id"))
+
+
+def text_blocks_with_vectors(spark, sf):
+    e = table(spark, sf, "embeddings").where(F.pmod(F.col("label"), F.lit(2)) == 0)
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "source", "text")
+    return e.join(d, "vec_id").withColumn("page", F.lit(1))
+
+
+def text_vectors(spark, sf):
+    return R.text_vectors(text_blocks_with_vectors(spark, sf), "vec_id", "source", "page", "text", "embedding")
+
+
+def image_vectors(spark, sf):
+    e = table(spark, sf, "embeddings").where(F.pmod(F.col("label"), F.lit(2)) == 1)
+    imgs = e.select("vec_id", "embedding", F.lit("embeddings").alias("source"),
+                    (F.floor(F.col("vec_id") / 4) + 1).alias("page"), F.pmod("vec_id", F.lit(4)).alias("img"))
+    return R.image_vectors(imgs, "vec_id", "source", "page", "img", "embedding")
+
+
+TEXT_VEC_SQL = f"""
+ tv AS (SELECT {vector_id_sql('text', 'e.vec_id', 'd.source')} AS id, d.text AS document, 'text' AS type,
+           1 AS page, d.source AS source, CAST(NULL AS INTEGER) AS image_index
+        FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id WHERE e.label % 2 = 0)"""
+IMAGE_VEC_SQL = f"""
+ iv AS (SELECT {vector_id_sql('image', 'vec_id', "'embeddings'")} AS id,
+           'Image from page ' || CAST(vec_id // 4 + 1 AS VARCHAR) || ', index ' || CAST(vec_id % 4 AS VARCHAR) AS document,
+           'image' AS type, CAST(vec_id // 4 + 1 AS INTEGER) AS page, 'embeddings' AS source,
+           CAST(vec_id % 4 AS INTEGER) AS image_index
+        FROM embeddings WHERE label % 2 = 1)"""
+COLS = ["id", "document", "type", "page", "source"]
+
+
+@register("store_text_vectors", sql="WITH " + TEXT_VEC_SQL + "\nSELECT id, document, type, page, source FROM tv")
+def store_text_vectors(spark, sf):
+    return text_vectors(spark, sf).select(*COLS)
+
+
+@register("store_image_vectors", sql="WITH " + IMAGE_VEC_SQL +
+          "\nSELECT id, document, type, page, source, image_index FROM iv")
+def store_image_vectors(spark, sf):
+    return image_vectors(spark, sf).select(*COLS, "image_index")
+
+
+@register("build_collection", sql="WITH " + TEXT_VEC_SQL + "," + IMAGE_VEC_SQL +
+          "\nSELECT id, document, type, page, source, image_index FROM tv UNION ALL SELECT * FROM iv")
+def build_collection(spark, sf):
+    return R.build_collection(text_vectors(spark, sf), image_vectors(spark, sf)).select(*COLS, "image_index")
+
+
+@register("collection_count", sql="WITH " + TEXT_VEC_SQL + "," + IMAGE_VEC_SQL + """
+SELECT type, count(*) AS cnt FROM (SELECT type FROM tv UNION ALL SELECT type FROM iv) GROUP BY type""")
+def collection_count(spark, sf):
+    c = R.build_collection(text_vectors(spark, sf), image_vectors(spark, sf))
+    return c.groupBy("type").agg(F.count("*").alias("cnt"))
+
+
+# ---- nearest neighbours on the embeddings table ---------------------------------
+
+def _dist_sql(a: str, b: str) -> str:
+    return (f"(1 - list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])) / "
+            f"(sqrt(list_dot_product(CAST({a} AS DOUBLE[]), CAST({a} AS DOUBLE[]))) * "
+            f"sqrt(list_dot_product(CAST({b} AS DOUBLE[]), CAST({b} AS DOUBLE[])))))")
+
+
+def _topk_sql(where: str) -> str:
+    return f"""
+WITH qv AS (SELECT embedding AS qe FROM embeddings WHERE vec_id = 0),
+ d AS (SELECT vec_id, {_dist_sql('e.embedding', 'qv.qe')} AS distance FROM embeddings e, qv WHERE {where})
+SELECT CAST(row_number() OVER (ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, round(distance, 6) + 0.0 AS distance
+FROM d ORDER BY distance, vec_id LIMIT {K_TOP}"""
+
+
+def _query_vec(spark, sf):
+    row = table(spark, sf, "embeddings").where(F.col("vec_id") == 0).select("embedding").first()
+    return list(row[0])
+
+
+@register("knn_topk", sql=_topk_sql("true"))
+def knn_topk(spark, sf):
+    e = table(spark, sf, "embeddings")
+    r = R.knn_topk(e, _query_vec(spark, sf), K_TOP, id_col="vec_id")
+    return r.select("rank", "vec_id", _d6(F.col("distance")).alias("distance"))
+
+
+@register("knn_filtered", sql=_topk_sql("e.label % 2 = 0"))
+def knn_filtered(spark, sf):
+    e = table(spark, sf, "embeddings")
+    r = R.knn_topk(e, _query_vec(spark, sf), K_TOP, id_col="vec_id", where=F.pmod(F.col("label"), F.lit(2)) == 0)
+    return r.select("rank", "vec_id", _d6(F.col("distance")).alias("distance"))
+
+
+@register("knn_join", sql=f"""
+WITH d AS (SELECT a.vec_id AS query_id, b.vec_id, {_dist_sql('a.embedding', 'b.embedding')} AS distance
+           FROM embeddings a, embeddings b),
+ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), vec_id) AS rank FROM d)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) + 0.0 AS distance FROM r WHERE rank <= {K_TOP}""")
+def knn_join(spark, sf):
+    e = table(spark, sf, "embeddings")
+    r = R.knn_join(e.select(F.col("vec_id").alias("query_id"), "embedding"), e, K_TOP,
+                   query_id="query_id", id_col="vec_id")
+    return r.select("query_id", "rank", "vec_id", _d6(F.col("distance")).alias("distance"))
+
+
+# ---- retrieval-augmented answers over documents ------------------------------------
+
+def _nonzero(c="embedding"):
+    return norm(F.col(c)) > 0
+
+
+def doc_collection(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    e = R.embed_text_hash(d, "doc_id", "text", DIMS).withColumn("page", F.lit(1))
+    return R.text_vectors(e, "doc_id", "source", "page", "text", "embedding").where(_nonzero())
+
+
+def user_questions(spark, sf):
+    c = (table(spark, sf, "conversations").where(F.col("role") == "user")
+         .select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "conv_id", "turn",
+                 F.col("text").alias("question")))
+    return R.embed_text_hash(c, "query_id", "question", DIMS)
+
+
+def rag_results(spark, sf):
+    coll = doc_collection(spark, sf)
+    qs = user_questions(spark, sf)
+    top = R.knn_join(qs.where(_nonzero()), coll, K_RAG, query_id="query_id", id_col="id")
+    return qs, top.join(coll.select("id", "document", "type", "page"), "id")
+
+
+def rag_context_df(spark, sf):
+    qs, res = rag_results(spark, sf)
+    return qs, R.rag_context(qs, res, "query_id", BUDGET)
+
+
+RAG_SQL = "WITH " + hash_weights_sql("dh", "documents", "doc_id", "text") + "," + hash_weights_sql(
+    "uh", "(SELECT conv_id || ':' || turn AS qid, text FROM conversations WHERE role = 'user')", "qid", "text") + f""",
+ coll AS (SELECT {vector_id_sql('text', 'd.doc_id', 'd.source')} AS id, d.text AS document, 'text' AS type, 1 AS page,
+            e.emb FROM documents d JOIN dh_e e ON e.id = d.doc_id
+          WHERE list_dot_product(CAST(e.emb AS DOUBLE[]), CAST(e.emb AS DOUBLE[])) > 0),
+ qs AS (SELECT conv_id || ':' || turn AS query_id, conv_id, turn, text AS question FROM conversations WHERE role = 'user'),
+ qe AS (SELECT id AS query_id, emb FROM uh_e WHERE list_dot_product(CAST(emb AS DOUBLE[]), CAST(emb AS DOUBLE[])) > 0),
+ pairs AS (SELECT qe.query_id, coll.id, coll.document, coll.type, coll.page,
+             round({_dist_sql('qe.emb', 'coll.emb')}, 12) AS distance FROM qe, coll),
+ ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
+            WHERE rank <= {K_RAG}),
+ pieces AS (SELECT *, (CASE WHEN type = 'text' THEN '[Text from page ' ELSE '[Image from page ' END) || CAST(page AS VARCHAR)
+               || ', relevance: ' || printf('%.2f', 1.0 - distance) || ']' || chr(10) || document || chr(10) AS piece FROM ranked),
+ kept AS (SELECT * FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY query_id ORDER BY rank
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM pieces) WHERE run <= {BUDGET}),
+ ctx AS (SELECT q.query_id, CASE WHEN NOT EXISTS (SELECT 1 FROM ranked r WHERE r.query_id = q.query_id)
+                     THEN {q(R.NO_CONTEXT)}
+                     ELSE coalesce((SELECT string_agg(piece, chr(10) || '---' || chr(10) ORDER BY rank) FROM kept k
+                                    WHERE k.query_id = q.query_id), '') END AS context FROM qs q)"""
+
+
+@register("rag_context", sql=RAG_SQL + "\nSELECT query_id, context FROM ctx")
+def rag_context(spark, sf):
+    return rag_context_df(spark, sf)[1]
+
+
+@register("build_rag_messages", sql=RAG_SQL + f"""
+SELECT query_id, 0 AS pos, 'system' AS role, {q(R.SYSTEM_PREFIX)} || context AS content FROM ctx
+UNION ALL SELECT query_id, 1, 'user', question FROM qs""")
+def build_rag_messages(spark, sf):
+    qs, ctx = rag_context_df(spark, sf)
+    return R.rag_messages(ctx, qs, "query_id", "question")
+
+
+@register("rag_pipeline", sql=RAG_SQL + f"""
+SELECT query_id, regexp_extract(context, {q(R.FIRST_SENTENCE)}, 1) AS response FROM ctx""")
+def rag_pipeline(spark, sf):
+    qs, ctx = rag_context_df(spark, sf)
+    return ctx.select("query_id", R.extractive_answer(F.col("context")).alias("response"))
+
+
+@register("chat_answer_text", sql=RAG_SQL + """
+SELECT q.conv_id, q.turn, 'Retrieved Context:' || chr(10) || '---' || chr(10) || c.context || chr(10) || '---' || chr(10)
+       || chr(10) || 'Generated Answer:' || chr(10) || regexp_extract(c.context, """ + q(R.FIRST_SENTENCE) + """, 1) AS text
+FROM qs q JOIN ctx c USING (query_id)""")
+def chat_answer_text(spark, sf):
+    qs, ctx = rag_context_df(spark, sf)
+    return (qs.select("query_id", "conv_id", "turn").join(ctx, "query_id")
+            .select("conv_id", "turn", R.chat_answer_text(F.col("context"), R.extractive_answer(F.col("context")))
+                    .alias("text")))
+
+
+# ---- chat markup -------------------------------------------------------------------
+
+def _wrap_sql(role: str, text: str) -> str:
+    return f"({q(R.IM_START)} || {role} || chr(10) || {text} || {q(R.IM_END)} || chr(10))"
+
+
+@register("chat_wrap", sql=f"SELECT conv_id, turn, {_wrap_sql('role', 'text')} AS text FROM conversations")
+def chat_wrap(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", R.chat_wrap(F.col("role"), F.col("text")).alias("text"))
+
+
+@register("chat_history", sql=f"""
+SELECT conv_id, turn, string_agg({_wrap_sql('role', 'text')}, '' ORDER BY turn)
+         OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text
+FROM conversations""")
+def chat_history(spark, sf):
+    return R.chat_history(table(spark, sf, "conversations")).select("conv_id", "turn", "text")
