@@ -1 +1,161 @@
-"""Queries (filled in below)."""
+"""Streaming, source/sink and model-run queries.
+
+Each query first writes input files derived from the driver's tables into a
+fresh folder under ``spark.checkpoint.dir``, runs the job, and returns what
+it wrote read back.  Streams receive their input in two arrivals with a
+restart in between, so the final table also proves that a restart skips
+files already processed.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..operators import curation as C
+from ..operators import model as M
+from ..operators import prep as P
+from ..session import scratch_path
+from ..sources import files as S
+from ..streaming import streams as ST
+from ..tables import table
+from .curation_queries import (CURATED_SQL, CURATED_VALS, FLAGGED_CTE, N_CURATED, VALID, _stats_sql,
+                               documents_as_records, flagged, strip_sql)
+from .registry import q, register
+
+
+def _paths(spark, name):
+    base = scratch_path(spark, name)
+    return base, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ckpt")
+
+
+# ---- streams ----------------------------------------------------------------------
+
+@register("stream_classify", sql=f"""
+SELECT doc_id, regexp_matches(lower(text), {q(C.NUMBER_PATTERN)}) AS llm_has_numbers,
+       regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english FROM documents""")
+def stream_classify(spark, sf):
+    _, src, out, ckpt = _paths(spark, "stream-classify")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    schema = d.schema
+    d.where(F.col("lang") == "en").write.parquet(src)
+    ST.stream_classify(spark, src, schema, out, ckpt)
+    d.where(F.col("lang") != "en").write.mode("append").parquet(src)  # second arrival, then restart
+    ST.stream_classify(spark, src, schema, out, ckpt)
+    return spark.read.parquet(out)
+
+
+@register("stream_prevalence", sql=f"""
+SELECT count(*) AS total, count(*) FILTER (WHERE regexp_matches(lower(text), {q(C.NUMBER_PATTERN)})) AS numbers,
+       count(*) FILTER (WHERE regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)})) AS non_english FROM documents""")
+def stream_prevalence(spark, sf):
+    _, src, out, ckpt = _paths(spark, "stream-prevalence")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    schema = d.schema
+    d.where(F.col("lang") == "en").write.parquet(src)
+    ST.stream_prevalence(spark, src, schema, out, ckpt)
+    d.where(F.col("lang") != "en").write.mode("append").parquet(src)
+    ST.stream_prevalence(spark, src, schema, out, ckpt)
+    return spark.read.parquet(out)
+
+
+@register("stream_chat_history", sql=f"""
+SELECT conv_id, turn, string_agg({q('<|im_start|>')} || role || chr(10) || text || {q('<|im_end|>')} || chr(10), ''
+         ORDER BY turn) OVER (PARTITION BY conv_id ORDER BY turn
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text FROM conversations""")
+def stream_chat_history(spark, sf):
+    _, src, out, ckpt = _paths(spark, "stream-chat")
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    schema = c.schema
+    c.where(F.col("turn") < 2).write.parquet(src)   # opening turns arrive first
+    ST.stream_chat_history(spark, src, schema, out, ckpt, files_per_batch=None)
+    c.where(F.col("turn") >= 2).write.mode("append").parquet(src)
+    ST.stream_chat_history(spark, src, schema, out, ckpt, files_per_batch=None)
+    return spark.read.parquet(out)
+
+
+# ---- sources and sinks -----------------------------------------------------------
+
+@register("scan_json_questions", sql=f"""
+SELECT {strip_sql('source')} AS category, {strip_sql('text')} AS question, lang AS show_number, '' AS air_date
+FROM documents""")
+def scan_json_questions(spark, sf):
+    _, src, _, _ = _paths(spark, "questions-json")
+    d = table(spark, sf, "documents")
+    d.select(F.col("source").alias("category"), F.col("text").alias("question"),
+             F.col("lang").alias("show_number")).write.json(src)
+    r = C.clean_records(S.read_questions(spark, src))
+    return r.select("category", "question", "show_number", "air_date")
+
+
+@register("scan_csv_claims", sql=f"""
+SELECT c_custkey AS id, {q(P.CLAIM_PROMPT + ' ' + P.ATTRIBUTES_LEAD)} || 'c_nationkey: '
+       || coalesce(CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR), 'NaN') || ', c_acctbal: '
+       || coalesce(CAST(CAST(c_acctbal AS DOUBLE) AS VARCHAR), 'NaN') || '.' AS text, CAST(NULL AS INTEGER) AS label
+FROM customer""")
+def scan_csv_claims(spark, sf):
+    _, src, _, _ = _paths(spark, "claims-csv")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_acctbal")
+    c.write.option("header", True).csv(src)
+    train = S.read_claims_csv(spark, src)
+    return P.row_to_text(train, "id", "target")
+
+
+@register("scan_binary_docs", sql="SELECT page_id, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages")
+def scan_binary_docs(spark, sf):
+    _, src, _, _ = _paths(spark, "pages-bin")
+    p = table(spark, sf, "pages")
+    p.select("page_id", "html").write.partitionBy("page_id").text(src)
+    b = S.read_binary_docs(spark, src)
+    return b.select(F.col("page_id").cast("long").alias("page_id"), "length")
+
+
+@register("sink_curated_json", sql=CURATED_SQL + "\nSELECT _g AS dataset, doc_id FROM sampled")
+def sink_curated_json(spark, sf):
+    _, _, out, _ = _paths(spark, "curated-json")
+    cur = C.curated_datasets(flagged(spark, sf), N_CURATED, "source", "doc_id", CURATED_VALS)
+    S.write_json(cur, out, partition_by="dataset")
+    return spark.read.json(out).select("dataset", F.col("doc_id").cast("long").alias("doc_id"))
+
+
+@register("sink_stats", sql="WITH st AS (" + _stats_sql() + """)
+SELECT total, successful, failed, valid_predictions, numbers_classified_count, non_english_classified_count,
+       unusual_proper_nouns_classified_count, estimate_total_size FROM st""")
+def sink_stats(spark, sf):
+    _, _, out, _ = _paths(spark, "stats-json")
+    fl = flagged(spark, sf)
+    flat = C.curation_stats(fl, C.curated_datasets(fl, N_CURATED, "source", "doc_id", CURATED_VALS), None)
+    S.write_json(C.curation_stats_document(flat).coalesce(1), out)
+    doc = spark.read.json(out)
+    return doc.select(
+        F.col("classification_quality.total").alias("total"),
+        F.col("classification_quality.successful").alias("successful"),
+        F.col("classification_quality.failed").alias("failed"),
+        F.col("classified_dataset.valid_predictions").alias("valid_predictions"),
+        F.col("numbers.classified_count").alias("numbers_classified_count"),
+        F.col("non_english.classified_count").alias("non_english_classified_count"),
+        F.col("unusual_proper_nouns.classified_count").alias("unusual_proper_nouns_classified_count"),
+        F.col("full_dataset_estimates.total_size").alias("estimate_total_size"))
+
+
+# ---- model runs ----------------------------------------------------------------------
+
+MODEL_SQL = f"""
+SELECT doc_id, regexp_matches({strip_sql('text')}, '[0-9]') AS llm_has_numbers,
+       regexp_matches({strip_sql('text')}, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english,
+       false AS llm_has_unusual_proper_nouns FROM documents"""
+
+
+@register("classify_with_model", sql=MODEL_SQL)
+def classify_with_model(spark, sf):
+    return M.classify_with_model(documents_as_records(spark, sf), "doc_id")
+
+
+@register("classify_resume", sql=MODEL_SQL)
+def classify_resume(spark, sf):
+    _, _, out, _ = _paths(spark, "predictions")
+    recs = documents_as_records(spark, sf)
+    # an earlier run that stopped after the English documents
+    M.classify_resume(recs.where(F.col("show_number") == "en"), "doc_id", out)
+    return M.classify_resume(recs, "doc_id", out)
