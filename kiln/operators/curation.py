@@ -192,12 +192,19 @@ def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str) -> Dat
 
 
 def flagged_documents(docs: DataFrame, labels: DataFrame, max_df: int = 2,
-                      keep: Sequence[str] = ("source", "lang", "text")) -> DataFrame:
+                      keep: Sequence[str] = ("source", "lang")) -> DataFrame:
     """Documents with rule flags standing in for model answers; a document
-    without a row in ``labels`` counts as a failed prediction (all null)."""
-    flags = rule_flags(docs, "doc_id", "text", max_df)
-    predicted = flags.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    return attach_predictions(docs.select("doc_id", *keep), predicted, "doc_id")
+    without a row in ``labels`` counts as a failed prediction (all null).
+
+    The text itself is not carried on: ``text_md5`` stands for it in
+    whole-row value comparisons (the sample's duplicate check), so the
+    prediction table stays small enough to persist and re-read cheaply."""
+    d = docs.withColumn("text_md5", F.md5(F.col("text")))
+    flags = rule_flags(d, "doc_id", "text", max_df, keep=tuple(keep) + ("text_md5",))
+    labelled = labels.select("doc_id").distinct().withColumn("_lab", F.lit(True))
+    out = flags.join(labelled, "doc_id", "left")
+    return out.select("doc_id", *keep, "text_md5",
+                      *[F.when(F.col("_lab"), F.col(c)).alias(c) for c in FLAGS])
 
 
 # --------------------------------------------------------------------------
@@ -323,51 +330,48 @@ def stratified_sample(df: DataFrame, n: int, stratum: str, order: str,
        null-safe) is not already sampled, up to n.
 
     ``groups`` runs one independent sample per group in the same job.
-    The only unbounded input is scanned in parallel; everything moved to a
-    single task is bounded by n per group.
+    Three passes over the input: one aggregation (counts per stratum), one
+    window with the constant bound n (Spark keeps n rows per stratum on
+    both sides of the shuffle), one anti-join against the at most n rows
+    already taken per group (broadcast).  Every single-task step sees at
+    most n rows per group and map task.
     """
-    g = list(groups)
     vals = list(value_cols) if value_cols is not None else [c for c in df.columns if c != order]
-    if not g:
-        df = df.withColumn("_g", F.lit(0))
-        g = ["_g"]
-        drop_g = True
+    if groups:
+        g, drop_g = list(groups), False
     else:
-        drop_g = False
-    totals = df.groupBy(*g).agg(F.count("*").alias("_total"))
-    # groups are few (datasets, not strata); the totals table is one row each
-    rows = df.join(F.broadcast(totals), g)
-    big = rows.where(F.col("_total") > n)
+        df, g, drop_g = df.withColumn("_g", F.lit(0)), ["_g"], True
+    out_cols = df.columns
+
+    counts = df.groupBy(*g, stratum).agg(F.count("*").alias("_cnt"), F.min(order).alias("_first"))
+    totals = counts.groupBy(*g).agg(F.sum("_cnt").alias("_total"))
+    quota = (counts.join(F.broadcast(totals), g).where(F.col("_total") > n)
+             .withColumn("_quota", F.greatest(F.lit(1).cast("bigint"), F.expr(f"{n} * _cnt div _total"))))
 
-    counts = big.groupBy(*g, stratum, "_total").agg(F.count("*").alias("_cnt"), F.min(order).alias("_first"))
-    quota = counts.withColumn("_quota", F.greatest(F.lit(1).cast("bigint"), F.expr(f"{n} * _cnt div _total")))
-    w = Window.partitionBy(*g, stratum).orderBy(order)
-    ranked = big.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n)
+    ranked = (df.withColumn("_rk", F.row_number().over(Window.partitionBy(*g, stratum).orderBy(order)))
+              .where(F.col("_rk") <= n))
     q = quota.select(*[F.col(c).alias("_q_" + c) for c in g + [stratum]], "_quota", "_first")
     cond = F.lit(True)
     for c in g + [stratum]:
         cond = cond & ranked[c].eqNullSafe(q["_q_" + c])
-    phase0 = (ranked.join(q, cond).where(F.col("_rk") <= F.col("_quota"))
-              .drop(*["_q_" + c for c in g + [stratum]]))
-    w0 = Window.partitionBy(*g).orderBy("_first", "_rk")
-    phase0 = (phase0.withColumn("_n0", F.row_number().over(w0)).where(F.col("_n0") <= n)
-              .select(*df.columns, F.lit(0).alias("_ph"), F.col("_first").alias("_o1"),
+    phase0 = ranked.join(q, cond).where(F.col("_rk") <= F.col("_quota"))
+    phase0 = (phase0.withColumn("_n0", F.row_number().over(Window.partitionBy(*g).orderBy("_first", "_rk")))
+              .where(F.col("_n0") <= n)
+              .select(*out_cols, F.lit(0).alias("_ph"), F.col("_first").alias("_o1"),
                       F.col("_rk").cast("bigint").alias("_o2")))
-    # at most n rows per group: safe to broadcast for the value anti-join
+
+    # at most n rows per group (groups are few): safe to broadcast
     taken = F.broadcast(phase0.select(*[F.col(c).alias("_t_" + c) for c in g + vals]))
+    rows = df.join(F.broadcast(totals), g)
     anti = F.lit(True)
     for c in g + vals:
-        anti = anti & big[c].eqNullSafe(taken["_t_" + c])
-    phase1 = (big.join(taken, anti, "left_anti")
-              .select(*df.columns, F.lit(1).alias("_ph"), F.col(order).alias("_o1"),
-                      F.lit(0).cast("bigint").alias("_o2")))
-    small = (rows.where(F.col("_total") <= n)
-             .select(*df.columns, F.lit(-1).alias("_ph"), F.col(order).alias("_o1"),
-                     F.lit(0).cast("bigint").alias("_o2")))
-    allrows = small.unionByName(phase0).unionByName(phase1)
+        anti = anti & rows[c].eqNullSafe(taken["_t_" + c])
+    rest = (rows.join(taken, anti, "left_anti")
+            .select(*out_cols, F.when(F.col("_total") <= n, F.lit(-1)).otherwise(F.lit(1)).alias("_ph"),
+                    F.col(order).alias("_o1"), F.lit(0).cast("bigint").alias("_o2")))
     wf = Window.partitionBy(*g).orderBy("_ph", "_o1", "_o2")
-    out = allrows.withColumn("_pick", F.row_number().over(wf)).where(F.col("_pick") <= n)
-    out = out.drop("_ph", "_o1", "_o2", "_pick")
+    out = (phase0.unionByName(rest).withColumn("_pick", F.row_number().over(wf)).where(F.col("_pick") <= n)
+           .drop("_ph", "_o1", "_o2", "_pick"))
     return out.drop("_g") if drop_g else out
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.json_flags import FALLBACK_PATTERN, STRICT_PATTERN
 from ..functions.text import PY_WHITESPACE_CLASS, STRIP_PATTERN
 from ..operators import curation as C
+from ..session import materialize
 from ..tables import table
 from .registry import q, register
 
@@ -27,7 +28,9 @@ def documents_as_records(spark, sf):
 
 
 def flagged(spark, sf):
-    return C.flagged_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    """Flagged documents, persisted once (the run's materialisation point)."""
+    fl = C.flagged_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return materialize(fl, "flagged-documents")
 
 
 # ---- SQL building blocks ---------------------------------------------------
@@ -232,13 +235,15 @@ def stratified_sample(spark, sf):
 CURATED_BASE = f"""(SELECT f.*, t.dataset FROM flagged f, (VALUES ('numbers'), ('non_english'), ('unusual_proper_nouns')) t(dataset)
   WHERE {VALID} AND ((t.dataset = 'numbers' AND llm_has_numbers) OR (t.dataset = 'non_english' AND llm_has_non_english)
         OR (t.dataset = 'unusual_proper_nouns' AND llm_has_unusual_proper_nouns)))"""
-CURATED_VALS = ["source", "lang", "text", "llm_has_numbers", "llm_has_non_english", "llm_has_unusual_proper_nouns"]
-CURATED_SQL = FLAGGED_CTE + "," + stratified_sql(CURATED_BASE, N_CURATED, "source", "doc_id", CURATED_VALS,
+CURATED_VALS_SQL = ["source", "lang", "text", "llm_has_numbers", "llm_has_non_english", "llm_has_unusual_proper_nouns"]
+CURATED_VALS = ["source", "lang", "text_md5", "llm_has_numbers", "llm_has_non_english", "llm_has_unusual_proper_nouns"]
+CURATED_SQL = FLAGGED_CTE + "," + stratified_sql(CURATED_BASE, N_CURATED, "source", "doc_id", CURATED_VALS_SQL,
                                                  ["doc_id", "dataset"], group="dataset")
 
 
-def curated(spark, sf):
-    return C.curated_datasets(flagged(spark, sf), N_CURATED, "source", "doc_id", CURATED_VALS)
+def curated(spark, sf, fl=None):
+    fl = flagged(spark, sf) if fl is None else fl
+    return C.curated_datasets(fl, N_CURATED, "source", "doc_id", CURATED_VALS)
 
 
 @register("curated_datasets", sql=CURATED_SQL + "\nSELECT _g AS dataset, doc_id FROM sampled")
@@ -273,7 +278,8 @@ SELECT {', '.join(sel)} FROM a, s""")
 
 @register("curation_stats", sql=_stats_sql())
 def curation_stats(spark, sf):
-    return C.curation_stats(flagged(spark, sf), curated(spark, sf), None)
+    fl = flagged(spark, sf)
+    return C.curation_stats(fl, curated(spark, sf, fl), None)
 
 
 @register("sample_exact", sql=f"""
