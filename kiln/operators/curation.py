@@ -133,31 +133,42 @@ CAPITALISED = r"^\p{Lu}"
 
 
 def rule_has_numbers(text: Column) -> Column:
-    return F.lower(text).rlike(NUMBER_PATTERN)
+    """A digit, or a number word as a whole letter run of the lower-cased
+    text (same result as ``NUMBER_PATTERN``, without regex alternation)."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return text.rlike("[0-9]") | F.arrays_overlap(runs, F.array(*[F.lit(w) for w in NUMBER_WORDS]))
 
 
 def rule_has_non_english(text: Column) -> Column:
     return text.rlike(NON_ENGLISH_PATTERN)
 
 
-def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2) -> DataFrame:
-    """Ids of rows holding a capitalised word that is not sentence-initial and
-    occurs in at most ``max_df`` rows of the whole corpus.
-
-    One shuffle keyed by word with map-side partial aggregation (count, min,
-    max), so a very common word costs one partial row per map task instead
-    of a hot reduce key.  Candidates are distinct per row before exploding.
-    """
-    text = F.col(text_col)
-    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    cands = F.array_distinct(F.filter(
-        F.flatten(F.transform(
-            F.split(text, SENTENCE_SPLIT),
-            lambda s: F.filter(F.regexp_extract_all(s, F.lit(WORD), F.lit(0)), lambda w, i: i > 0))),
-        lambda w: w.rlike(CAPITALISED)))
-    base = df.select(F.col(id_col).alias("_id"), words.alias("_w"), cands.alias("_c"))
-    rows = (base.select("_id", F.explode("_w").alias("word"), F.lit(False).alias("is_cand"))
-            .unionByName(base.select("_id", F.explode("_c").alias("word"), F.lit(True).alias("is_cand"))))
+# words and sentence ends in text order; a word is sentence-initial when it
+# is first or follows a sentence end
+EVENTS = r"[.!?\n]|\p{L}+"
+
+
+def name_features(text: Column) -> tuple[Column, Column]:
+    """(capitalised word forms, capitalised non-initial word forms), both
+    distinct per row, from one regex pass over the text."""
+    ev = F.regexp_extract_all(text, F.lit(EVENTS), F.lit(0))
+    caps = F.array_distinct(F.filter(ev, lambda x: x.rlike(CAPITALISED)))
+    cands = F.array_distinct(F.filter(ev, lambda x, i: (i > 0) & x.rlike(CAPITALISED)
+                                      & F.element_at(ev, i).rlike(r"^\p{L}")))
+    return caps, cands
+
+
+def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> DataFrame:
+    """Ids of rows with a capitalised non-initial word whose exact form
+    occurs in at most ``max_df`` rows.  Only capitalised forms can match a
+    capitalised candidate, so only those are exploded, once, as
+    (word, is_candidate) pairs.  One shuffle keyed by word; count / min /
+    max aggregate partially on the map side, so a common word never forms
+    a hot reduce key.  With max_df <= 2 the (at most two) rows holding a
+    rare word are its min and max id, so no join back is needed."""
+    pairs = F.concat(F.transform("_caps", lambda w: F.struct(w.alias("word"), F.lit(False).alias("is_cand"))),
+                     F.transform("_cands", lambda w: F.struct(w.alias("word"), F.lit(True).alias("is_cand"))))
+    rows = feat.select(F.col(id_col).alias("_id"), F.explode(pairs).alias("p")).select("_id", "p.word", "p.is_cand")
     if max_df <= 2:
         g = rows.groupBy("word").agg(
             F.count_if(~F.col("is_cand")).alias("df"),
@@ -168,19 +179,38 @@ def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2)
     else:
         dfreq = rows.where(~F.col("is_cand")).groupBy("word").agg(F.count("*").alias("df"))
         rare = dfreq.where(F.col("df") <= max_df).select("word")
-        ids = (rows.where(F.col("is_cand")).join(rare, "word", "left_semi")
-               .select(F.col("_id").alias(id_col)))
+        ids = rows.where(F.col("is_cand")).join(rare, "word", "left_semi").select(F.col("_id").alias(id_col))
     return ids.distinct()
 
 
-def rule_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               max_df: int = 2, keep: Sequence[str] = ()) -> DataFrame:
-    """Three rule flags per row: numbers, non-English letters, rare names."""
-    unusual = unusual_name_ids(docs, id_col, text_col, max_df).withColumn("_u", F.lit(True))
-    base = docs.select(id_col, *keep,
+def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2) -> DataFrame:
+    caps, cands = name_features(F.col(text_col))
+    return unusual_from_features(df.select(id_col, caps.alias("_caps"), cands.alias("_cands")), id_col, max_df)
+
+
+def rule_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Everything the rules need from the text, in one pass over it."""
+    caps, cands = name_features(F.col(text_col))
+    return docs.select(id_col, *keep,
                        rule_has_numbers(F.col(text_col)).alias(FLAGS[0]),
-                       rule_has_non_english(F.col(text_col)).alias(FLAGS[1]))
-    return (base.join(unusual, id_col, "left")
+                       rule_has_non_english(F.col(text_col)).alias(FLAGS[1]),
+                       caps.alias("_caps"), cands.alias("_cands"))
+
+
+def rule_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               max_df: int = 2, keep: Sequence[str] = (), persist: bool = True) -> DataFrame:
+    """Three rule flags per row: numbers, non-English letters, rare names.
+
+    With ``persist`` the per-row features are written once under the
+    shared checkpoint folder, so the text is scanned a single time although
+    two branches (row flags, corpus word statistics) consume it."""
+    feat = rule_features(docs, id_col, text_col, keep)
+    if persist:
+        from ..session import materialize
+        feat = materialize(feat, "rule-features")
+    unusual = unusual_from_features(feat, id_col, max_df).withColumn("_u", F.lit(True))
+    return (feat.drop("_caps", "_cands").join(unusual, id_col, "left")
             .withColumn(FLAGS[2], F.col("_u").isNotNull()).drop("_u"))
 
 

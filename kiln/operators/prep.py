@@ -85,42 +85,58 @@ def _order_value(seed: int, id_cols: Sequence[str]) -> Column:
     return F.conv(F.substring(seeded_key(seed, *[F.col(c) for c in id_cols]), 1, 15), 16, 10).cast("bigint")
 
 
-def prefix_cut(df: DataFrame, id_cols: Sequence[str], seed: int, rank: int):
-    """The (u, ids...) tuple of the row at 1-based position ``rank`` in the
-    seeded order, found without a global sort: three 16-bit histogram
-    passes narrow the position to one bucket of the 60-bit key (a few rows
-    at any scale), which is then ranked exactly.  Only histograms of at
-    most 65,536 counts and the final bucket reach the driver."""
-    if rank <= 0:
-        return None
-    u = _order_value(seed, id_cols)
-    keyed = df.select(u.alias("_u"), *id_cols)
-    lo, need = 0, rank
-    shift_total = 60
-    prefix_filter = F.lit(True)
-    for level in range(3):
-        shift = shift_total - 16 * (level + 1)
-        b = F.shiftright(F.col("_u"), shift).bitwiseAND(F.lit(0xFFFF))
-        hist = (keyed.where(prefix_filter).select(b.alias("_b")).groupBy("_b").count()
-                .orderBy("_b").collect())
-        acc = 0
-        chosen = None
-        for r in hist:
-            if acc + r["count"] >= need:
-                chosen = r["_b"]
-                break
-            acc += r["count"]
-        if chosen is None:
-            return None
-        need -= acc
-        prefix_filter = prefix_filter & (F.shiftright(F.col("_u"), shift) ==
-                                         F.lit((lo << 16) | chosen))
-        lo = (lo << 16) | chosen
-    rest = keyed.where(prefix_filter).orderBy("_u", *id_cols).limit(need).collect()
-    if len(rest) < need:
-        return None
-    last = rest[-1]
-    return tuple(last[c] for c in ["_u", *id_cols])
+def prefix_cuts(df: DataFrame, id_cols: Sequence[str], seed: int, ranks_for_n, small: int = 200_000):
+    """Cut tuples (u, ids...) of the rows at the given 1-based positions of
+    the seeded order, without a global sort.
+
+    ``ranks_for_n(n)`` turns the row count into the wanted positions; the
+    count comes from the first histogram, so no separate pass is needed.
+    Each pass groups the rows still in question by the next 16 bits of the
+    60-bit key (a histogram of at most 65,536 counts per open cut); once
+    the bucket holding a cut has at most ``small`` rows (at sf 0.1: after
+    the first pass), those rows are fetched and ranked exactly.  Returns
+    (n, [cut or None per rank])."""
+    keyed = df.select(_order_value(seed, id_cols).alias("_u"), *id_cols)
+    bits = 0
+    n = None
+    pending = None  # rank -> (prefix, need, bucket_count)
+    while True:
+        shift = 60 - bits - 16
+        sel = keyed
+        if pending:
+            prefixes = sorted({p for p, _, _ in pending.values()})
+            sel = keyed.where(F.shiftright("_u", 60 - bits).isin(prefixes))
+        hist = sorted((r["_b"], r["count"]) for r in
+                      sel.groupBy(F.shiftright("_u", shift).alias("_b")).count().collect())
+        if n is None:
+            n = sum(c for _, c in hist)
+            ranks = list(ranks_for_n(n))
+            pending = {r: (0, r, n) for r in ranks if 0 < r <= n}
+        nxt = {}
+        for r, (p, need, _) in pending.items():
+            acc = 0
+            for b, c in hist:
+                if (b >> 16) != p:
+                    continue
+                if acc + c >= need:
+                    nxt[r] = (b, need - acc, c)
+                    break
+                acc += c
+        pending = nxt
+        bits += 16
+        if not pending or bits >= 48 or all(c <= small for _, _, c in pending.values()):
+            break
+    cuts = {}
+    if pending:
+        prefixes = sorted({p for p, _, _ in pending.values()})
+        rows = (keyed.where(F.shiftright("_u", 60 - bits).isin(prefixes))
+                .orderBy("_u", *id_cols).collect())
+        for r, (p, need, _) in pending.items():
+            inb = [x for x in rows if (x["_u"] >> (60 - bits)) == p]
+            if len(inb) >= need:
+                x = inb[need - 1]
+                cuts[r] = tuple(x[c] for c in ["_u", *id_cols])
+    return n, [cuts.get(r) for r in ranks]
 
 
 def split_sizes(n: int, test_size: float = 0.3, nested: float | None = 0.3) -> tuple[int, int]:
@@ -139,8 +155,7 @@ def assign_split(df: DataFrame, id_cols: Sequence[str], seed: int = 42, test_siz
     part is split again: its first ceil(nested * held-out) rows are
     ``test`` and the rest ``validation`` (a 70/21/9 split for 0.3/0.3);
     without it the held-out part is ``test``."""
-    n = df.count()
-    n_test, n_test2 = split_sizes(n, test_size, nested)
+    n, (c1, c2) = prefix_cuts(df, id_cols, seed, lambda m: split_sizes(m, test_size, nested))
     u = _order_value(seed, id_cols)
     types = [T.LongType()] + [df.schema[c].dataType for c in id_cols]
     names_ = ["_u"] + list(id_cols)
@@ -152,9 +167,7 @@ def assign_split(df: DataFrame, id_cols: Sequence[str], seed: int = 42, test_siz
         lit = F.struct(*[F.lit(x).cast(t).alias(nm) for x, t, nm in zip(cut, types, names_)])
         return key <= lit
 
-    c1 = prefix_cut(df, id_cols, seed, n_test)
     if nested:
-        c2 = prefix_cut(df, id_cols, seed, n_test2)
         split = F.when(le(c2), names[2]).when(le(c1), names[1]).otherwise(names[0])
     else:
         split = F.when(le(c1), names[2]).otherwise(names[0])

@@ -71,37 +71,56 @@ def extract_page_images(pages: DataFrame, id_col: str = "page_id", html_col: str
 TOKEN = r"\p{L}+|\p{N}+"
 
 
+def _hash_embedding_fn(dims: int):
+    import hashlib
+
+    import regex
+
+    tok_re = regex.compile(TOKEN)
+
+    def embed(texts: pd.Series) -> pd.Series:
+        memo: dict[str, tuple[int, int]] = {}
+        out = []
+        for text in texts:
+            if text is None:
+                out.append(None)
+                continue
+            v = np.zeros(dims)
+            for tok in tok_re.findall(text.lower()):
+                hit = memo.get(tok)
+                if hit is None:
+                    h = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16)
+                    hit = memo[tok] = (h % dims, 1 if (h // dims) % 2 == 0 else -1)
+                v[hit[0]] += hit[1]
+            n = float(np.sqrt((v * v).sum()))
+            out.append(v / n if n > 0 else v)
+        return pd.Series(out, dtype="object")
+
+    return embed
+
+
+def hashed_embedding(text: Column, dims: int = 64) -> Column:
+    """Signed feature hashing of the lower-cased letter / digit runs of a
+    text, L2-normalised, as ``array<double>``: bucket = md5(token) mod dims,
+    sign from the next bit.  All tokens of a text live in its row, so this
+    is a row-local Arrow-batched pandas UDF: one pass, no shuffle (the
+    equivalent explode + aggregate plan would shuffle and re-join the
+    text)."""
+    udf = F.pandas_udf(_hash_embedding_fn(dims), T.ArrayType(T.DoubleType()))
+    return udf(text)
+
+
 def hashed_token_weights(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -> DataFrame:
-    """Signed feature hashing, L2-normalised: long form (id, bucket, weight).
-
-    Tokens are exploded in place and summed per (id, bucket) with map-side
-    partial aggregation, so at most ``dims`` rows per document are
-    shuffled; the norm is taken over those few rows."""
-    tok = df.select(F.col(id_col).alias("_id"),
-                    F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), F.lit(0))).alias("tok"))
-    h = hex8_int(F.col("tok"))
-    signed = tok.select("_id", F.pmod(h, F.lit(dims)).cast("int").alias("bucket"),
-                        F.when(F.pmod(F.floor(h / dims), F.lit(2)) == 0, 1).otherwise(-1).alias("s"))
-    sums = signed.groupBy("_id", "bucket").agg(F.sum("s").alias("v")).where(F.col("v") != 0)
-    per_doc = sums.groupBy("_id").agg(F.collect_list(F.struct("bucket", "v")).alias("bv"))
-    normed = per_doc.select(
-        "_id", "bv",
-        F.sqrt(F.aggregate("bv", F.lit(0.0), lambda acc, x: acc + (x["v"] * x["v"]).cast("double"))).alias("n"))
-    return (normed.select(F.col("_id").alias(id_col), F.explode("bv").alias("x"), "n")
-            .select(id_col, F.col("x.bucket").alias("bucket"), (F.col("x.v") / F.col("n")).alias("weight")))
+    """Long form (id, bucket, weight) of the non-zero hashed weights."""
+    return (df.select(id_col, F.posexplode(hashed_embedding(F.col(text_col), dims)).alias("bucket", "weight"))
+            .where(F.col("weight") != 0).withColumn("bucket", F.col("bucket").cast("int")))
 
 
 def embed_text_hash(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -> DataFrame:
-    """Dense ``array<float>`` embedding per row (rows without tokens get a
-    zero vector)."""
-    w = hashed_token_weights(df, id_col, text_col, dims)
-    dense = (w.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("m"))
-             .select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
-                                         lambda i: F.coalesce(F.col("m")[i], F.lit(0.0)).cast("float"))
-                     .alias("embedding")))
-    zero = F.array_repeat(F.lit(0.0).cast("float"), dims)
-    return (df.join(dense, id_col, "left")
-            .withColumn("embedding", F.coalesce(F.col("embedding"), zero)))
+    """Adds a dense ``embedding array<float>`` (zero vector for a text
+    without tokens)."""
+    return df.withColumn("embedding", F.transform(hashed_embedding(F.col(text_col), dims),
+                                                  lambda x: x.cast("float")))
 
 
 # --------------------------------------------------------------------------
@@ -212,11 +231,12 @@ def knn_join(queries: DataFrame, collection: DataFrame, k: int = 5,
                            T.StructField("distance", T.DoubleType())])
     q = queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv"))
     c = collection.select(F.col(id_col).alias("_cid"), F.col(vec_col).alias("_cv"))
-    n_q = q.count()  # size check: decides broadcast vs tiles
+    # size check: at most broadcast_rows + 1 query rows are fetched to decide
+    probe = q.limit(broadcast_rows + 1).toPandas()
+    n_q = len(probe)
     if n_q <= broadcast_rows:
-        pdq = q.toPandas()
-        qids = pdq["_qid"].to_numpy()
-        qmat = np.array([np.asarray(v, dtype=np.float64) for v in pdq["_qv"]]) if n_q else np.zeros((0, 0))
+        qids = probe["_qid"].to_numpy()
+        qmat = np.array([np.asarray(v, dtype=np.float64) for v in probe["_qv"]]) if n_q else np.zeros((0, 0))
         bq = spark.sparkContext.broadcast((qids, qmat))
 
         def score(batches):
@@ -233,6 +253,7 @@ def knn_join(queries: DataFrame, collection: DataFrame, k: int = 5,
 
         cand = c.mapInPandas(score, schema)
     else:
+        n_q = q.count()
         n_c = c.count()
         bq_n = max(1, math.ceil(n_q / block_rows))
         bc_n = max(1, math.ceil(n_c / block_rows))

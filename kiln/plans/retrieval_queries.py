@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import norm
 from ..operators import retrieval as R
+from ..session import materialize
 from ..tables import table
 from .registry import q, register
 
@@ -200,14 +201,15 @@ def _nonzero(c="embedding"):
 def doc_collection(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "source", "text")
     e = R.embed_text_hash(d, "doc_id", "text", DIMS).withColumn("page", F.lit(1))
-    return R.text_vectors(e, "doc_id", "source", "page", "text", "embedding").where(_nonzero())
+    coll = R.text_vectors(e, "doc_id", "source", "page", "text", "embedding").where(_nonzero())
+    return materialize(coll, "doc-collection")  # the stored collection
 
 
 def user_questions(spark, sf):
     c = (table(spark, sf, "conversations").where(F.col("role") == "user")
          .select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "conv_id", "turn",
                  F.col("text").alias("question")))
-    return R.embed_text_hash(c, "query_id", "question", DIMS)
+    return materialize(R.embed_text_hash(c, "query_id", "question", DIMS), "user-questions")
 
 
 def rag_results(spark, sf):
