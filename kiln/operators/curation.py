@@ -148,16 +148,20 @@ def rule_has_non_english(text: Column) -> Column:
 EVENTS = r"[.!?\n]|\p{L}+"
 
 
-def name_features(text: Column) -> tuple[Column, Column]:
+def name_features(ev: Column) -> tuple[Column, Column]:
     """(capitalised word forms, capitalised non-initial word forms), both
-    distinct per row, from one regex pass over the text."""
-    ev = F.regexp_extract_all(text, F.lit(EVENTS), F.lit(0))
+    distinct per row, from the events array of :func:`text_events`.  ``ev``
+    must be a column reference (the lambda looks at the previous element)."""
     caps = F.array_distinct(F.filter(ev, lambda x: x.rlike(CAPITALISED)))
     cands = F.array_distinct(F.filter(ev, lambda x, i: (i > 0) & x.rlike(CAPITALISED)
                                       & F.element_at(ev, i).rlike(r"^\p{L}")))
     return caps, cands
 
 
+def text_events(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(EVENTS), F.lit(0))
+
+
 def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> DataFrame:
     """Ids of rows with a capitalised non-initial word whose exact form
     occurs in at most ``max_df`` rows.  Only capitalised forms can match a
@@ -184,18 +188,20 @@ def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> Data
 
 
 def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2) -> DataFrame:
-    caps, cands = name_features(F.col(text_col))
-    return unusual_from_features(df.select(id_col, caps.alias("_caps"), cands.alias("_cands")), id_col, max_df)
+    caps, cands = name_features(F.col("_ev"))
+    ev = df.select(id_col, text_events(F.col(text_col)).alias("_ev"))
+    return unusual_from_features(ev.select(id_col, caps.alias("_caps"), cands.alias("_cands")), id_col, max_df)
 
 
 def rule_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   keep: Sequence[str] = ()) -> DataFrame:
     """Everything the rules need from the text, in one pass over it."""
-    caps, cands = name_features(F.col(text_col))
-    return docs.select(id_col, *keep,
+    caps, cands = name_features(F.col("_ev"))
+    step = docs.select(id_col, *keep,
                        rule_has_numbers(F.col(text_col)).alias(FLAGS[0]),
                        rule_has_non_english(F.col(text_col)).alias(FLAGS[1]),
-                       caps.alias("_caps"), cands.alias("_cands"))
+                       text_events(F.col(text_col)).alias("_ev"))
+    return step.select(id_col, *keep, *FLAGS[:2], caps.alias("_caps"), cands.alias("_cands"))
 
 
 def rule_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
