@@ -188,16 +188,18 @@ def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> Data
 
 
 def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2) -> DataFrame:
+    from ..session import spread
     caps, cands = name_features(F.col("_ev"))
-    ev = df.select(id_col, text_events(F.col(text_col)).alias("_ev"))
+    ev = spread(df, id_col).select(id_col, text_events(F.col(text_col)).alias("_ev"))
     return unusual_from_features(ev.select(id_col, caps.alias("_caps"), cands.alias("_cands")), id_col, max_df)
 
 
 def rule_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   keep: Sequence[str] = ()) -> DataFrame:
     """Everything the rules need from the text, in one pass over it."""
+    from ..session import spread
     caps, cands = name_features(F.col("_ev"))
-    step = docs.select(id_col, *keep,
+    step = spread(docs, id_col).select(id_col, *keep,
                        rule_has_numbers(F.col(text_col)).alias(FLAGS[0]),
                        rule_has_non_english(F.col(text_col)).alias(FLAGS[1]),
                        text_events(F.col(text_col)).alias("_ev"))

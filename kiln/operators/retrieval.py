@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import fmt2, hex8_int, py_strip
 from ..functions.vectors import cosine_distance, literal_vector
+from ..session import spread
 
 # --------------------------------------------------------------------------
 # Page text and images
@@ -54,7 +55,7 @@ def html_text(html: Column) -> Column:
 
 def extract_page_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One text block per page; blank pages dropped."""
-    return (pages.select(id_col, html_text(F.col(html_col)).alias("text"))
+    return (spread(pages, id_col).select(id_col, html_text(F.col(html_col)).alias("text"))
             .where(F.col("text") != ""))
 
 
@@ -79,22 +80,26 @@ def _hash_embedding_fn(dims: int):
     tok_re = regex.compile(TOKEN)
 
     def embed(texts: pd.Series) -> pd.Series:
-        memo: dict[str, tuple[int, int]] = {}
-        out = []
-        for text in texts:
-            if text is None:
-                out.append(None)
-                continue
-            v = np.zeros(dims)
-            for tok in tok_re.findall(text.lower()):
-                hit = memo.get(tok)
-                if hit is None:
-                    h = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16)
-                    hit = memo[tok] = (h % dims, 1 if (h // dims) % 2 == 0 else -1)
-                v[hit[0]] += hit[1]
-            n = float(np.sqrt((v * v).sum()))
-            out.append(v / n if n > 0 else v)
-        return pd.Series(out, dtype="object")
+        # vectorised per Arrow batch: factorize all tokens, hash each
+        # distinct token once, then one bincount into the dense matrix
+        valid = texts.notna().to_numpy()
+        toks = [tok_re.findall(t.lower()) if ok else [] for t, ok in zip(texts, valid)]
+        lengths = np.fromiter((len(t) for t in toks), dtype=np.int64, count=len(toks))
+        flat = [w for t in toks for w in t]
+        mat = np.zeros((len(toks), dims))
+        if flat:
+            codes, uniques = pd.factorize(pd.Series(flat, dtype="object"))
+            hs = np.fromiter((int(hashlib.md5(u.encode("utf-8")).hexdigest()[:8], 16) for u in uniques),
+                             dtype=np.int64, count=len(uniques))
+            bucket = (hs % dims)[codes]
+            sign = np.where((hs // dims) % 2 == 0, 1.0, -1.0)[codes]
+            row = np.repeat(np.arange(len(toks)), lengths)
+            mat = np.bincount(row * dims + bucket, weights=sign, minlength=len(toks) * dims) \
+                .reshape(len(toks), dims)
+        norms = np.sqrt((mat * mat).sum(axis=1))
+        safe = np.where(norms > 0, norms, 1.0)
+        mat = mat / safe[:, None]
+        return pd.Series([mat[i] if valid[i] else None for i in range(len(toks))], dtype="object")
 
     return embed
 
@@ -112,14 +117,15 @@ def hashed_embedding(text: Column, dims: int = 64) -> Column:
 
 def hashed_token_weights(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -> DataFrame:
     """Long form (id, bucket, weight) of the non-zero hashed weights."""
-    return (df.select(id_col, F.posexplode(hashed_embedding(F.col(text_col), dims)).alias("bucket", "weight"))
+    return (spread(df, id_col)
+            .select(id_col, F.posexplode(hashed_embedding(F.col(text_col), dims)).alias("bucket", "weight"))
             .where(F.col("weight") != 0).withColumn("bucket", F.col("bucket").cast("int")))
 
 
 def embed_text_hash(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -> DataFrame:
     """Adds a dense ``embedding array<float>`` (zero vector for a text
     without tokens)."""
-    return df.withColumn("embedding", F.transform(hashed_embedding(F.col(text_col), dims),
+    return spread(df, id_col).withColumn("embedding", F.transform(hashed_embedding(F.col(text_col), dims),
                                                   lambda x: x.cast("float")))
 
 

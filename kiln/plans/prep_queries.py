@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import py_strip
 from ..operators import prep as P
 from ..operators import retrieval as R
+from ..session import spread
 from ..tables import table
 from .registry import q, register
 
@@ -169,7 +170,7 @@ TOKENS_SQL = "WITH " + _tokens_sql()
 def token_rows(spark, sf):
     """(conv_id, turn, pos, token) for every turn wrapped with its role; a
     turn that is exactly one special token stays that token."""
-    c = table(spark, sf, "conversations")
+    c = spread(table(spark, sf, "conversations"), "conv_id")
     stripped = py_strip(F.col("text"))
     single = F.array_contains(P._specials_array(), stripped) & (F.instr(stripped, "\n") == 0)
     arr = F.when(single, F.array(stripped)).otherwise(P.token_pieces(R.chat_wrap(F.col("role"), F.col("text"))))

@@ -78,3 +78,16 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df, key: str):
+    """Hash-partition ``df`` by ``key`` when it has fewer partitions than
+    the cluster can run at once (a single large file read as one task).
+    Used before CPU-heavy per-row text work; with many input files it is a
+    no-op and adds no shuffle.  Hashing by the row id keeps the layout
+    deterministic across task retries."""
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
