@@ -47,9 +47,17 @@ def _truthy(v: Column) -> Column:
 
 
 def parse_flag_columns(text: Column, prefix: str = "") -> list[Column]:
-    """Three boolean columns (nullable) parsed from a model answer."""
-    doc = F.try_parse_json(json_span(text))
-    ok = doc.isNotNull() & F.schema_of_variant(doc).startswith("OBJECT")
+    """Three boolean columns (nullable) parsed from a model answer.
+
+    Spark's JSON parser stops after the first value and ignores what
+    follows; Python's rejects trailing text.  The span (which starts with
+    ``{`` and ends with ``}``) is therefore accepted only if it parses and
+    the span without its last character does not, i.e. the first value
+    ends exactly at the end of the span."""
+    span = json_span(text)
+    doc = F.try_parse_json(span)
+    whole = F.try_parse_json(F.substring(span, F.lit(1), F.length(span) - 1))
+    ok = doc.isNotNull() & whole.isNull() & F.schema_of_variant(doc).startswith("OBJECT")
     out = []
     for k in FLAG_KEYS:
         v = F.try_variant_get(doc, f"$.{k}", "variant")

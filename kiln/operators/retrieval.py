@@ -264,9 +264,9 @@ def knn_join(queries: DataFrame, collection: DataFrame, k: int = 5,
         bq_n = max(1, math.ceil(n_q / block_rows))
         bc_n = max(1, math.ceil(n_c / block_rows))
         qt = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(bq_n))) \
-              .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(bc_n - 1))).cast("long"))
+              .withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bc_n - 1).cast("long"))))
         ct = c.withColumn("_cb", F.pmod(F.xxhash64("_cid"), F.lit(bc_n))) \
-              .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(bq_n - 1))).cast("long"))
+              .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bq_n - 1).cast("long"))))
 
         def tile(qdf, cdf):
             if len(qdf) == 0 or len(cdf) == 0:
