@@ -1,0 +1,181 @@
+"""Image tensors for training and evaluation.
+
+Input rows come from Spark's image source (``sources.files.
+read_labelled_images``: height, width, n_channels, BGR bytes).  The
+transforms run per Arrow batch in numpy inside ``mapInPandas``; nothing
+leaves the task but the tensors.  Randomness of the training path is
+seeded per image (md5 of seed and origin), so a retried task produces the
+same crops.  Resizing is our own bilinear resampling; values will not
+match another library bit for bit.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import struct
+import zlib
+from typing import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+PIXELS_SCHEMA = T.StructType([
+    T.StructField("origin", T.StringType()), T.StructField("label", T.StringType()),
+    T.StructField("pixel_values", T.ArrayType(T.FloatType())),
+])
+
+
+# --------------------------------------------------------------------------
+# numpy helpers
+# --------------------------------------------------------------------------
+
+def to_rgb(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
+    """Spark image bytes (row-major, BGR / BGRA / gray) -> H x W x 3 RGB."""
+    a = np.frombuffer(bytes(data), dtype=np.uint8).reshape(height, width, channels)
+    if channels == 1:
+        return np.repeat(a, 3, axis=2)
+    return a[:, :, [2, 1, 0]]
+
+
+def resize_bilinear(img: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Bilinear resampling with half-pixel centres."""
+    H, W = img.shape[:2]
+    ys = np.clip((np.arange(h) + 0.5) * H / h - 0.5, 0, H - 1)
+    xs = np.clip((np.arange(w) + 0.5) * W / w - 0.5, 0, W - 1)
+    y0, x0 = np.floor(ys).astype(int), np.floor(xs).astype(int)
+    y1, x1 = np.minimum(y0 + 1, H - 1), np.minimum(x0 + 1, W - 1)
+    wy, wx = (ys - y0)[:, None, None], (xs - x0)[None, :, None]
+    f = img.astype(np.float64)
+    top = f[y0][:, x0] * (1 - wx) + f[y0][:, x1] * wx
+    bot = f[y1][:, x0] * (1 - wx) + f[y1][:, x1] * wx
+    return top * (1 - wy) + bot * wy
+
+
+def resize_shorter(img: np.ndarray, size: int) -> np.ndarray:
+    H, W = img.shape[:2]
+    if H <= W:
+        return resize_bilinear(img, size, max(1, int(round(W * size / H))))
+    return resize_bilinear(img, max(1, int(round(H * size / W))), size)
+
+
+def center_crop(img: np.ndarray, size: int) -> np.ndarray:
+    H, W = img.shape[:2]
+    top, left = max(0, (H - size) // 2), max(0, (W - size) // 2)
+    return img[top:top + size, left:left + size]
+
+
+def normalise(img: np.ndarray, mean: Sequence[float], std: Sequence[float]) -> np.ndarray:
+    """0..255 H x W x 3 -> (x/255 - mean) / std as a C x H x W float32."""
+    x = img.astype(np.float64) / 255.0
+    x = (x - np.asarray(mean)) / np.asarray(std)
+    return x.transpose(2, 0, 1).astype(np.float32)
+
+
+def random_resized_crop(img: np.ndarray, size: int, rng: np.random.Generator,
+                        scale=(0.08, 1.0), ratio=(3 / 4, 4 / 3)) -> np.ndarray:
+    """Crop of random area share and aspect ratio, resized to size x size
+    (ten tries, then the centre crop of the allowed ratio)."""
+    H, W = img.shape[:2]
+    area = H * W
+    for _ in range(10):
+        target = area * rng.uniform(*scale)
+        aspect = np.exp(rng.uniform(np.log(ratio[0]), np.log(ratio[1])))
+        w = int(round(np.sqrt(target * aspect)))
+        h = int(round(np.sqrt(target / aspect)))
+        if 0 < w <= W and 0 < h <= H:
+            top = int(rng.integers(0, H - h + 1))
+            left = int(rng.integers(0, W - w + 1))
+            return resize_bilinear(img[top:top + h, left:left + w], size, size)
+    r = W / H
+    if r < ratio[0]:
+        w, h = W, int(round(W / ratio[0]))
+    elif r > ratio[1]:
+        h, w = H, int(round(H * ratio[1]))
+    else:
+        w, h = W, H
+    top, left = (H - h) // 2, (W - w) // 2
+    return resize_bilinear(img[top:top + h, left:left + w], size, size)
+
+
+def _rng_for(seed: int, origin: str) -> np.random.Generator:
+    h = hashlib.md5(f"{seed}-{origin}".encode("utf-8")).digest()
+    return np.random.default_rng(int.from_bytes(h[:8], "big"))
+
+
+# --------------------------------------------------------------------------
+# DataFrame operators
+# --------------------------------------------------------------------------
+
+def _prep(images: DataFrame, size: int, mean, std, train: bool, seed: int) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                img = to_rgb(int(r.height), int(r.width), int(r.n_channels), r.data)
+                if train:
+                    rng = _rng_for(seed, r.origin)
+                    img = random_resized_crop(img, size, rng)
+                    if rng.uniform() < 0.5:
+                        img = img[:, ::-1]
+                else:
+                    img = center_crop(resize_shorter(img, size), size)
+                out.append(normalise(img, mean, std).ravel())
+            yield pd.DataFrame({"origin": b["origin"], "label": b["label"], "pixel_values": out})
+
+    cols = images.select("origin", "label", "height", "width", "n_channels", "data")
+    return cols.mapInPandas(run, PIXELS_SCHEMA)
+
+
+def image_prep_eval(images: DataFrame, size: int = 224, mean=(0.5, 0.5, 0.5), std=(0.5, 0.5, 0.5)) -> DataFrame:
+    """Resize the shorter side, centre crop, scale to 0..1, normalise."""
+    return _prep(images, size, mean, std, False, 0)
+
+
+def image_prep_train(images: DataFrame, size: int = 224, mean=(0.5, 0.5, 0.5), std=(0.5, 0.5, 0.5),
+                     seed: int = 42) -> DataFrame:
+    """Random resized crop and horizontal flip (seeded per image), then
+    scale and normalise."""
+    return _prep(images, size, mean, std, True, seed)
+
+
+# --------------------------------------------------------------------------
+# PNG writing (to build labelled image folders from table data)
+# --------------------------------------------------------------------------
+
+def png_bytes(rgb: np.ndarray) -> bytes:
+    """Minimal PNG encoder for an H x W x 3 uint8 array."""
+    h, w, _ = rgb.shape
+    raw = b"".join(b"\x00" + rgb[y].astype(np.uint8).tobytes() for y in range(h))
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data) & 0xFFFFFFFF)
+
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+
+
+def write_image_folders(df: DataFrame, out: str, name_col: str, label_col: str, pixels_col: str,
+                        height: int, width: int) -> DataFrame:
+    """Write one PNG per row to ``out/<label>/<name>.png`` from a flat
+    array of H*W*3 values in 0..255; returns (path) rows.  Files are
+    written by the tasks themselves, so ``out`` must be a folder every
+    executor can reach through the file system."""
+    schema = T.StructType([T.StructField("path", T.StringType())])
+
+    def run(batches):
+        for b in batches:
+            paths = []
+            for r in b.itertuples(index=False):
+                d = os.path.join(out, str(getattr(r, label_col)))
+                os.makedirs(d, exist_ok=True)
+                p = os.path.join(d, f"{getattr(r, name_col)}.png")
+                arr = np.clip(np.asarray(getattr(r, pixels_col), dtype=np.float64), 0, 255)
+                with open(p, "wb") as f:
+                    f.write(png_bytes(arr.reshape(height, width, 3).astype(np.uint8)))
+                paths.append(p)
+            yield pd.DataFrame({"path": paths})
+
+    return df.select(name_col, label_col, pixels_col).mapInPandas(run, schema)

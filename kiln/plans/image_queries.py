@@ -1,0 +1,77 @@
+"""Image queries.  Pictures are derived from ``embeddings``: vector v of
+label L becomes ``<folder>/L/<vec_id>.png``, an 8 x 8 RGB image whose
+value at flat position i = (y * 8 + x) * 3 + c is
+round((v[(i div 3 + 21 c) mod 64] + 1) * 127.5) - 40 c, clipped to 0..255
+(the channel offset lets the check see a swapped channel order)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..operators import images as I
+from ..session import scratch_path
+from ..sources import files as S
+from ..tables import table
+from .registry import register
+
+SIDE = 8
+SEED = 42
+
+
+def _pixel_expr():
+    def val(i):
+        pos = F.pmod(F.floor(i / 3) + F.lit(21) * F.pmod(i, F.lit(3)), F.lit(64)) + 1
+        v = F.element_at(F.col("embedding"), pos.cast("int")).cast("double")
+        return F.least(F.greatest(F.round((v + 1) * 127.5) - F.lit(40) * F.pmod(i, F.lit(3)), F.lit(0.0)),
+                       F.lit(255.0))
+    return F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE * 3 - 1)), val)
+
+
+def image_folder(spark, sf):
+    out = os.path.join(scratch_path(spark, "images"), "img")
+    e = table(spark, sf, "embeddings").select("vec_id", "label", _pixel_expr().alias("px"))
+    I.write_image_folders(e, out, "vec_id", "label", "px", SIDE, SIDE).write.format("noop").mode("overwrite").save()
+    imgs = S.read_labelled_images(spark, out)
+    return imgs.withColumn("vec_id", F.regexp_extract("origin", r"/(\d+)\.png$", 1).cast("long"))
+
+
+PIX_SQL = f"""
+ px AS (SELECT vec_id, label, i, least(greatest(round((CAST(embedding[((i // 3 + 21 * (i % 3)) % 64) + 1] AS DOUBLE) + 1)
+             * 127.5) - 40 * (i % 3), 0), 255) AS p FROM embeddings, range({SIDE * SIDE * 3}) t(i))"""
+
+
+@register("scan_images", sql=f"""
+SELECT CAST(label AS VARCHAR) AS label, count(*) AS cnt, {SIDE} AS height, {SIDE} AS width FROM embeddings GROUP BY label""")
+def scan_images(spark, sf):
+    return image_folder(spark, sf).groupBy("label").agg(F.count("*").alias("cnt"), F.max("height").alias("height"),
+                                                         F.max("width").alias("width"))
+
+
+@register("image_prep_eval", sql="WITH " + PIX_SQL + """
+SELECT vec_id, CAST(label AS VARCHAR) AS label,
+       CAST(sum(p) FILTER (WHERE i % 3 = 0) AS BIGINT) AS sum_r,
+       CAST(sum(p) FILTER (WHERE i % 3 = 1) AS BIGINT) AS sum_g,
+       CAST(sum(p) FILTER (WHERE i % 3 = 2) AS BIGINT) AS sum_b
+FROM px GROUP BY vec_id, label""")
+def image_prep_eval(spark, sf):
+    """Per-channel sums of the pixel values recovered from the normalised
+    tensor (x * 0.5 + 0.5) * 255: exact integers, so the check sees the
+    decode, the channel order and the normalisation."""
+    imgs = image_folder(spark, sf)
+    t = I.image_prep_eval(imgs, SIDE).withColumn("vec_id", F.regexp_extract("origin", r"/(\d+)\.png$", 1).cast("long"))
+    n = SIDE * SIDE
+
+    def chan(c):
+        pix = F.transform(F.slice("pixel_values", c * n + 1, n),
+                          lambda x: F.round((x.cast("double") * 0.5 + 0.5) * 255).cast("long"))
+        return F.aggregate(pix, F.lit(0).cast("long"), lambda a, x: a + x)
+    return t.select("vec_id", "label", chan(0).alias("sum_r"), chan(1).alias("sum_g"), chan(2).alias("sum_b"))
+
+
+@register("image_prep_train")
+def image_prep_train(spark, sf):
+    t = I.image_prep_train(image_folder(spark, sf), SIDE, seed=SEED)
+    return t.select(F.regexp_extract("origin", r"/(\d+)\.png$", 1).cast("long").alias("vec_id"), "label",
+                    F.size("pixel_values").alias("n_values"))

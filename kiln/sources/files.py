@@ -55,7 +55,7 @@ def read_binary_docs(spark: SparkSession, path: str, glob: str | None = None) ->
 def read_labelled_images(spark: SparkSession, path: str) -> DataFrame:
     """Images decoded by Spark's image source; ``label`` is the name of the
     parent folder.  Undecodable files are dropped."""
-    img = spark.read.format("image").option("dropInvalid", True).load(path)
+    img = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
     return img.select(
         F.col("image.origin").alias("origin"),
         F.regexp_extract(F.col("image.origin"), r"/([^/]+)/[^/]+$", 1).alias("label"),

@@ -1,0 +1,45 @@
+"""Image path: PNG round trip through Spark's image source, transforms."""
+import os
+
+import numpy as np
+
+from kiln.operators import images as I
+from kiln.session import scratch_path
+from kiln.sources.files import read_labelled_images
+
+
+def _folder(spark):
+    out = os.path.join(scratch_path(spark, "test-img"), "img")
+    rows = []
+    for k in range(6):
+        rgb = (np.arange(6 * 10 * 3).reshape(6, 10, 3) * (k + 1)) % 256
+        rows.append((k, f"class{k % 2}", [float(x) for x in rgb.ravel()]))
+    df = spark.createDataFrame(rows, "name long, label string, px array<double>")
+    I.write_image_folders(df, out, "name", "label", "px", 6, 10).collect()
+    return read_labelled_images(spark, out), rows
+
+
+def test_png_round_trip_and_labels(spark):
+    imgs, rows = _folder(spark)
+    got = {os.path.basename(r["origin"]): r for r in imgs.collect()}
+    assert len(got) == 6
+    r = got["3.png"]
+    assert (r["label"], r["height"], r["width"], r["n_channels"]) == ("class1", 6, 10, 3)
+    rgb = I.to_rgb(r["height"], r["width"], r["n_channels"], r["data"])
+    assert np.array_equal(rgb.ravel(), np.array(rows[3][2], dtype=np.uint8))
+
+
+def test_eval_and_train_shapes_and_determinism(spark):
+    imgs, _ = _folder(spark)
+    ev = I.image_prep_eval(imgs, 4).collect()
+    assert all(len(r["pixel_values"]) == 3 * 4 * 4 for r in ev)
+    assert all(-1.0 <= min(r["pixel_values"]) and max(r["pixel_values"]) <= 1.0 for r in ev)
+    a = {r["origin"]: r["pixel_values"] for r in I.image_prep_train(imgs, 4, seed=7).collect()}
+    b = {r["origin"]: r["pixel_values"] for r in I.image_prep_train(imgs.repartition(3), 4, seed=7).collect()}
+    assert a == b
+
+
+def test_resize_identity_and_center_crop():
+    img = np.random.default_rng(0).integers(0, 255, size=(5, 7, 3)).astype(np.uint8)
+    assert np.allclose(I.resize_bilinear(img, 5, 7), img)
+    assert I.center_crop(I.resize_shorter(img, 3), 3).shape == (3, 3, 3)
