@@ -37,8 +37,8 @@ def con():
 
 def test_every_query_has_a_check():
     missing = sorted(set(QUERIES) - set(SQL))
-    # rows-only keys are allowed, but none exist today
-    assert missing == []
+    # seeded random crops have no SQL twin; they are covered by unit tests
+    assert missing == ["image_prep_train"]
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
