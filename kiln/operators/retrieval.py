@@ -110,8 +110,12 @@ def hashed_embedding(text: Column, dims: int = 64) -> Column:
     sign from the next bit.  All tokens of a text live in its row, so this
     is a row-local Arrow-batched pandas UDF: one pass, no shuffle (the
     equivalent explode + aggregate plan would shuffle and re-join the
-    text)."""
-    udf = F.pandas_udf(_hash_embedding_fn(dims), T.ArrayType(T.DoubleType()))
+    text).
+
+    The UDF is a pure function of the text but is marked
+    non-deterministic: otherwise Catalyst pushes a filter on the embedding
+    below the projection and evaluates the UDF twice."""
+    udf = F.pandas_udf(_hash_embedding_fn(dims), T.ArrayType(T.DoubleType())).asNondeterministic()
     return udf(text)
 
 

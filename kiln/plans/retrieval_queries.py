@@ -201,8 +201,8 @@ def _nonzero(c="embedding"):
 def doc_collection(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "source", "text")
     e = R.embed_text_hash(d, "doc_id", "text", DIMS).withColumn("page", F.lit(1))
-    coll = R.text_vectors(e, "doc_id", "source", "page", "text", "embedding").where(_nonzero())
-    return materialize(coll, "doc-collection")  # the stored collection
+    coll = R.text_vectors(e, "doc_id", "source", "page", "text", "embedding")
+    return materialize(coll, "doc-collection").where(_nonzero())  # the stored collection
 
 
 def user_questions(spark, sf):

@@ -86,8 +86,11 @@ def spread(df, key: str):
     Used before CPU-heavy per-row text work; with many input files it is a
     no-op and adds no shuffle.  Hashing by the row id keeps the layout
     deterministic across task retries."""
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the layout alone
+        return df
+    if have >= want:
         return df
     return df.repartition(want, key)
