@@ -218,7 +218,7 @@ WITH t AS (SELECT count(*) AS total FROM documents),
  c AS (SELECT lang, count(*) AS cnt FROM documents GROUP BY lang),
  qq AS (SELECT lang, greatest(1, ({N_STRAT} * cnt) // total) AS quota FROM c, t),
  r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rk FROM documents)
-SELECT r.doc_id, r.lang, r.rk FROM r JOIN qq ON r.lang IS NOT DISTINCT FROM qq.lang WHERE r.rk <= qq.quota""")
+SELECT r.doc_id, r.lang, CAST(r.rk AS INTEGER) AS rk FROM r JOIN qq ON r.lang IS NOT DISTINCT FROM qq.lang WHERE r.rk <= qq.quota""")
 def head_per_stratum(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang")
     return C.head_per_stratum(d, N_STRAT, "lang", "doc_id").select("doc_id", "lang", "rk")

@@ -98,8 +98,8 @@ def scan_csv_claims(spark, sf):
     _, src, _, _ = _paths(spark, "claims-csv")
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_acctbal")
     c.write.option("header", True).csv(src)
-    train = S.read_claims_csv(spark, src)
-    return P.row_to_text(train, "id", "target")
+    train = S.read_claims_csv(spark, src)  # types inferred once from the file
+    return P.row_to_text(train, "id", "target").withColumn("id", F.col("id").cast("long"))
 
 
 @register("scan_binary_docs", sql="SELECT page_id, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages")
