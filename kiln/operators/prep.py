@@ -248,13 +248,20 @@ def decode_long(id_rows: DataFrame, vocab: DataFrame, vocab_size: int, id_col: s
 # Truncation, padding, batches
 # --------------------------------------------------------------------------
 
-def assign_batches(df: DataFrame, key_cols: Sequence[str], batch_size: int, n_buckets: int,
-                   seed: int = 42, sort_col: str | None = None) -> DataFrame:
-    """Adds (bucket, batch): rows are hashed into ``n_buckets`` buckets by
-    a seeded key and cut into consecutive batches of ``batch_size`` inside
-    a bucket (ordered by ``sort_col`` then the key, so sorting by length
-    reduces padding).  No global window: each bucket is one window
-    partition whose size is rows / n_buckets."""
+def n_buckets_for(rows: int, rows_per_bucket: int) -> int:
+    return max(1, math.ceil(rows / rows_per_bucket))
+
+
+def assign_batches(df: DataFrame, key_cols: Sequence[str], batch_size: int, n_buckets: int | None = None,
+                   seed: int = 42, sort_col: str | None = None, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Adds (bucket, batch): rows are hashed into buckets by a seeded key and
+    cut into consecutive batches of ``batch_size`` inside a bucket (ordered
+    by ``sort_col`` then the key, so sorting by length reduces padding).
+    No global window: each bucket is one window partition.  Without
+    ``n_buckets`` the count is ceil(rows / rows_per_bucket) (one count
+    job), so a window partition never grows with the data."""
+    if n_buckets is None:
+        n_buckets = n_buckets_for(df.count(), rows_per_bucket)
     k = seeded_key(seed, *[F.col(c) for c in key_cols])
     digest8 = F.conv(F.substring(F.col("_k"), 1, 8), 16, 10).cast("bigint")
     d = df.withColumn("_k", k).withColumn("bucket", F.pmod(digest8, F.lit(n_buckets)).cast("int"))

@@ -24,7 +24,7 @@ SEED = 42
 VOCAB = 4096
 MAX_LEN = 128
 BATCH = 16
-N_BUCKETS = 8
+ROWS_PER_BUCKET = 64  # small so that the fixtures exercise many buckets
 
 
 def _order_sql(cols: list[str]) -> str:
@@ -214,7 +214,8 @@ def _batches_sql(side: str) -> str:
     return TOKENS_SQL + f""",
  bt AS (SELECT conv_id, turn, ids, CAST(least(len(ids), {MAX_LEN}) AS INTEGER) AS n_tokens,
           CAST(('0x' || substr(md5('{SEED}-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)), 1, 8))::BIGINT
-               % {N_BUCKETS} AS INTEGER) AS bucket,
+               % greatest(1, CAST(ceil((SELECT count(*) FROM conversations) / {ROWS_PER_BUCKET}) AS BIGINT))
+               AS INTEGER) AS bucket,
           md5('{SEED}-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS k FROM seqs),
  bb AS (SELECT *, CAST((row_number() OVER (PARTITION BY bucket ORDER BY k) - 1) // {BATCH} AS INTEGER) AS batch FROM bt),
  pd AS (SELECT *, max(n_tokens) OVER (PARTITION BY bucket, batch) AS padded_len FROM bb),
@@ -223,7 +224,7 @@ def _batches_sql(side: str) -> str:
 
 def padded(spark, sf, side):
     seqs, _ = sequences(spark, sf)
-    b = P.assign_batches(seqs, ["conv_id", "turn"], BATCH, N_BUCKETS, SEED)
+    b = P.assign_batches(seqs, ["conv_id", "turn"], BATCH, seed=SEED, rows_per_bucket=ROWS_PER_BUCKET)
     return P.truncate_pad(b, "ids", MAX_LEN, pad_id=0, side=side)
 
 
