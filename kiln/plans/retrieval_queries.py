@@ -226,23 +226,27 @@ def rag_context_df(spark, sf):
 
 RAG_SQL = "WITH " + hash_weights_sql("dh", "documents", "doc_id", "text") + "," + hash_weights_sql(
     "uh", "(SELECT conv_id || ':' || turn AS qid, text FROM conversations WHERE role = 'user')", "qid", "text") + f""",
- coll AS (SELECT {vector_id_sql('text', 'd.doc_id', 'd.source')} AS id, d.text AS document, 'text' AS type, 1 AS page,
-            e.emb FROM documents d JOIN dh_e e ON e.id = d.doc_id
-          WHERE list_dot_product(CAST(e.emb AS DOUBLE[]), CAST(e.emb AS DOUBLE[])) > 0),
+ coll0 AS (SELECT {vector_id_sql('text', 'd.doc_id', 'd.source')} AS id, d.text AS document, 'text' AS type, 1 AS page,
+            CAST(e.emb AS DOUBLE[]) AS v FROM documents d JOIN dh_e e ON e.id = d.doc_id),
+ coll AS (SELECT *, sqrt(list_dot_product(v, v)) AS n FROM coll0 WHERE list_dot_product(v, v) > 0),
  qs AS (SELECT conv_id || ':' || turn AS query_id, conv_id, turn, text AS question FROM conversations WHERE role = 'user'),
- qe AS (SELECT id AS query_id, emb FROM uh_e WHERE list_dot_product(CAST(emb AS DOUBLE[]), CAST(emb AS DOUBLE[])) > 0),
+ qe AS (SELECT query_id, v, sqrt(list_dot_product(v, v)) AS n
+        FROM (SELECT id AS query_id, CAST(emb AS DOUBLE[]) AS v FROM uh_e) WHERE list_dot_product(v, v) > 0),
  pairs AS (SELECT qe.query_id, coll.id, coll.document, coll.type, coll.page,
-             round({_dist_sql('qe.emb', 'coll.emb')}, 12) AS distance FROM qe, coll),
- ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
+             round(1 - list_dot_product(qe.v, coll.v) / (qe.n * coll.n), 12) AS distance FROM qe, coll),
+ ranked AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
             WHERE rank <= {K_RAG}),
- pieces AS (SELECT *, (CASE WHEN type = 'text' THEN '[Text from page ' ELSE '[Image from page ' END) || CAST(page AS VARCHAR)
+ pieces AS MATERIALIZED (SELECT *, (CASE WHEN type = 'text' THEN '[Text from page ' ELSE '[Image from page ' END) || CAST(page AS VARCHAR)
                || ', relevance: ' || printf('%.2f', 1.0 - distance) || ']' || chr(10) || document || chr(10) AS piece FROM ranked),
- kept AS (SELECT * FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY query_id ORDER BY rank
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM pieces) WHERE run <= {BUDGET}),
- ctx AS (SELECT q.query_id, CASE WHEN NOT EXISTS (SELECT 1 FROM ranked r WHERE r.query_id = q.query_id)
-                     THEN {q(R.NO_CONTEXT)}
-                     ELSE coalesce((SELECT string_agg(piece, chr(10) || '---' || chr(10) ORDER BY rank) FROM kept k
-                                    WHERE k.query_id = q.query_id), '') END AS context FROM qs q)"""
+ lens AS MATERIALIZED (SELECT query_id, rank, length(piece) AS plen FROM pieces),
+ runs AS (SELECT a.query_id, a.rank, sum(b.plen) AS run FROM lens a JOIN lens b
+          ON a.query_id = b.query_id AND b.rank <= a.rank GROUP BY a.query_id, a.rank),
+ kept AS (SELECT p.* FROM pieces p JOIN runs r ON p.query_id = r.query_id AND p.rank = r.rank WHERE r.run <= {BUDGET}),
+ has AS (SELECT DISTINCT query_id FROM ranked),
+ joined AS (SELECT query_id, string_agg(piece, chr(10) || '---' || chr(10) ORDER BY rank) AS c FROM kept GROUP BY query_id),
+ ctx AS MATERIALIZED (SELECT q.query_id, CASE WHEN h.query_id IS NULL THEN {q(R.NO_CONTEXT)} ELSE coalesce(j.c, '') END
+                AS context FROM qs q LEFT JOIN has h ON h.query_id = q.query_id
+                LEFT JOIN joined j ON j.query_id = q.query_id)"""
 
 
 @register("rag_context", sql=RAG_SQL + "\nSELECT query_id, context FROM ctx")
