@@ -32,3 +32,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.exact_dedup import duplicate_classes
     return duplicate_classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
+
+
+@query("op4_bpe_roundtrip")
+def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.bpe import bpe_digests
+    return bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
