@@ -49,3 +49,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.bpe import bpe_digests
     return bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.packing import Capacity, pack
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), Capacity(tokens=4096), end_id=1)
