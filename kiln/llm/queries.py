@@ -55,3 +55,12 @@ def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.packing import Capacity, pack
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), Capacity(tokens=4096), end_id=1)
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.langid import fold, learn, predict
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.filter(fold(3) != 1).select("doc_id", "text", "lang"))
+    found = predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
