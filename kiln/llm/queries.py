@@ -64,3 +64,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn(docs.filter(fold(3) != 1).select("doc_id", "text", "lang"))
     found = predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_rule_quality")
+def op6_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.langid import fold
+    from kiln.llm.rule_quality import learn
+    from kiln.llm.text_stats import with_statistics
+    from kiln.session import materialize
+    measured = materialize(with_statistics(table(spark, sf_dir, "documents"), ["doc_id"]), "text-statistics")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    rules = learn(measured.join(labels, "doc_id").filter(fold(5) != 0), "quality")
+    score = measured.select("doc_id", (fold(5) == 0).alias("held_out"), rules.score().alias("score"))
+    return score.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
