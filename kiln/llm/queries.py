@@ -77,3 +77,9 @@ def op6_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = learn(measured.join(labels, "doc_id").filter(fold(5) != 0), "quality")
     score = measured.select("doc_id", (fold(5) == 0).alias("held_out"), rules.score().alias("score"))
     return score.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op10_minhash_near_dedup")
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
