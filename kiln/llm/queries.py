@@ -83,3 +83,9 @@ def op6_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.minhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.suffix_dedup import repeat_digests
+    return repeat_digests(table(spark, sf_dir, "documents"), length=200).drop("row")
