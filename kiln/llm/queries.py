@@ -89,3 +89,36 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.suffix_dedup import repeat_digests
     return repeat_digests(table(spark, sf_dir, "documents"), length=200).drop("row")
+
+
+@query("op1_lm_scoring", r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, unnest(w) AS c, unnest(range(len(w))) AS i, w FROM d),
+    g AS (SELECT doc_id, i, c, CASE WHEN i >= 1 THEN w[i] END AS b, CASE WHEN i >= 2 THEN w[i - 1] END AS a FROM p),
+    own1 AS (SELECT doc_id, c, count(*) AS n FROM g GROUP BY ALL), all1 AS (SELECT c, sum(n) AS n FROM own1 GROUP BY ALL),
+    own2 AS (SELECT doc_id, b, c, count(*) AS n FROM g WHERE i >= 1 GROUP BY ALL), all2 AS (SELECT b, c, sum(n) AS n FROM own2 GROUP BY ALL),
+    own3 AS (SELECT doc_id, a, b, c, count(*) AS n FROM g WHERE i >= 2 GROUP BY ALL), all3 AS (SELECT a, b, c, sum(n) AS n FROM own3 GROUP BY ALL),
+    l1 AS (SELECT doc_id, c, all1.n - own1.n AS n FROM own1 JOIN all1 USING (c)),
+    l2 AS (SELECT doc_id, b, c, all2.n - own2.n AS n FROM own2 JOIN all2 USING (b, c)),
+    l3 AS (SELECT doc_id, a, b, c, all3.n - own3.n AS n FROM own3 JOIN all3 USING (a, b, c)),
+    s AS (SELECT g.doc_id, least(i + 1, 3) AS have, t.n AS n3, bi.n AS n2, u.n AS n1, cb.n AS context2, cu.n AS context1
+          FROM g JOIN l1 u ON u.doc_id = g.doc_id AND u.c = g.c
+          LEFT JOIN l1 cu ON cu.doc_id = g.doc_id AND cu.c = g.b
+          LEFT JOIN l2 bi ON bi.doc_id = g.doc_id AND bi.b = g.b AND bi.c = g.c
+          LEFT JOIN l2 cb ON cb.doc_id = g.doc_id AND cb.b = g.a AND cb.c = g.b
+          LEFT JOIN l3 t ON t.doc_id = g.doc_id AND t.a = g.a AND t.b = g.b AND t.c = g.c),
+    f AS (SELECT *, CASE WHEN n3 > 0 THEN 3 WHEN n2 > 0 THEN 2 WHEN n1 > 0 THEN 1 ELSE 0 END AS used FROM s),
+    x AS (SELECT doc_id, used, CAST(round(1e6 * ln(pow(0.4, have - used) * CASE used
+              WHEN 3 THEN CAST(n3 AS DOUBLE) / CAST(context2 AS DOUBLE) WHEN 2 THEN CAST(n2 AS DOUBLE) / CAST(context1 AS DOUBLE)
+              WHEN 1 THEN CAST(n1 AS DOUBLE) ELSE 1.0 END)) AS BIGINT) AS micro FROM f),
+    y AS (SELECT doc_id, count(*) AS n, count(*) FILTER (used = 3) AS t, count(*) FILTER (used = 2) AS b,
+                 count(*) FILTER (used = 1) AS u, count(*) FILTER (used = 0) AS z, sum(micro) AS micro FROM x GROUP BY doc_id),
+    z AS (SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, coalesce(t, 0) AS n_trigrams, coalesce(b, 0) AS n_bigrams,
+                 coalesce(u, 0) AS n_unigrams, coalesce(z, 0) AS n_unknown, coalesce(micro, 0) AS micro FROM d LEFT JOIN y USING (doc_id)),
+    r AS (SELECT *, CAST(micro - (n_unigrams + n_unknown) * CAST(round(1e6 * ln(CAST(greatest(sum(n_words) OVER () - n_words, 1) AS DOUBLE))) AS BIGINT) AS BIGINT) AS score_micro FROM z)
+    SELECT doc_id, n_words, n_trigrams, n_bigrams, n_unigrams, n_unknown, score_micro,
+           CASE WHEN n_words > 0 THEN CAST(score_micro AS DOUBLE) / (n_words * CAST(1e6 AS DOUBLE)) ELSE 0.0 END AS score FROM r""")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.lm_scoring import backoff_scores
+    return backoff_scores(table(spark, sf_dir, "documents"))
