@@ -122,3 +122,9 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.lm_scoring import backoff_scores
     return backoff_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ann_graph")
+def op2_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.ann_graph import nearest_neighbours
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20)
