@@ -11,7 +11,9 @@ greedy search from the shard's centre proposes the nodes it has expanded, and
 relaxed pruning keeps of these and the present neighbours the nearest, drops
 each that lies by the factor ``alpha`` nearer to the kept one than to the
 node, and goes on to the next nearest.  Edges are added back and an
-overfull neighbour is pruned the same way.
+overfull neighbour is pruned the same way.  A tight cluster can keep all its
+edges to itself, so searches begin at ``ENTRIES`` nodes: one half chosen each
+farthest from those before, the other half at random.
 
 The index (a row a shard) is written to the shared folder.  Queries go to
 every shard in blocks; a beam search gives the nearest nodes, their exact
@@ -35,14 +37,14 @@ from pyspark.sql.window import Window
 
 from kiln.session import materialize
 
-DEGREE, BEAM, EXPAND, ALPHA, BATCH = 32, 64, 4, 1.2, 512
+DEGREE, BEAM, EXPAND, ALPHA, BATCH, ENTRIES = 32, 64, 4, 1.2, 512, 128
 
 
 class Graph:
     """A shard's vectors (unit-like: equal norms) and out-edges (-1: none)."""
 
-    def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int):
-        self.vectors, self.edges, self.start = vectors, edges, start
+    def __init__(self, vectors: np.ndarray, edges: np.ndarray, entries: np.ndarray):
+        self.vectors, self.edges, self.entries = vectors, edges, entries
 
     def search(self, queries: np.ndarray, beam: int, keep_expanded: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Beam search of a block of queries: node and closeness (inner
@@ -51,9 +53,12 @@ class Graph:
         nodes = np.full((b, beam), -1, np.int64)
         close = np.full((b, beam), -np.inf, np.float32)
         open_ = np.zeros((b, beam), bool)
-        nodes[:, 0], close[:, 0], open_[:, 0] = self.start, queries @ self.vectors[self.start], True
         expanded = []
         rows = np.arange(b)[:, None]
+        first = queries @ self.vectors[self.entries].T
+        best = np.argsort(-first, axis=1, kind="stable")[:, :beam]
+        width = best.shape[1]
+        nodes[:, :width], close[:, :width], open_[:, :width] = self.entries[best], first[rows, best], True
         while open_.any():
             at = np.argsort(~open_, axis=1, kind="stable")[:, :EXPAND]  # the beam is sorted: the closest open ones
             chosen = np.where(open_[rows, at], nodes[rows, at], -1)
@@ -105,6 +110,16 @@ def robust_prune(vectors: np.ndarray, nodes: np.ndarray, candidates: np.ndarray,
     return out
 
 
+def _entries(vectors: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    n = len(vectors)
+    far = [int(np.argmax(vectors @ vectors.mean(0)))]
+    closest = vectors @ vectors[far[0]]
+    while len(far) < min(ENTRIES // 2, n):
+        far.append(int(np.argmin(closest)))
+        closest = np.maximum(closest, vectors @ vectors[far[-1]])
+    return np.unique(np.append(far, rng.permutation(n)[:ENTRIES // 2]))
+
+
 def build(vectors: np.ndarray, seed: int, degree: int = DEGREE, beam: int = BEAM) -> Graph:
     """A graph over ``vectors`` of equal norm."""
     n = len(vectors)
@@ -113,7 +128,7 @@ def build(vectors: np.ndarray, seed: int, degree: int = DEGREE, beam: int = BEAM
     if n > 1:
         width = min(degree // 2, n - 1)
         edges[:, :width] = (np.arange(n)[:, None] + rng.integers(1, n, (n, width))) % n
-    graph = Graph(vectors, edges, int(np.argmax(vectors @ vectors.mean(0))))
+    graph = Graph(vectors, edges, _entries(vectors, rng))
     for alpha in (1.0, ALPHA):
         order = rng.permutation(n)
         for lo in range(0, n, BATCH):
@@ -162,13 +177,13 @@ def lifted(vectors: np.ndarray) -> np.ndarray:
 
 
 def _indexed(table: pa.Table) -> pa.Table:
-    """A shard's rows as one row: vectors, member ids, edges, start."""
+    """A shard's rows as one row: vectors, member ids, edges, entries."""
     table = table.sort_by("node")
     vectors = _matrix(table.column("vector"))
     graph = build(lifted(vectors.astype(np.float64)), int(table.column("shard")[0].as_py()))
     return pa.table({"shard": table.column("shard")[:1], "dims": pa.array([vectors.shape[1]], pa.int32()), "vectors": pa.array([vectors.tobytes()], pa.binary()),
                      "members": pa.array([table.column("members").to_pylist()], pa.list_(pa.list_(pa.int64()))),
-                     "edges": pa.array([graph.edges.astype(np.int32).tobytes()], pa.binary()), "start": pa.array([graph.start], pa.int32())})
+                     "edges": pa.array([graph.edges.astype(np.int32).tobytes()], pa.binary()), "entries": pa.array([graph.entries.astype(np.int32)], pa.list_(pa.int32()))})
 
 
 def usable(vector: Column) -> Column:
@@ -196,7 +211,7 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = 8192) -> DataFrame
     shards = max(1, -(-nodes.count() // shard_rows))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
     return materialize(dealt.groupBy("shard").applyInArrow(
-        _indexed, "shard int, dims int, vectors binary, members array<array<long>>, edges binary, start int"), "vector-index")
+        _indexed, "shard int, dims int, vectors binary, members array<array<long>>, edges binary, entries array<int>"), "vector-index")
 
 
 def _searched(queries: pa.Table, index: pa.Table, k: int, beam: int) -> pa.Table:
@@ -206,7 +221,7 @@ def _searched(queries: pa.Table, index: pa.Table, k: int, beam: int) -> pa.Table
     row = index.slice(0, 1).to_pylist()[0]
     asked = _matrix(queries.column("vector"))
     vectors = np.frombuffer(row["vectors"], asked.dtype).reshape(-1, row["dims"])
-    graph = Graph(lifted(vectors.astype(np.float64)), np.frombuffer(row["edges"], np.int32).reshape(len(vectors), -1).astype(np.int64), row["start"])
+    graph = Graph(lifted(vectors.astype(np.float64)), np.frombuffer(row["edges"], np.int32).reshape(len(vectors), -1).astype(np.int64), np.array(row["entries"], np.int64))
     ids, out = queries.column("query_id").to_numpy(), []
     for lo in range(0, len(ids), BATCH):
         part = asked[lo:lo + BATCH]
