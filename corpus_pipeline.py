@@ -1,14 +1,65 @@
-"""Corpus preparation from documents to packed training sequences."""
+"""Corpus preparation from documents to packed training sequences.
+
+Each stage is one operator of ``kiln.llm`` over all rows that the stage
+before has kept.  It takes ``(spark, docs, sf_dir)``; all but the last return
+the columns of ``docs``.  Between stages the documents are written to the
+shared folder and read again.
+
+Defined results: documents without text, without a letter or of unclear
+language go at the first stage; of equal texts the row with the largest
+``doc_id`` stays; of near-duplicates (five-word shingles, similarity 0.8) the
+one with the smallest; bytes covered by a repeated window of 200 bytes are
+taken out of all texts, which may leave a text empty, but no row goes; the last
+stage returns where each piece of each document lies.  An empty table gives
+an empty result.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from kiln.llm.exact_dedup import exact_dedup
+from kiln.llm.langid import in_known_language
+from kiln.llm.minhash import near_dedup
+from kiln.llm.packing import Capacity, pack
+from kiln.llm.queries import vocabulary
+from kiln.llm.suffix_dedup import cut_repeats
 from kiln.session import materialize
 from kiln.tables import table
 
-STAGES: list = []
-#: Not expressible in SQL.
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return in_known_language(docs)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup(docs, width=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return cut_repeats(docs, length=200)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, vocabulary("word_bpe_49k.json"), Capacity(tokens=4096), end_id=1)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_duplicates),
+    ("near_dedup", near_duplicates),
+    ("suffix_dedup", repeated_passages),
+    ("packing", packing),
+]
+#: Near duplicates, repeated passages and token ids are not expressible in SQL.
 ORACLE_SQL = None
 
 

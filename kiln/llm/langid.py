@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from kiln.llm.memo import LONGEST_KEY, slices
 
@@ -169,9 +170,8 @@ def learn(labelled: DataFrame, max_documents: int = 50_000, max_words: int = 50_
         counts.unpersist()
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """``lang_pred, score`` after the columns ``keep`` (``doc_id``) of ``docs``."""
-    keep = keep or ["doc_id"]
+def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
+    """``doc`` (a struct of the columns ``carry``), ``lang_pred, score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,13 +179,23 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                found = [scorer.score(t) if t else (UNKNOWN, 0.0) for t in part.column("_text").to_pylist()]
+                found = [scorer.score(t) if t else (UNKNOWN, 0.0) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                    [*keep, "lang_pred", "score"])
+                    [part.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["doc", "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(predicted, f"{fields}, lang_pred string, score double")
+    given = docs.select(F.struct(*[docs[c] for c in carry]).alias("doc"), docs["text"])
+    return given.mapInArrow(predicted, StructType([given.schema["doc"], StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+
+
+def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
+    """``docs`` (with ``doc_id, text, lang``) without the rows that have no
+    letter or whose language is unclear (score under ``least``).  Where no row
+    has a ``lang`` nothing can be learned and nothing is rejected."""
+    model = learn(docs.select("doc_id", "text", "lang"))
+    if not model.languages:
+        return docs
+    found = predict(docs, model, docs.columns)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
 
 
 def fold(of: int) -> Column:

@@ -175,7 +175,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
     shares a bucket, and whether it is the group's hub."""
     member = reps.select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
     buckets = member.groupBy("bucket").agg(F.count("*").alias("met"), F.min("node").alias("first")).filter("met > 1")
-    met = materialize(member.join(buckets, "bucket").groupBy("node", "first").agg(F.sum("met").alias("met")), "bucket-links")
+    met = materialize(member.hint("merge").join(buckets, "bucket").groupBy("node", "first").agg(F.sum("met").alias("met")), "bucket-links")
     groups = connected_components(met.select(F.col("node").alias("u"), F.col("first").alias("v")))
     degree = met.groupBy("node").agg(F.sum("met").alias("degree")).join(groups, "node")
     of_group = degree.groupBy("root").agg(F.count("*").alias("size"), F.max(F.struct("degree", -F.col("node"))).alias("best"))
@@ -194,7 +194,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.binary())], [*names, "set"])
 
     texts = docs.select(F.monotonically_increasing_id().alias("node"), "text")
-    return texts.join(wanted, "node").select(*names, "text").mapInArrow(shingled, f"{fields}, set binary")
+    return texts.hint("merge").join(wanted, "node").select(*names, "text").mapInArrow(shingled, f"{fields}, set binary")
 
 
 def _confirmed(docs: DataFrame, candidates: DataFrame, width: int, percent: int, block: int) -> DataFrame:
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
     sets = signed.filter("n > 0")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     classes = materialize(sets.groupBy("key", "key2", "n").agg(F.min("row").alias("node"), F.min(place).alias("first"), F.count("*").alias("rows")), "set-classes")
-    reps = sets.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    reps = sets.hint("merge").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
     edges = _confirmed(docs, _candidates(reps), width, percent, block)
     roots = connected_components(edges)
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
