@@ -63,19 +63,28 @@ class _Words:
                 sizes.append(np.diff(at))
         self.words = np.concatenate([np.zeros(0, np.uint64), *words])
         self.sizes = np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64)
-        begins = np.cumsum(self.sizes) - self.sizes
         self.document = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
-        self.place = np.arange(len(self.words)) - np.repeat(begins, self.sizes)
+        # words before it in its document, as far as they matter
+        self.before = np.full(len(self.words), ORDER - 1, np.int8)
+        begins = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        for j in range(ORDER - 2, -1, -1):
+            at = begins[self.sizes[self.sizes > 0] > j] + j
+            self.before[at] = j
 
     def ends(self, k: int) -> np.ndarray:
         """The places of the words that end a k-gram."""
-        return np.flatnonzero(self.place >= k - 1)
+        return np.flatnonzero(self.before >= k - 1)
 
-    def grams(self, k: int, ends: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(ends), np.uint64)
-        for j in range(k):
-            total += self.words[ends - (k - 1 - j)] * _PLACE[j]
-        return mix(total + np.uint64(k))
+    def grams(self, k: int) -> np.ndarray:
+        """The k-grams that end at ``ends(k)``."""
+        n = len(self.words) - k + 1
+        if n < 1:
+            return np.zeros(0, np.uint64)
+        total = self.words[:n] * _PLACE[0]
+        for j in range(1, k):
+            total += self.words[j:n + j] * _PLACE[j]
+        total += np.uint64(k)
+        return mix(total[self.before[k - 1:] >= k - 1])
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -100,7 +109,7 @@ def _counts(n: np.ndarray) -> bytes:
     return np.ascontiguousarray(n.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _uncounted(data: bytes) -> np.ndarray:
+def _uncounted(data: bytes | pa.Buffer) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
@@ -133,7 +142,8 @@ def _tables(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
         for block, held in _blocks(batches, block_bytes):
             words = _Words([h.column("text") for h in held])
             for k in range(1, ORDER + 1):
-                keys = np.sort(words.grams(k, words.ends(k)))
+                keys = words.grams(k)
+                keys.sort()
                 last = np.flatnonzero(np.append(keys[1:] != keys[:-1], True)) if len(keys) else np.zeros(0, np.int64)
                 keys, n = keys[last], np.diff(last, prepend=-1)
                 edges = _edges(keys, bits)
@@ -164,7 +174,7 @@ def _totals(table: pa.Table) -> pa.Table:
 def _texts(docs: DataFrame, block_bytes: int) -> DataFrame:
     """``block, rows``: the documents of each block as compressed Arrow data."""
     def packed(batches):
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=7))
         for block, held in _blocks(batches, block_bytes):
             for lo in range(0, len(held), 16):
                 sink = pa.BufferOutputStream()
@@ -179,40 +189,44 @@ def _texts(docs: DataFrame, block_bytes: int) -> DataFrame:
 def _scored(texts: pa.Table, others: pa.Table, bits: int) -> pa.Table:
     held = [b for x in texts.column("rows") for b in pa.ipc.open_stream(x.as_buffer())]
     words = _Words([h.column("text") for h in held])
-    known = {int(b): x.as_py() for b, x in zip(others.column("bucket").to_pylist(), others.column("others"))}
+    known = {b: x.as_buffer() for b, x in zip(others.column("bucket").to_pylist(), others.column("others"))}
     n = len(words.words)
-    counts = np.zeros((ORDER + 1, n), np.int64)  # by order, of the n-gram that ends at each word, without its document's own
+    # by order, of the n-gram that ends at each word, without its document's own
+    counts = [np.zeros(n, np.int64) for _ in range(ORDER)]
+    used = np.zeros(n, np.int8)
     for k in range(1, ORDER + 1):
-        ends = words.ends(k)
-        keys = words.grams(k, ends)
+        ends, keys = words.ends(k), words.grams(k)
         order = np.argsort(keys, kind="stable")
-        ordered, document = keys[order], words.document[ends[order]]
-        new = np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)]
+        keys = keys[order]
+        ends = ends[order]
+        new = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
         first = np.flatnonzero(new)
-        total = np.diff(np.append(first, len(ordered)))
-        edges = _edges(ordered[first], bits)
+        edges = _edges(keys[first], bits)
+        del keys, order
+        number = np.diff(np.append(first, len(new)))
+        total = number.copy()
         for b in np.flatnonzero(np.diff(edges)).tolist():
             if (found := known.get((k - 1 << bits) + b)) is not None:
                 total[edges[b]:edges[b + 1]] += _uncounted(found)
-        run = np.flatnonzero(new | np.append(True, document[1:] != document[:-1])[:len(ordered)])
-        own = np.diff(np.append(run, len(ordered)))
-        counts[k, ends[order]] = np.repeat(total, np.diff(np.append(first, len(ordered)))) - np.repeat(own, own)
-    available = np.minimum(words.place + 1, ORDER)
-    used = np.zeros(n, np.int64)
-    for k in range(1, ORDER + 1):
-        used[(available >= k) & (counts[k] > 0)] = k
+        document = words.document[ends]
+        new[1:] |= document[1:] != document[:-1]
+        run = np.flatnonzero(new)
+        own = np.diff(np.append(run, len(new)))
+        counts[k - 1][ends] = np.repeat(total, number) - np.repeat(own, own)
+        used[counts[k - 1] > 0] = k
+    missed = np.minimum(words.before + 1, ORDER) - used
     score = np.zeros(n, np.int64)
     for k in range(2, ORDER + 1):
         at = np.flatnonzero(used == k)
-        score[at] = _micro(BACKOFF ** (available[at] - k) * (counts[k, at] / counts[k - 1, at - 1]))
-    low = used < 2
-    score[low] = _micro(BACKOFF ** (available[low] - used[low]) * np.where(used[low] == 1, counts[1, low], 1))
+        score[at] = _micro(BACKOFF ** missed[at].astype(np.float64) * (counts[k - 1][at] / counts[k - 2][at - 1]))
+    low = np.flatnonzero(used < 2)
+    score[low] = _micro(BACKOFF ** missed[low].astype(np.float64) * np.where(used[low] == 1, counts[0][low], 1))
     sums = [np.bincount(words.document, x, len(words.sizes)).astype(np.int64) for x in (score, *(used == k for k in range(ORDER, -1, -1)))]
     return pa.table([pa.concat_arrays([h.column("doc_id") for h in held]), pa.array(words.sizes), *map(pa.array, sums)],
                     names=["doc_id", "n_words", "micro", "n_trigrams", "n_bigrams", "n_unigrams", "n_unknown"])
 
 
-def backoff_scores(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
+def backoff_scores(docs: DataFrame, block_bytes: int = 12 << 20) -> DataFrame:
     """``doc_id, n_words, n_trigrams, n_bigrams, n_unigrams, n_unknown`` (the
     words scored at each order), ``score_micro`` (the sum of the logarithms in
     millionths) and ``score`` (their mean a word)."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import py_strip, seeded_key
+from .ranking import global_rank
 
 # --------------------------------------------------------------------------
 # Row -> instruction text
@@ -70,10 +71,10 @@ def map_label_ids(name: Column, id2label: dict | None = None) -> Column:
 def build_label_index(df: DataFrame, name_col: str) -> DataFrame:
     """Label dictionary from class names in ascending order: (name, id).
 
-    The names are made distinct with partial aggregation first; only the
-    dictionary itself (one row per class) is ranked in a single task."""
+    The names are made distinct with partial aggregation first and ranked
+    range by range, so a dictionary of any size fits."""
     names = df.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
-    return names.withColumn("id", (F.row_number().over(Window.orderBy("name")) - 1).cast("int"))
+    return global_rank(names, ["name"], "_rank").select("name", (F.col("_rank") - 1).cast("int").alias("id"))
 
 
 # --------------------------------------------------------------------------
@@ -81,62 +82,33 @@ def build_label_index(df: DataFrame, name_col: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def _order_value(seed: int, id_cols: Sequence[str]) -> Column:
-    """60-bit uniform integer from the seeded md5 key."""
-    return F.conv(F.substring(seeded_key(seed, *[F.col(c) for c in id_cols]), 1, 15), 16, 10).cast("bigint")
+    """60-bit uniform integer from the seeded md5 key; a null id counts as
+    the text ``\\N``."""
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in id_cols]
+    return F.conv(F.substring(seeded_key(seed, *ids), 1, 15), 16, 10).cast("bigint")
 
 
-def prefix_cuts(df: DataFrame, id_cols: Sequence[str], seed: int, ranks_for_n, small: int = 200_000):
-    """Cut tuples (u, ids...) of the rows at the given 1-based positions of
+def cut_rows(df: DataFrame, id_cols: Sequence[str], seed: int, ranks_for_n):
+    """(n, [(u, ids...) or None]): the rows at the given 1-based positions of
     the seeded order, without a global sort.
 
-    ``ranks_for_n(n)`` turns the row count into the wanted positions; the
-    count comes from the first histogram, so no separate pass is needed.
-    Each pass groups the rows still in question by the next 16 bits of the
-    60-bit key (a histogram of at most 65,536 counts per open cut); once
-    the bucket holding a cut has at most ``small`` rows (at sf 0.1: after
-    the first pass), those rows are fetched and ranked exactly.  Returns
-    (n, [cut or None per rank])."""
+    ``ranks_for_n(n)`` turns the row count into positions.  A histogram of
+    the key's first 16 bits (at most 65,536 counts) tells the bucket of each
+    position; inside it an ordered offset fetches that one row."""
     keyed = df.select(_order_value(seed, id_cols).alias("_u"), *id_cols)
-    bits = 0
-    n = None
-    pending = None  # rank -> (prefix, need, bucket_count)
-    while True:
-        shift = 60 - bits - 16
-        sel = keyed
-        if pending:
-            prefixes = sorted({p for p, _, _ in pending.values()})
-            sel = keyed.where(F.shiftright("_u", 60 - bits).isin(prefixes))
-        hist = sorted((r["_b"], r["count"]) for r in
-                      sel.groupBy(F.shiftright("_u", shift).alias("_b")).count().collect())
-        if n is None:
-            n = sum(c for _, c in hist)
-            ranks = list(ranks_for_n(n))
-            pending = {r: (0, r, n) for r in ranks if 0 < r <= n}
-        nxt = {}
-        for r, (p, need, _) in pending.items():
-            acc = 0
-            for b, c in hist:
-                if (b >> 16) != p:
-                    continue
-                if acc + c >= need:
-                    nxt[r] = (b, need - acc, c)
-                    break
-                acc += c
-        pending = nxt
-        bits += 16
-        if not pending or bits >= 48 or all(c <= small for _, _, c in pending.values()):
-            break
-    cuts = {}
-    if pending:
-        prefixes = sorted({p for p, _, _ in pending.values()})
-        rows = (keyed.where(F.shiftright("_u", 60 - bits).isin(prefixes))
-                .orderBy("_u", *id_cols).collect())
-        for r, (p, need, _) in pending.items():
-            inb = [x for x in rows if (x["_u"] >> (60 - bits)) == p]
-            if len(inb) >= need:
-                x = inb[need - 1]
-                cuts[r] = tuple(x[c] for c in ["_u", *id_cols])
-    return n, [cuts.get(r) for r in ranks]
+    hist = sorted((r["_b"], r["count"]) for r in keyed.groupBy(F.shiftright("_u", 44).alias("_b")).count().collect())
+    n = sum(c for _, c in hist)
+    cuts = []
+    for rank in ranks_for_n(n):
+        before, cut = 0, None
+        for b, c in hist:
+            if 0 < rank <= before + c:
+                cut = tuple(keyed.where(F.shiftright("_u", 44) == b).orderBy("_u", *id_cols)
+                            .offset(rank - before - 1).limit(1).first())
+                break
+            before += c
+        cuts.append(cut)
+    return n, cuts
 
 
 def split_sizes(n: int, test_size: float = 0.3, nested: float | None = 0.3) -> tuple[int, int]:
@@ -154,8 +126,9 @@ def assign_split(df: DataFrame, id_cols: Sequence[str], seed: int = 42, test_siz
     ceil(test_size * n) rows form the held-out part.  With ``nested`` that
     part is split again: its first ceil(nested * held-out) rows are
     ``test`` and the rest ``validation`` (a 70/21/9 split for 0.3/0.3);
-    without it the held-out part is ``test``."""
-    n, (c1, c2) = prefix_cuts(df, id_cols, seed, lambda m: split_sizes(m, test_size, nested))
+    without it the held-out part is ``test``.  Rows that repeat their ids
+    stay together, on the side of the first of them."""
+    n, (c1, c2) = cut_rows(df, id_cols, seed, lambda m: split_sizes(m, test_size, nested))
     u = _order_value(seed, id_cols)
     types = [T.LongType()] + [df.schema[c].dataType for c in id_cols]
     names_ = ["_u"] + list(id_cols)
@@ -185,7 +158,7 @@ SPECIALS = ["<|endoftext|>", "<|im_start|>", "<|im_end|>", "<|object_ref_start|>
 SPECIAL_SPLIT = r"(<\|[^>]+?\|>|<think>|</think>)"
 PIECE = r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+"
 SEP = "\u0001"
-UNK = "<unk>"
+UNK, UNK_ID = "<unk>", -1
 
 
 def _specials_array() -> Column:
@@ -210,26 +183,25 @@ def token_pieces(text: Column) -> Column:
     return F.when(whole, F.array(stripped)).otherwise(pieces)
 
 
-def build_vocabulary(token_rows: DataFrame, token_col: str = "token", size: int = 4096) -> DataFrame:
-    """(token, id): specials get 0..15, then the ``size`` most frequent other
-    tokens (ties by token) get 16.., everything else maps to the unknown id
-    16 + size.  The count is a partial aggregation; only ``size`` rows
-    reach the single ranking task, and the result is safe to broadcast."""
+def build_vocabulary(token_rows: DataFrame, token_col: str = "token") -> DataFrame:
+    """(token, id) of every token: specials get 0..15, all others 16.. by
+    falling count, ties by token.  The counts aggregate partially; the ids
+    come from ranges with offsets, so the vocabulary may be of any size."""
     counts = (token_rows.where(~F.array_contains(_specials_array(), F.col(token_col)))
-              .groupBy(token_col).agg(F.count("*").alias("cnt")))
-    top = counts.orderBy(F.desc("cnt"), token_col).limit(size)
-    ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("cnt"), token_col)) + 15).cast("int"))
+              .groupBy(F.col(token_col).alias("token")).agg(F.count("*").alias("cnt")))
+    ranked = global_rank(counts, [F.desc("cnt"), F.asc("token")], "_rank")
     spark = token_rows.sparkSession
     specials = spark.createDataFrame([(s, i) for i, s in enumerate(SPECIALS)], "token string, id int")
-    return specials.unionByName(ranked.select(F.col(token_col).alias("token"), "id"))
+    return specials.unionByName(ranked.select("token", (F.col("_rank") + 15).cast("int").alias("id")))
 
 
-def encode_long(token_rows: DataFrame, vocab: DataFrame, vocab_size: int, token_col: str = "token") -> DataFrame:
-    """Adds ``id`` to exploded token rows (broadcast of the bounded vocab)."""
-    v = F.broadcast(vocab.select(F.col("token").alias("_vt"), F.col("id").alias("_vid")))
-    unk = 16 + vocab_size
+def encode_long(token_rows: DataFrame, vocab: DataFrame, token_col: str = "token") -> DataFrame:
+    """Adds ``id`` to exploded token rows; a token outside the vocabulary
+    gets ``UNK_ID``.  A plain equi-join: Spark measures the vocabulary before
+    it broadcasts, else both sides are shuffled and common tokens split."""
+    v = vocab.select(F.col("token").alias("_vt"), F.col("id").alias("_vid"))
     return (token_rows.join(v, token_rows[token_col] == v["_vt"], "left")
-            .withColumn("id", F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")).drop("_vt", "_vid"))
+            .withColumn("id", F.coalesce(F.col("_vid"), F.lit(UNK_ID)).cast("int")).drop("_vt", "_vid"))
 
 
 def collect_ordered(df: DataFrame, keys: Sequence[str], pos: str, value: str, alias: str) -> DataFrame:
@@ -238,8 +210,9 @@ def collect_ordered(df: DataFrame, keys: Sequence[str], pos: str, value: str, al
             .select(*keys, F.transform("_s", lambda x: x[value]).alias(alias)))
 
 
-def decode_long(id_rows: DataFrame, vocab: DataFrame, vocab_size: int, id_col: str = "id") -> DataFrame:
-    v = F.broadcast(vocab.select(F.col("id").alias("_vid"), F.col("token").alias("_vt")))
+def decode_long(id_rows: DataFrame, vocab: DataFrame, id_col: str = "id") -> DataFrame:
+    """Adds ``token``; an id outside the vocabulary gives ``UNK``."""
+    v = vocab.select(F.col("id").alias("_vid"), F.col("token").alias("_vt"))
     return (id_rows.join(v, id_rows[id_col] == v["_vid"], "left")
             .withColumn("token", F.coalesce(F.col("_vt"), F.lit(UNK))).drop("_vid", "_vt"))
 
@@ -248,49 +221,34 @@ def decode_long(id_rows: DataFrame, vocab: DataFrame, vocab_size: int, id_col: s
 # Truncation, padding, batches
 # --------------------------------------------------------------------------
 
-def n_buckets_for(rows: int, rows_per_bucket: int) -> int:
-    return max(1, math.ceil(rows / rows_per_bucket))
-
-
-def assign_batches(df: DataFrame, key_cols: Sequence[str], batch_size: int, n_buckets: int | None = None,
-                   seed: int = 42, sort_col: str | None = None, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Adds (bucket, batch): rows are hashed into buckets by a seeded key and
-    cut into consecutive batches of ``batch_size`` inside a bucket (ordered
-    by ``sort_col`` then the key, so sorting by length reduces padding).
-    No global window: each bucket is one window partition.  Without
-    ``n_buckets`` the count is ceil(rows / rows_per_bucket) (one count
-    job), so a window partition never grows with the data."""
-    if n_buckets is None:
-        n_buckets = n_buckets_for(df.count(), rows_per_bucket)
-    k = seeded_key(seed, *[F.col(c) for c in key_cols])
-    digest8 = F.conv(F.substring(F.col("_k"), 1, 8), 16, 10).cast("bigint")
-    d = df.withColumn("_k", k).withColumn("bucket", F.pmod(digest8, F.lit(n_buckets)).cast("int"))
-    order = ([F.col(sort_col)] if sort_col else []) + [F.col("_k")]
-    w = Window.partitionBy("bucket").orderBy(*order)
-    return d.withColumn("batch", ((F.row_number().over(w) - 1) / batch_size).cast("int")).drop("_k")
-
-
-def truncate_pad(df: DataFrame, ids_col: str, max_len: int, pad_id: int, side: str = "right") -> DataFrame:
-    """Truncate to ``max_len`` and pad every row to the longest row of its
-    (bucket, batch); adds input_ids, attention_mask, n_tokens, padded_len.
-    The batch window reuses the bucket partitioning (no new shuffle)."""
-    ids = F.slice(F.col(ids_col), 1, max_len)
+def assign_batches(df: DataFrame, key_cols: Sequence[str], batch_size: int, seed: int = 42,
+                   sort_col: str | None = None) -> DataFrame:
+    """Adds ``batch``: rows in seeded order (or by ``sort_col`` first, which
+    reduces padding) are cut into runs of ``batch_size``; only the last may
+    be shorter.  Positions come from ranges with offsets."""
+    order = ([F.asc(sort_col)] if sort_col else []) + [F.asc("_k"), *[F.asc(c) for c in key_cols]]
+    ranked = global_rank(df.withColumn("_k", seeded_key(seed, *[F.col(c) for c in key_cols])), order, "_rank")
+    return ranked.withColumn("batch", F.floor((F.col("_rank") - 1) / batch_size)).drop("_k", "_rank")
+
+
+def truncate_pad(df: DataFrame, ids_col: str, max_len: int | None, pad_id: int, side: str = "right") -> DataFrame:
+    """Truncate to ``max_len`` (None: not at all) and pad every row to the
+    longest row of its batch; adds input_ids, attention_mask, n_tokens,
+    padded_len."""
+    ids = F.col(ids_col) if max_len is None else F.slice(F.col(ids_col), 1, max_len)
     d = df.withColumn("_ids", ids).withColumn("n_tokens", F.size("_ids"))
-    d = d.withColumn("padded_len", F.max("n_tokens").over(Window.partitionBy("bucket", "batch")))
+    d = d.withColumn("padded_len", F.max("n_tokens").over(Window.partitionBy("batch")))
     npad = F.col("padded_len") - F.col("n_tokens")
     pad = F.array_repeat(F.lit(pad_id), npad)
     ones = F.array_repeat(F.lit(1), F.col("n_tokens"))
     zeros = F.array_repeat(F.lit(0), npad)
-    if side == "left":
-        return d.withColumn("input_ids", F.concat(pad, "_ids")).withColumn("attention_mask", F.concat(zeros, ones)) \
-                .drop("_ids")
-    return d.withColumn("input_ids", F.concat("_ids", pad)).withColumn("attention_mask", F.concat(ones, zeros)) \
-            .drop("_ids")
+    both = (pad, "_ids", zeros, ones) if side == "left" else ("_ids", pad, ones, zeros)
+    return d.withColumns({"input_ids": F.concat(*both[:2]), "attention_mask": F.concat(*both[2:])}).drop("_ids")
 
 
 def collate_batches(padded: DataFrame) -> DataFrame:
-    """Batch summary: rows and padded width per (bucket, batch)."""
-    return padded.groupBy("bucket", "batch").agg(F.count("*").alias("n"), F.max("padded_len").alias("padded_len"))
+    """Batch summary: rows and padded width of each batch."""
+    return padded.groupBy("batch").agg(F.count("*").alias("n"), F.max("padded_len").alias("padded_len"))
 
 
 # --------------------------------------------------------------------------

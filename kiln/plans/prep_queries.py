@@ -9,11 +9,9 @@ on every turn of ``conversations``, wrapped with its role.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
-from ..functions.text import py_strip
+from ..functions.text import STRIP_PATTERN, py_strip
 from ..operators import prep as P
 from ..operators import retrieval as R
 from ..session import spread
@@ -21,10 +19,8 @@ from ..tables import table
 from .registry import q, register
 
 SEED = 42
-VOCAB = 4096
-MAX_LEN = 128
+MAX_LEN = 128  # of truncate_pad, whose feature the cut is
 BATCH = 16
-ROWS_PER_BUCKET = 64  # small so that the fixtures exercise many buckets
 
 
 def _order_sql(cols: list[str]) -> str:
@@ -81,17 +77,17 @@ def _split_sql(tbl: str, keys: list[str], nested: bool) -> str:
 
 
 @register("split_two_way", sql="WITH " + _split_sql("lineitem", LI_KEYS, False) +
-          "\nSELECT split, count(*) AS cnt FROM sp GROUP BY split")
+          "\nSELECT l_orderkey, l_linenumber, split FROM sp")
 def split_two_way(spark, sf):
     li = table(spark, sf, "lineitem").select(*LI_KEYS)
-    return P.assign_split(li, LI_KEYS, SEED, 0.3).groupBy("split").agg(F.count("*").alias("cnt"))
+    return P.assign_split(li, LI_KEYS, SEED, 0.3)
 
 
 @register("split_three_way", sql="WITH " + _split_sql("lineitem", LI_KEYS, True) +
-          "\nSELECT split, count(*) AS cnt FROM sp GROUP BY split")
+          "\nSELECT l_orderkey, l_linenumber, split FROM sp")
 def split_three_way(spark, sf):
     li = table(spark, sf, "lineitem").select(*LI_KEYS)
-    return P.assign_split(li, LI_KEYS, SEED, 0.3, nested=0.3).groupBy("split").agg(F.count("*").alias("cnt"))
+    return P.assign_split(li, LI_KEYS, SEED, 0.3, nested=0.3)
 
 
 # ---- metrics ---------------------------------------------------------------------
@@ -156,10 +152,9 @@ def _tokens_sql() -> str:
  tl AS (SELECT conv_id, turn, CAST(generate_subscripts(toks, 1) - 1 AS INTEGER) AS pos, unnest(toks) AS token FROM tk),
  vc AS (SELECT token, count(*) AS cnt FROM tl WHERE NOT list_contains({SPECIALS_SQL}, token) GROUP BY token),
  vocab AS (SELECT token, CAST(15 + row_number() OVER (ORDER BY cnt DESC, token) AS INTEGER) AS id FROM vc
-           QUALIFY row_number() OVER (ORDER BY cnt DESC, token) <= {VOCAB}
            UNION ALL SELECT unnest(l) AS token, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS id
            FROM (SELECT {SPECIALS_SQL} AS l)),
- enc AS (SELECT tl.conv_id, tl.turn, tl.pos, tl.token, coalesce(v.id, {16 + VOCAB}) AS id
+ enc AS (SELECT tl.conv_id, tl.turn, tl.pos, tl.token, v.id
          FROM tl LEFT JOIN vocab v ON tl.token = v.token),
  seqs AS (SELECT conv_id, turn, list(id ORDER BY pos) AS ids FROM enc GROUP BY conv_id, turn)"""
 
@@ -179,8 +174,8 @@ def token_rows(spark, sf):
 
 def encoded(spark, sf):
     rows = token_rows(spark, sf)
-    vocab = P.build_vocabulary(rows, "token", VOCAB)
-    return P.encode_long(rows, vocab, VOCAB), vocab
+    vocab = P.build_vocabulary(rows, "token")
+    return P.encode_long(rows, vocab), vocab
 
 
 def sequences(spark, sf):
@@ -198,53 +193,57 @@ def encode_tokens(spark, sf):
     return encoded(spark, sf)[0].select("conv_id", "turn", "pos", "id")
 
 
-@register("decode_tokens", sql=TOKENS_SQL + f"""
-SELECT conv_id, turn, string_agg(CASE WHEN id = {16 + VOCAB} THEN {q(P.UNK)} ELSE token END, '' ORDER BY pos) AS text
-FROM enc GROUP BY conv_id, turn""")
+# what must come back is the text that went in, so the check reads the table
+DECODED_SQL = f"""
+SELECT conv_id, turn, CASE WHEN list_contains({SPECIALS_SQL}, s) AND strpos(s, chr(10)) = 0 THEN s
+       ELSE {q(R.IM_START)} || role || chr(10) || text || {q(R.IM_END)} || chr(10) END AS text
+FROM (SELECT *, regexp_replace(text, {q(STRIP_PATTERN)}, '', 'g') AS s FROM conversations)"""
+
+
+@register("decode_tokens", sql=DECODED_SQL)
 def decode_tokens(spark, sf):
     enc, vocab = encoded(spark, sf)
-    dec = P.decode_long(enc.select("conv_id", "turn", "pos", "id"), vocab, VOCAB)
+    dec = P.decode_long(enc.select("conv_id", "turn", "pos", "id"), vocab)
     return (P.collect_ordered(dec, ["conv_id", "turn"], "pos", "token", "toks")
             .select("conv_id", "turn", F.array_join("toks", "").alias("text")))
 
 
-def _batches_sql(side: str) -> str:
-    first = ("CASE WHEN padded_len > n_tokens THEN 0 ELSE ids[1] END" if side == "left"
-             else "CASE WHEN n_tokens > 0 THEN ids[1] ELSE 0 END")
+def _batches_sql(side: str, max_len: int | None) -> str:
+    cut = "ids" if max_len is None else f"list_slice(ids, 1, {max_len})"
+    fill = "list_transform(range(CAST(padded_len - n_tokens AS BIGINT)), lambda x: 0)"
+    ones = "list_transform(cut, lambda x: 1)"
+    ids, mask = (f"list_concat({fill}, cut)", f"list_concat({fill}, {ones})") if side == "left" else (
+        f"list_concat(cut, {fill})", f"list_concat({ones}, {fill})")
     return TOKENS_SQL + f""",
- bt AS (SELECT conv_id, turn, ids, CAST(least(len(ids), {MAX_LEN}) AS INTEGER) AS n_tokens,
-          CAST(('0x' || substr(md5('{SEED}-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)), 1, 8))::BIGINT
-               % greatest(1, CAST(ceil((SELECT count(*) FROM conversations) / {ROWS_PER_BUCKET}) AS BIGINT))
-               AS INTEGER) AS bucket,
+ bt AS (SELECT conv_id, turn, {cut} AS cut, CAST(len({cut}) AS INTEGER) AS n_tokens,
           md5('{SEED}-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS k FROM seqs),
- bb AS (SELECT *, CAST((row_number() OVER (PARTITION BY bucket ORDER BY k) - 1) // {BATCH} AS INTEGER) AS batch FROM bt),
- pd AS (SELECT *, max(n_tokens) OVER (PARTITION BY bucket, batch) AS padded_len FROM bb),
- pf AS (SELECT *, {first} AS first_id FROM pd)"""
+ bb AS (SELECT *, CAST((row_number() OVER (ORDER BY k, conv_id, turn) - 1) // {BATCH} AS BIGINT) AS batch FROM bt),
+ pd AS (SELECT *, max(n_tokens) OVER (PARTITION BY batch) AS padded_len FROM bb),
+ pf AS (SELECT conv_id, turn, batch, n_tokens, padded_len, array_to_string({ids}, ',') AS input_ids,
+          array_to_string({mask}, ',') AS attention_mask FROM pd)"""
 
 
-def padded(spark, sf, side):
+def padded(spark, sf, side, max_len):
     seqs, _ = sequences(spark, sf)
-    b = P.assign_batches(seqs, ["conv_id", "turn"], BATCH, seed=SEED, rows_per_bucket=ROWS_PER_BUCKET)
-    return P.truncate_pad(b, "ids", MAX_LEN, pad_id=0, side=side)
+    return P.truncate_pad(P.assign_batches(seqs, ["conv_id", "turn"], BATCH, seed=SEED), "ids", max_len, pad_id=0, side=side)
+
+
+def _as_text(p):
+    return p.select("conv_id", "turn", "batch", "n_tokens", "padded_len",
+                    *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("input_ids", "attention_mask")])
 
 
-@register("truncate_pad", sql=_batches_sql("right") +
-          "\nSELECT conv_id, turn, bucket, batch, n_tokens, padded_len, first_id FROM pf")
+@register("truncate_pad", sql=_batches_sql("right", MAX_LEN) + "\nSELECT * FROM pf")
 def truncate_pad(spark, sf):
-    p = padded(spark, sf, "right")
-    return p.select("conv_id", "turn", "bucket", "batch", "n_tokens", "padded_len",
-                    F.coalesce(F.col("input_ids")[0], F.lit(0)).alias("first_id"))
+    return _as_text(padded(spark, sf, "right", MAX_LEN))
 
 
-@register("pad_left", sql=_batches_sql("left") +
-          "\nSELECT conv_id, turn, bucket, batch, n_tokens, padded_len, first_id FROM pf")
+@register("pad_left", sql=_batches_sql("left", None) + "\nSELECT * FROM pf")
 def pad_left(spark, sf):
-    p = padded(spark, sf, "left")
-    return p.select("conv_id", "turn", "bucket", "batch", "n_tokens", "padded_len",
-                    F.coalesce(F.col("input_ids")[0], F.lit(0)).alias("first_id"))
+    return _as_text(padded(spark, sf, "left", None))
 
 
-@register("collate_batches", sql=_batches_sql("right") +
-          "\nSELECT bucket, batch, count(*) AS n, max(padded_len) AS padded_len FROM pf GROUP BY bucket, batch")
+@register("collate_batches", sql=_batches_sql("right", None) +
+          "\nSELECT batch, count(*) AS n, max(padded_len) AS padded_len FROM pf GROUP BY batch")
 def collate_batches(spark, sf):
-    return P.collate_batches(padded(spark, sf, "right"))
+    return P.collate_batches(padded(spark, sf, "right", None))

@@ -33,4 +33,4 @@ def q(s: str) -> str:
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from . import curation_queries, image_queries, prep_queries, retrieval_queries, stream_queries  # noqa: F401
+    from . import curation_queries, prep_queries, retrieval_queries, stream_queries  # noqa: F401

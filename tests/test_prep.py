@@ -14,13 +14,19 @@ def test_split_sizes_and_disjoint(spark):
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, again.collect()))
 
 
-def test_split_cut_with_tiny_buckets(spark):
-    # force the multi-pass path: buckets are "large" above 1 row
+def test_cut_rows_are_those_of_the_order(spark):
     df = spark.range(300).withColumnRenamed("id", "rid")
-    n, cuts = P.prefix_cuts(df, ["rid"], 7, lambda m: [1, 150, 300], small=1)
-    assert n == 300 and all(c is not None for c in cuts)
-    ordered = sorted(df.select(P._order_value(7, ["rid"]).alias("u"), "rid").collect())
-    assert [c[0] for c in cuts] == [ordered[0][0], ordered[149][0], ordered[299][0]]
+    n, cuts = P.cut_rows(df, ["rid"], 7, lambda m: [1, 150, 300, 0, 301])
+    ordered = sorted(map(tuple, df.select(P._order_value(7, ["rid"]).alias("u"), "rid").collect()))
+    assert n == 300 and cuts == [ordered[0], ordered[149], ordered[299], None, None]
+
+
+def test_split_of_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None,)] * 3 + [(i % 20,) for i in range(40)], "rid long")
+    s = P.assign_split(df, ["rid"], 42, 0.3)
+    assert s.count() == 43 and s.where("split IS NULL").count() == 0
+    assert s.distinct().count() == 21  # equal ids are on one side
+    assert P.assign_split(df.limit(0), ["rid"]).count() == 0
 
 
 def test_row_to_text_fixture(spark):
@@ -51,19 +57,21 @@ def test_special_tokens_and_round_trip(spark):
     assert toks[1] == ["<think>"]
     assert "".join(toks[2]) == texts[2] and "<|foo|>" in toks[2]
     rows = df.select("rid", F.posexplode(P.token_pieces(F.col("text"))).alias("pos", "token"))
-    vocab = P.build_vocabulary(rows, "token", 1000)
-    enc = P.encode_long(rows, vocab, 1000)
+    vocab = P.build_vocabulary(rows, "token")
+    assert sorted(r.id for r in vocab.collect()) == list(range(vocab.count()))
+    enc = P.encode_long(rows, vocab)
     assert enc.where(F.col("token") == "<|im_start|>").select("id").first()[0] == 1
-    dec = P.decode_long(enc.select("rid", "pos", F.col("token").alias("orig"), "id"), vocab, 1000)
+    dec = P.decode_long(enc.select("rid", "pos", F.col("token").alias("orig"), "id"), vocab)
     assert dec.where(F.col("token") != F.col("orig")).count() == 0
-    # a vocabulary smaller than the corpus maps the rest to the unknown id
-    small = P.encode_long(rows, P.build_vocabulary(rows, "token", 2), 2)
-    assert small.where(F.col("id") == 18).count() > 0
+    # tokens that a vocabulary from elsewhere lacks
+    other = P.build_vocabulary(rows.where("rid = 1"), "token")
+    unknown = P.decode_long(P.encode_long(rows, other).select("rid", "pos", "id"), other)
+    assert unknown.where(F.col("token") == P.UNK).where("id = -1").count() > 0
 
 
 def test_padding_right_and_left(spark):
     df = spark.createDataFrame([(i, list(range(1, i + 2))) for i in range(5)], "k long, ids array<int>")
-    b = P.assign_batches(df, ["k"], 2, 1, 42)
+    b = P.assign_batches(df, ["k"], 2, 42)
     right = {r["k"]: r for r in P.truncate_pad(b, "ids", 3, 0).collect()}
     left = {r["k"]: r for r in P.truncate_pad(b, "ids", 3, 0, side="left").collect()}
     for k in range(5):
@@ -75,3 +83,4 @@ def test_padding_right_and_left(spark):
         assert left[k]["input_ids"][-left[k]["n_tokens"]:] == list(range(1, left[k]["n_tokens"] + 1))
     sizes = [r["n"] for r in P.collate_batches(P.truncate_pad(b, "ids", 3, 0)).collect()]
     assert sorted(sizes) == [1, 2, 2]
+    assert max(r["n_tokens"] for r in P.truncate_pad(b, "ids", None, 0, side="left").collect()) == 5
