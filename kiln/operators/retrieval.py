@@ -1,67 +1,74 @@
-"""Retrieval operators: page text, hashed embeddings, the vector collection,
-cosine nearest neighbours, budgeted context and chat messages.
+"""Retrieval operators: page text, hashed embeddings, the stored vector
+collection, cosine nearest neighbours, context and chat messages.
 
 Scale notes
 -----------
 * ``knn_topk`` (one query) is a projection plus TakeOrderedAndProject: each
   task keeps k rows, one task merges k x tasks rows.
-* ``knn_join`` (many queries) never materialises query x vector pairs as
-  rows.  A query batch whose size is checked against ``broadcast_rows`` is
-  shipped to every collection partition and scored there with one BLAS
-  matrix product per Arrow batch; only k rows per query and partition
-  leave the task.  Larger query sets are tiled: queries and vectors are
-  hashed into blocks, the (query block, vector block) tiles are formed by
-  an equi-join key (each vector copied once per query block) and scored by
-  ``cogroup().applyInPandas``.  The final top-k is a window with a constant
-  bound, so Spark keeps k rows per query on both sides of the shuffle.
+* ``knn_join`` (many queries) is exact without all pairs.  Vectors belong to
+  the cell of their nearest pivot; a cell's centre, radius and size bound
+  the distance of everything in it, so a query visits only cells that can
+  still hold one of its k nearest.  Cells and queries are split into blocks
+  of bounded size, a task scores one block against another, and only k rows
+  a query leave it.
+* A vector of length zero has no direction: it takes no part in any search,
+  neither as query nor as candidate.  Ties go to the smaller id everywhere.
 """
 
 from __future__ import annotations
 
-import math
-from typing import Sequence
+import html
+import re
+from typing import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.text import fmt2, hex8_int, py_strip
-from ..functions.vectors import cosine_distance, literal_vector
-from ..session import spread
+from ..functions.text import fmt2
+from ..functions.vectors import cosine_distance, literal_vector, norm
+from ..session import materialize, spread
 
 # --------------------------------------------------------------------------
 # Page text and images
 # --------------------------------------------------------------------------
 
-# Markup dropped before text extraction, and the entities
-# decoded afterwards (``&amp;`` last so that "&amp;lt;" stays "&lt;").
+# Markup dropped before text extraction.
 DROP_BLOCKS = r"(?is)<head[^>]*>.*?</head>|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 TAG = r"<[^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&"))
 BLANKS = r"[ \t\n\r\f]+"
-IMG_SRC = r'(?i)<img[^>]*src="([^"]*)"'
+# an attribute named src, its value in double, single or no quotes
+IMG_SRC = r"""(?i)<img\b[^>]*?\ssrc\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
-def html_text(html: Column) -> Column:
-    t = F.regexp_replace(html, DROP_BLOCKS, " ")
-    t = F.regexp_replace(t, TAG, " ")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return py_strip(F.regexp_replace(t, BLANKS, " "))
+def extract_page_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """One text block per page: markup dropped, character references decoded
+    (all named and numeric ones, a no-break space as a space), blanks
+    collapsed; blank pages dropped.
 
+    The expressions are evaluated once, below the Arrow step that decodes
+    the references and drops blank pages."""
+    bare = F.regexp_replace(F.regexp_replace(F.col(html_col), DROP_BLOCKS, " "), TAG, " ")
 
-def extract_page_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One text block per page; blank pages dropped."""
-    return (spread(pages, id_col).select(id_col, html_text(F.col(html_col)).alias("text"))
-            .where(F.col("text") != ""))
+    def decode(batches):
+        for batch in batches:
+            texts = [" ".join(re.split(BLANKS, html.unescape(t).replace("\xa0", " "))).strip() if t else "" for t in batch.column(1).to_pylist()]
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, "text"])
+            yield out.filter(pa.array([bool(t) for t in texts], pa.bool_()))
+
+    given = pages.select(id_col, bare.alias("_bare"))
+    return given.mapInArrow(decode, T.StructType([given.schema[id_col], T.StructField("text", T.StringType())]))
 
 
 def extract_page_images(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per ``<img src>`` with its 0-based index within the page."""
-    srcs = F.regexp_extract_all(F.col(html_col), F.lit(IMG_SRC), F.lit(1))
+    quoted = F.regexp_extract_all(F.col(html_col), F.lit(IMG_SRC), F.lit(1))
+    srcs = F.transform(quoted, lambda v: F.when(v.rlike("^[\"']"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
     return pages.select(id_col, F.posexplode(srcs).alias("index", "src"))
 
 
@@ -80,8 +87,12 @@ def _hash_embedding_fn(dims: int):
     tok_re = regex.compile(TOKEN)
 
     def embed(texts: pd.Series) -> pd.Series:
-        # vectorised per Arrow batch: factorize all tokens, hash each
-        # distinct token once, then one bincount into the dense matrix
+        # a few texts at a time, so that their tokens stay small in memory
+        return pd.concat([some(texts.iloc[i:i + 256]) for i in range(0, len(texts), 256)] or [pd.Series([], dtype="object")])
+
+    def some(texts: pd.Series) -> pd.Series:
+        # factorize all tokens, hash each distinct token once, then one
+        # bincount into the dense matrix
         valid = texts.notna().to_numpy()
         toks = [tok_re.findall(t.lower()) if ok else [] for t, ok in zip(texts, valid)]
         lengths = np.fromiter((len(t) for t in toks), dtype=np.int64, count=len(toks))
@@ -99,7 +110,7 @@ def _hash_embedding_fn(dims: int):
         norms = np.sqrt((mat * mat).sum(axis=1))
         safe = np.where(norms > 0, norms, 1.0)
         mat = mat / safe[:, None]
-        return pd.Series([mat[i] if valid[i] else None for i in range(len(toks))], dtype="object")
+        return pd.Series([mat[i] if valid[i] else None for i in range(len(toks))], index=texts.index, dtype="object")
 
     return embed
 
@@ -137,12 +148,18 @@ def embed_text_hash(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -
 # Collection (id, embedding, document, metadata)
 # --------------------------------------------------------------------------
 
+COLLECTION = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
+    T.StructField("document", T.StringType()), T.StructField("page", T.IntegerType()),
+    T.StructField("source", T.StringType()), T.StructField("image_index", T.IntegerType()),
+    T.StructField("type", T.StringType())])
+
+
 def make_vector_id(prefix: str, index: Column, source: Column) -> Column:
-    """``prefix_index_(hash % 1000000)``.  The hash is md5 over
-    source || index || prefix, so it is stable across processes and the
-    source is part of it (two documents no longer collide)."""
-    h = hex8_int(F.concat(source.cast("string"), index.cast("string"), F.lit(prefix)))
-    return F.concat_ws("_", F.lit(prefix), index.cast("string"), F.pmod(h, F.lit(1000000)).cast("string"))
+    """``prefix_index_hash`` with the md5 of source, index and prefix, parted
+    by ``|``: stable across processes, and different for every source."""
+    h = F.md5(F.concat_ws("|", F.coalesce(source.cast("string"), F.lit("")), index.cast("string"), F.lit(prefix)))
+    return F.concat_ws("_", F.lit(prefix), index.cast("string"), h)
 
 
 def text_vectors(blocks: DataFrame, index_col: str, source_col: str, page_col: str, text_col: str,
@@ -177,119 +194,168 @@ def build_collection(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def write_collection(coll: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store partitioned by ``type`` so a type filter prunes whole folders."""
-    coll.write.mode(mode).partitionBy("type").parquet(path)
+def read_collection(spark, path: str) -> DataFrame:
+    """The stored collection, or an empty one where nothing is stored yet.  A
+    filter on ``type`` reads that folder only."""
+    try:
+        return spark.read.schema(COLLECTION).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COLLECTION)
+
+
+def add_to_collection(vectors: DataFrame, path: str) -> DataFrame:
+    """Appends the vectors whose id is not stored yet, partitioned by
+    ``type``, and returns the collection as it then is."""
+    spark = vectors.sparkSession
+    stored = read_collection(spark, path).select("id")
+    new = vectors.join(stored, "id", "left_anti").select(*COLLECTION.names)
+    new.write.mode("append").partitionBy("type").parquet(path)
+    return read_collection(spark, path)
 
 
 # --------------------------------------------------------------------------
 # Nearest neighbours
 # --------------------------------------------------------------------------
 
-def knn_topk(collection: DataFrame, query_vector: Sequence[float], k: int = 5, id_col: str = "id",
+def _directed(vector: Column) -> Column:
+    """Whether a vector has a direction: not null and not of length zero."""
+    return F.coalesce(norm(vector) > 0, F.lit(False))
+
+
+def knn_topk(collection: DataFrame, query: Sequence[float] | DataFrame, k: int = 5, id_col: str = "id",
              vec_col: str = "embedding", where: Column | None = None) -> DataFrame:
-    """Cosine top-k for one query vector: (rank, <id>, distance, ...)."""
-    c = collection if where is None else collection.where(where)
-    scored = c.withColumn("distance", cosine_distance(F.col(vec_col), literal_vector(query_vector)))
+    """Cosine top-k for one query vector: (rank, <id>, distance, ...).  The
+    query is a vector or a frame of one row with the column ``vec_col``."""
+    c = (collection if where is None else collection.where(where)).where(_directed(F.col(vec_col)))
+    if isinstance(query, DataFrame):
+        one = query.select(F.col(vec_col).alias("_query")).where(_directed(F.col("_query"))).limit(1)
+        c = c.join(F.broadcast(one))  # one row
+    else:
+        c = c.withColumn("_query", literal_vector(query)).where(_directed(F.col("_query")))
+    scored = c.withColumn("distance", cosine_distance(F.col(vec_col), F.col("_query"))).drop("_query")
     top = scored.orderBy("distance", id_col).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy("distance", id_col)))
 
 
-def _topk_frame(qids, qmat, cids, cmat, k, decimals):
-    """k nearest rows of cmat for every row of qmat (cosine distance)."""
-    out_q, out_c, out_d = [], [], []
-    if len(cids) == 0 or len(qids) == 0:
-        return pd.DataFrame({"query_id": [], "vid": [], "distance": []})
-    cn = np.linalg.norm(cmat, axis=1)
-    qn = np.linalg.norm(qmat, axis=1)
-    kk = min(k, len(cids))
-    step = max(1, 2_000_000 // max(1, len(cids)))
-    order_ids = np.asarray(cids)
-    for s in range(0, len(qids), step):
-        sims = (qmat[s:s + step] @ cmat.T) / np.outer(qn[s:s + step], cn)
-        dist = np.round(1.0 - sims, decimals)
-        if kk < len(cids):
-            part = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
-            # ties at the cut: take everything equal to the k-th distance
-            kth = np.take_along_axis(dist, part, 1).max(axis=1, keepdims=True)
-            mask = dist <= kth
-        else:
-            mask = np.ones_like(dist, dtype=bool)
-        rows, cols = np.nonzero(mask)
-        out_q.append(np.asarray(qids[s:s + step])[rows])
-        out_c.append(order_ids[cols])
-        out_d.append(dist[rows, cols])
-    return pd.DataFrame({"query_id": np.concatenate(out_q), "vid": np.concatenate(out_c),
-                         "distance": np.concatenate(out_d)})
+def _units(vectors: pa.Array) -> np.ndarray:
+    m = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(np.float64)
+    return m / np.linalg.norm(m, axis=1)[:, None]
+
+
+def _cells(frame: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``id, vec, cell, far``: each vector's nearest pivot and its distance."""
+    shared = frame.sparkSession.sparkContext.broadcast(pivots)
+
+    def assign(batches):
+        for b in batches:
+            if b.num_rows:
+                close = _units(b.column("vec")) @ shared.value.T
+                cell = close.argmax(1)
+                far = np.sqrt(np.maximum(2 - 2 * close[np.arange(len(cell)), cell], 0))
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(cell.astype(np.int32)), pa.array(far)], ["id", "vec", "cell", "far"])
+
+    return frame.mapInArrow(assign, T.StructType([*frame.select("id", "vec").schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())]))
+
+
+def cells_to_visit(close: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """Which cells can hold one of the k nearest, for each row of distances
+    between a query and the cells' centres.  By the triangle inequality a
+    cell's members lie within ``distance -+ radius``; cells taken by their
+    upper bound until they hold k members give a bound on the k-th nearest,
+    and a cell whose lower bound is beyond it is skipped."""
+    upper, lower = close + radius, np.maximum(close - radius, 0)
+    order = np.argsort(upper, axis=1, kind="stable")
+    enough = (np.cumsum(size[order], axis=1) >= min(k, size.sum())).argmax(1)
+    bound = np.take_along_axis(upper, np.take_along_axis(order, enough[:, None], 1), 1)
+    # in cosine distance, with room for rounding
+    return lower ** 2 / 2 <= bound ** 2 / 2 + 1e-9
+
+
+def _tile(queries: pa.Table, members: pa.Table, k: int, decimals: int, schema: pa.Schema) -> pa.Table:
+    """The k nearest members of each query; ties go to the smaller id."""
+    if not queries.num_rows or not members.num_rows:
+        return schema.empty_table()
+    members = members.sort_by("id").combine_chunks()
+    queries = queries.combine_chunks()
+    own = _units(members.column("vec").combine_chunks())
+    asked = _units(queries.column("vec").combine_chunks())
+    rows, places, far = [], [], []
+    for lo in range(0, len(asked), 512):
+        distance = np.round(1.0 - asked[lo:lo + 512] @ own.T, decimals)
+        near = np.argsort(distance, axis=1, kind="stable")[:, :k]
+        rows.append(np.repeat(np.arange(lo, lo + len(near)), near.shape[1]))
+        places.append(near.reshape(-1))
+        far.append(np.take_along_axis(distance, near, 1).reshape(-1))
+    return pa.table([queries.column("query").take(pa.array(np.concatenate(rows))), members.column("id").take(pa.array(np.concatenate(places))), pa.array(np.concatenate(far))], schema=schema)
 
 
 def knn_join(queries: DataFrame, collection: DataFrame, k: int = 5,
              query_id: str = "query_id", query_vec: str = "embedding",
              id_col: str = "id", vec_col: str = "embedding",
-             broadcast_rows: int = 20_000, block_rows: int = 20_000,
-             decimals: int = 12) -> DataFrame:
+             cells: int = 64, block_rows: int = 4096, decimals: int = 12) -> DataFrame:
     """Exact cosine k nearest neighbours for every query:
     (query_id, rank, <id>, distance).  Ties are broken by id.
 
     Distances are rounded to ``decimals`` digits before ranking so that
-    equal vectors rank equally whatever the floating-point path.
+    equal vectors rank equally whatever the floating-point path.  ``cells``
+    pivots are taken from the collection; a tile is at most about
+    ``block_rows`` members of a cell against ``block_rows`` queries.
     """
     spark = queries.sparkSession
-    qtype = queries.schema[query_id].dataType
-    ctype = collection.schema[id_col].dataType
-    schema = T.StructType([T.StructField("query_id", qtype), T.StructField("vid", ctype),
-                           T.StructField("distance", T.DoubleType())])
-    q = queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv"))
-    c = collection.select(F.col(id_col).alias("_cid"), F.col(vec_col).alias("_cv"))
-    # size check: at most broadcast_rows + 1 query rows are fetched to decide
-    probe = q.limit(broadcast_rows + 1).toPandas()
-    n_q = len(probe)
-    if n_q <= broadcast_rows:
-        qids = probe["_qid"].to_numpy()
-        qmat = np.array([np.asarray(v, dtype=np.float64) for v in probe["_qv"]]) if n_q else np.zeros((0, 0))
-        bq = spark.sparkContext.broadcast((qids, qmat))
-
-        def score(batches):
-            # one top-k per query for the whole partition (not per Arrow
-            # batch), so the output is k x queries rows per task at most
-            qi, qm = bq.value
-            ids, vecs = [], []
-            for b in batches:
-                if len(b):
-                    ids.append(b["_cid"].to_numpy())
-                    vecs.extend(np.asarray(v, dtype=np.float64) for v in b["_cv"])
-            if vecs:
-                yield _topk_frame(qi, qm, np.concatenate(ids), np.array(vecs), k, decimals)
-
-        cand = c.mapInPandas(score, schema)
-    else:
-        n_q = q.count()
-        n_c = c.count()
-        bq_n = max(1, math.ceil(n_q / block_rows))
-        bc_n = max(1, math.ceil(n_c / block_rows))
-        qt = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(bq_n))) \
-              .withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bc_n - 1).cast("long"))))
-        ct = c.withColumn("_cb", F.pmod(F.xxhash64("_cid"), F.lit(bc_n))) \
-              .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bq_n - 1).cast("long"))))
-
-        def tile(qdf, cdf):
-            if len(qdf) == 0 or len(cdf) == 0:
-                return pd.DataFrame({"query_id": [], "vid": [], "distance": []})
-            qm = np.array([np.asarray(v, dtype=np.float64) for v in qdf["_qv"]])
-            cm = np.array([np.asarray(v, dtype=np.float64) for v in cdf["_cv"]])
-            return _topk_frame(qdf["_qid"].to_numpy(), qm, cdf["_cid"].to_numpy(), cm, k, decimals)
-
-        cand = (qt.groupBy("_qb", "_cb").cogroup(ct.groupBy("_qb", "_cb"))
-                .applyInPandas(tile, schema))
-    w = Window.partitionBy("query_id").orderBy("distance", "vid")
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("query_id").alias(query_id), "rank", F.col("vid").alias(id_col), "distance")
+    qtype, ctype = queries.schema[query_id].dataType, collection.schema[id_col].dataType
+    out = T.StructType([T.StructField("query", qtype), T.StructField("id", ctype), T.StructField("distance", T.DoubleType())])
+    held = collection.where(_directed(F.col(vec_col))).select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    asked = queries.where(_directed(F.col(query_vec))).select(F.col(query_id).alias("query"), F.col(query_vec).cast("array<double>").alias("vec"))
+    pivots = [r["vec"] for r in held.orderBy(F.xxhash64("id")).limit(cells).collect()]  # ``cells`` rows
+    if not pivots:
+        return spark.createDataFrame([], T.StructType([T.StructField(query_id, qtype), T.StructField("rank", T.IntegerType()), T.StructField(id_col, ctype), T.StructField("distance", T.DoubleType())]))
+    centre = np.array(pivots)
+    centre /= np.linalg.norm(centre, axis=1)[:, None]
+    assigned = materialize(_cells(held, centre), "cells")
+    stats = {r["cell"]: r for r in assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()}  # a row a cell
+    used = np.array(sorted(stats))
+    size, radius = np.array([stats[c]["n"] for c in used]), np.array([stats[c]["radius"] for c in used])
+    parts = -(-size // block_rows)
+    n_blocks = max(1, -(-asked.count() // block_rows))
+    shared = spark.sparkContext.broadcast((centre[used], used, size, radius, parts))
+
+    def visit(batches):
+        centres, cell, size, radius, parts = shared.value
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                close = np.sqrt(np.maximum(2 - 2 * _units(part.column("vec")) @ centres.T, 0))
+                row, at = np.nonzero(cells_to_visit(close, radius, size, k))
+                times = parts[at]
+                row, sub = np.repeat(row, times), np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                row, cells_ = pa.array(row), np.repeat(cell[at], times)
+                yield pa.RecordBatch.from_arrays([part.column("query").take(row), part.column("vec").take(row), pa.array(cells_.astype(np.int32)), pa.array(sub.astype(np.int32))], ["query", "vec", "cell", "part"])
+
+    fields = asked.schema
+    visits = asked.mapInArrow(visit, T.StructType([*fields.fields, T.StructField("cell", T.IntegerType()), T.StructField("part", T.IntegerType())]))
+    visits = visits.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(n_blocks)))
+    many = F.create_map(*[F.lit(int(x)) for pair in zip(used, parts) for x in pair])
+    members = (assigned.select("id", "vec", "cell", F.pmod(F.xxhash64("id"), many[F.col("cell")]).cast("int").alias("part"))
+               .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<bigint>"))))
+    arrow = to_arrow_schema(out)
+
+    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _tile(left, right, k, decimals, arrow)
+
+    keys = ["cell", "part", "block"]
+    found = visits.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(tile, out)
+    w = Window.partitionBy("query").orderBy("distance", "id")
+    top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("query").alias(query_id), "rank", F.col("id").alias(id_col), "distance")
 
 
 # --------------------------------------------------------------------------
 # Context, messages, chat
 # --------------------------------------------------------------------------
 
+# The no-result text, the line between pieces, the frame of an answer.
 NO_CONTEXT = "No relevant context found."
 CONTEXT_SEPARATOR = "\n---\n"
 # Fixed value: the system message that carries the retrieved context.
@@ -346,8 +412,36 @@ def extractive_answer(context: Column) -> Column:
     return F.regexp_extract(context, FIRST_SENTENCE, 1)
 
 
+ANSWER_LEAD, ANSWER_MIDDLE = "Retrieved Context:\n---\n", "\n---\n\nGenerated Answer:\n"
+
+
 def chat_answer_text(context: Column, response: Column) -> Column:
-    return F.concat(F.lit("Retrieved Context:\n---\n"), context, F.lit("\n---\n\nGenerated Answer:\n"), response)
+    return F.concat(F.lit(ANSWER_LEAD), context, F.lit(ANSWER_MIDDLE), response)
+
+
+Encoder = Callable[[DataFrame, str, str], DataFrame]  # (frame, id, text) -> frame with ``embedding``
+Generator = Callable[[Column, Column], Column]  # (question, context) -> answer
+
+
+def retrieve(questions: DataFrame, collection: DataFrame, encoder: Encoder = embed_text_hash, n_results: int = 5,
+             filter_type: str | None = None, query_id: str = "query_id", question_col: str = "question") -> DataFrame:
+    """The stored rows nearest to each question, with rank and distance."""
+    coll = collection if filter_type is None else collection.where(F.col("type") == filter_type)
+    asked = encoder(questions.select(query_id, question_col), query_id, question_col)
+    top = knn_join(materialize(asked, "questions"), coll, n_results, query_id=query_id)
+    return top.join(coll.select("id", "document", "type", "page"), "id")
+
+
+def rag_answers(questions: DataFrame, collection: DataFrame, encoder: Encoder = embed_text_hash,
+                generator: Generator | None = None, n_results: int = 5, filter_type: str | None = None,
+                max_context_length: int | None = None, query_id: str = "query_id", question_col: str = "question") -> DataFrame:
+    """The whole pipeline: ``questions`` with ``context`` and ``response``.
+    ``encoder`` must be the one that made the collection's vectors; without a
+    ``generator`` the answer is the first sentence of the best piece."""
+    found = retrieve(questions, collection, encoder, n_results, filter_type, query_id, question_col)
+    ctx = rag_context(questions, found, query_id, max_context_length)
+    answer = generator(F.col(question_col), F.col("context")) if generator else extractive_answer(F.col("context"))
+    return questions.join(ctx, query_id).withColumn("response", answer)
 
 
 # Chat markup.

@@ -13,15 +13,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.vectors import norm
 from ..operators import retrieval as R
-from ..session import materialize
+from ..session import scratch_path
 from ..tables import table
 from .registry import q, register
 
 K_TOP = 5
-K_RAG = 3
-BUDGET = 2000
+K_RAG = 5       # results of the pipeline
+K_CHAT = 3      # results of a chat answer
+BUDGET = 2000   # of rag_context, whose feature the budget is
 DIMS = 64
 
 
@@ -32,11 +32,16 @@ def _d6(c):
 
 # ---- pages -------------------------------------------------------------------
 
+# what stands for each character reference of the pages, written out
+REFERENCES_SQL = (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "))
+
+
 def _html_text_sql(col: str) -> str:
     t = f"regexp_replace({col}, {q(R.DROP_BLOCKS)}, ' ', 'g')"
     t = f"regexp_replace({t}, {q(R.TAG)}, ' ', 'g')"
-    for ent, ch in R.ENTITIES:
+    for ent, ch in REFERENCES_SQL:
         t = f"replace({t}, {q(ent)}, {q(ch)})"
+    t = f"regexp_replace({t}, '&amp;?', '&', 'g')"
     t = f"regexp_replace({t}, {q(R.BLANKS)}, ' ', 'g')"
     from .curation_queries import strip_sql
     return strip_sql(t)
@@ -49,7 +54,8 @@ def extract_page_text(spark, sf):
 
 
 @register("extract_page_images", sql=f"""
-SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS index, unnest(l) AS src
+SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS index,
+       unnest(list_transform(l, lambda v: CASE WHEN v[1] IN ('"', '''') THEN v[2:len(v) - 1] ELSE v END)) AS src
 FROM (SELECT page_id, regexp_extract_all(html, {q(R.IMG_SRC)}, 1) AS l FROM pages)""")
 def extract_page_images(spark, sf):
     return R.extract_page_images(table(spark, sf, "pages"))
@@ -81,8 +87,8 @@ def embed_text_hash(spark, sf):
 # ---- vector ids and the collection --------------------------------------------
 
 def vector_id_sql(prefix: str, index: str, source: str) -> str:
-    h = f"('0x' || substr(md5(CAST({source} AS VARCHAR) || CAST({index} AS VARCHAR) || '{prefix}'), 1, 8))::BIGINT"
-    return f"('{prefix}_' || CAST({index} AS VARCHAR) || '_' || CAST({h} % 1000000 AS VARCHAR))"
+    h = f"md5(coalesce(CAST({source} AS VARCHAR), '') || '|' || CAST({index} AS VARCHAR) || '|{prefix}')"
+    return f"('{prefix}_' || CAST({index} AS VARCHAR) || '_' || {h})"
 
 
 @register("make_vector_id", sql=f"SELECT doc_id, {vector_id_sql('text', 'doc_id', 'source')} AS id FROM documents")
@@ -92,9 +98,10 @@ def make_vector_id(spark, sf):
 
 
 def text_blocks_with_vectors(spark, sf):
-    e = table(spark, sf, "embeddings").where(F.pmod(F.col("label"), F.lit(2)) == 0)
+    """Every document and every text vector, joined where both are there."""
+    e = table(spark, sf, "embeddings").where(F.pmod(F.col("label"), F.lit(2)) == 0).select("vec_id", "embedding")
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "source", "text")
-    return e.join(d, "vec_id").withColumn("page", F.lit(1))
+    return e.join(d, "vec_id", "full").withColumn("page", F.lit(1))
 
 
 def text_vectors(spark, sf):
@@ -108,41 +115,59 @@ def image_vectors(spark, sf):
     return R.image_vectors(imgs, "vec_id", "source", "page", "img", "embedding")
 
 
+def _emb_sql(col: str) -> str:
+    # a vector as text: its components in millionths
+    return f"array_to_string(list_transform({col}, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000 + 0.5) AS BIGINT)), ',')"
+
+
+def _emb(col="embedding"):
+    return F.array_join(F.transform(F.col(col), lambda x: F.floor(x.cast("double") * 1000000 + 0.5).cast("string")), ",")
+
+
 TEXT_VEC_SQL = f"""
- tv AS (SELECT {vector_id_sql('text', 'e.vec_id', 'd.source')} AS id, d.text AS document, 'text' AS type,
-           1 AS page, d.source AS source, CAST(NULL AS INTEGER) AS image_index
-        FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id WHERE e.label % 2 = 0)"""
+ tv AS (SELECT {vector_id_sql('text', 'coalesce(e.vec_id, d.doc_id)', 'd.source')} AS id, d.text AS document, 'text' AS type,
+           1 AS page, d.source AS source, CAST(NULL AS INTEGER) AS image_index, {_emb_sql('e.embedding')} AS embedding
+        FROM (SELECT * FROM embeddings WHERE label % 2 = 0) e FULL JOIN documents d ON e.vec_id = d.doc_id)"""
 IMAGE_VEC_SQL = f"""
  iv AS (SELECT {vector_id_sql('image', 'vec_id', "'embeddings'")} AS id,
            'Image from page ' || CAST(vec_id // 4 + 1 AS VARCHAR) || ', index ' || CAST(vec_id % 4 AS VARCHAR) AS document,
            'image' AS type, CAST(vec_id // 4 + 1 AS INTEGER) AS page, 'embeddings' AS source,
-           CAST(vec_id % 4 AS INTEGER) AS image_index
+           CAST(vec_id % 4 AS INTEGER) AS image_index, {_emb_sql('embedding')} AS embedding
         FROM embeddings WHERE label % 2 = 1)"""
-COLS = ["id", "document", "type", "page", "source"]
+COLS = ["id", "document", "type", "page", "source", "image_index"]
+STORED_SQL = "WITH " + TEXT_VEC_SQL + "," + IMAGE_VEC_SQL + ",\n st AS (SELECT * FROM tv UNION ALL SELECT * FROM iv)"
+
 
+def stored_collection(spark, sf):
+    """Text vectors, then image vectors, then the first of them again (which
+    adds nothing) into a collection that does not exist yet."""
+    path = scratch_path(spark, "collection")
+    R.add_to_collection(text_vectors(spark, sf), path)
+    R.add_to_collection(image_vectors(spark, sf), path)
+    return R.add_to_collection(image_vectors(spark, sf).where(F.col("image_index") == 0), path)
 
-@register("store_text_vectors", sql="WITH " + TEXT_VEC_SQL + "\nSELECT id, document, type, page, source FROM tv")
+
+@register("store_text_vectors", sql="WITH " + TEXT_VEC_SQL + "\nSELECT * FROM tv")
 def store_text_vectors(spark, sf):
-    return text_vectors(spark, sf).select(*COLS)
+    c = R.add_to_collection(text_vectors(spark, sf), scratch_path(spark, "collection"))
+    return c.select(*COLS, _emb().alias("embedding"))
 
 
-@register("store_image_vectors", sql="WITH " + IMAGE_VEC_SQL +
-          "\nSELECT id, document, type, page, source, image_index FROM iv")
+@register("store_image_vectors", sql="WITH " + IMAGE_VEC_SQL + "\nSELECT * FROM iv")
 def store_image_vectors(spark, sf):
-    return image_vectors(spark, sf).select(*COLS, "image_index")
+    c = R.add_to_collection(image_vectors(spark, sf), scratch_path(spark, "collection"))
+    return c.select(*COLS, _emb().alias("embedding"))
 
 
-@register("build_collection", sql="WITH " + TEXT_VEC_SQL + "," + IMAGE_VEC_SQL +
-          "\nSELECT id, document, type, page, source, image_index FROM tv UNION ALL SELECT * FROM iv")
+@register("build_collection", sql=STORED_SQL + "\nSELECT * FROM st")
 def build_collection(spark, sf):
-    return R.build_collection(text_vectors(spark, sf), image_vectors(spark, sf)).select(*COLS, "image_index")
+    c = R.build_collection(text_vectors(spark, sf), image_vectors(spark, sf))
+    return c.select(*COLS, _emb().alias("embedding"))
 
 
-@register("collection_count", sql="WITH " + TEXT_VEC_SQL + "," + IMAGE_VEC_SQL + """
-SELECT type, count(*) AS cnt FROM (SELECT type FROM tv UNION ALL SELECT type FROM iv) GROUP BY type""")
+@register("collection_count", sql=STORED_SQL + "\nSELECT type, count(*) AS cnt FROM st GROUP BY type")
 def collection_count(spark, sf):
-    c = R.build_collection(text_vectors(spark, sf), image_vectors(spark, sf))
-    return c.groupBy("type").agg(F.count("*").alias("cnt"))
+    return stored_collection(spark, sf).groupBy("type").agg(F.count("*").alias("cnt"))
 
 
 # ---- nearest neighbours on the embeddings table ---------------------------------
@@ -162,22 +187,25 @@ FROM d ORDER BY distance, vec_id LIMIT {K_TOP}"""
 
 
 def _query_vec(spark, sf):
-    row = table(spark, sf, "embeddings").where(F.col("vec_id") == 0).select("embedding").first()
-    return list(row[0])
+    return table(spark, sf, "embeddings").where(F.col("vec_id") == 0)
 
 
 @register("knn_topk", sql=_topk_sql("true"))
 def knn_topk(spark, sf):
-    e = table(spark, sf, "embeddings")
-    r = R.knn_topk(e, _query_vec(spark, sf), K_TOP, id_col="vec_id")
+    r = R.knn_topk(table(spark, sf, "embeddings"), _query_vec(spark, sf), K_TOP, id_col="vec_id")
     return r.select("rank", "vec_id", _d6(F.col("distance")).alias("distance"))
 
 
-@register("knn_filtered", sql=_topk_sql("e.label % 2 = 0"))
+@register("knn_filtered", sql=STORED_SQL + f""",
+ qv AS (SELECT embedding AS qe FROM embeddings WHERE vec_id = 0),
+ d AS (SELECT {vector_id_sql('image', 'vec_id', "'embeddings'")} AS id, {_dist_sql('e.embedding', 'qv.qe')} AS distance
+       FROM embeddings e, qv WHERE e.label % 2 = 1)
+SELECT CAST(row_number() OVER (ORDER BY distance, id) AS INTEGER) AS rank, id, round(distance, 6) + 0.0 AS distance
+FROM d ORDER BY distance, id LIMIT {K_TOP}""")
 def knn_filtered(spark, sf):
-    e = table(spark, sf, "embeddings")
-    r = R.knn_topk(e, _query_vec(spark, sf), K_TOP, id_col="vec_id", where=F.pmod(F.col("label"), F.lit(2)) == 0)
-    return r.select("rank", "vec_id", _d6(F.col("distance")).alias("distance"))
+    """Among the stored image vectors: the filter reads their folder only."""
+    r = R.knn_topk(stored_collection(spark, sf), _query_vec(spark, sf), K_TOP, where=F.col("type") == "image")
+    return r.select("rank", "id", _d6(F.col("distance")).alias("distance"))
 
 
 @register("knn_join", sql=f"""
@@ -194,54 +222,41 @@ def knn_join(spark, sf):
 
 # ---- retrieval-augmented answers over documents ------------------------------------
 
-def _nonzero(c="embedding"):
-    return norm(F.col(c)) > 0
-
-
 def doc_collection(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "source", "text")
     e = R.embed_text_hash(d, "doc_id", "text", DIMS).withColumn("page", F.lit(1))
-    coll = R.text_vectors(e, "doc_id", "source", "page", "text", "embedding")
-    return materialize(coll, "doc-collection").where(_nonzero())  # the stored collection
+    return R.add_to_collection(R.text_vectors(e, "doc_id", "source", "page", "text", "embedding"), scratch_path(spark, "collection"))
 
 
 def user_questions(spark, sf):
-    c = (table(spark, sf, "conversations").where(F.col("role") == "user")
-         .select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "conv_id", "turn",
-                 F.col("text").alias("question")))
-    return materialize(R.embed_text_hash(c, "query_id", "question", DIMS), "user-questions")
-
-
-def rag_results(spark, sf):
-    coll = doc_collection(spark, sf)
-    qs = user_questions(spark, sf)
-    top = R.knn_join(qs.where(_nonzero()), coll, K_RAG, query_id="query_id", id_col="id")
-    return qs, top.join(coll.select("id", "document", "type", "page"), "id")
+    return (table(spark, sf, "conversations").where(F.col("role") == "user")
+            .select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "conv_id", "turn", F.col("text").alias("question")))
 
 
-def rag_context_df(spark, sf):
-    qs, res = rag_results(spark, sf)
-    return qs, R.rag_context(qs, res, "query_id", BUDGET)
+def answers(spark, sf, k, budget=None):
+    return R.rag_answers(user_questions(spark, sf), doc_collection(spark, sf), n_results=k, max_context_length=budget)
 
 
-RAG_SQL = "WITH " + hash_weights_sql("dh", "documents", "doc_id", "text") + "," + hash_weights_sql(
-    "uh", "(SELECT conv_id || ':' || turn AS qid, text FROM conversations WHERE role = 'user')", "qid", "text") + f""",
+def rag_sql(k: int, budget: int | None = None) -> str:
+    kept = "runs" if budget is None else f"(SELECT * FROM runs WHERE run <= {budget})"
+    return "WITH " + hash_weights_sql("dh", "documents", "doc_id", "text") + "," + hash_weights_sql(
+        "uh", "(SELECT conv_id || ':' || turn AS qid, text FROM conversations WHERE role = 'user')", "qid", "text") + f""",
  coll0 AS (SELECT {vector_id_sql('text', 'd.doc_id', 'd.source')} AS id, d.text AS document, 'text' AS type, 1 AS page,
             CAST(e.emb AS DOUBLE[]) AS v FROM documents d JOIN dh_e e ON e.id = d.doc_id),
  coll AS (SELECT *, sqrt(list_dot_product(v, v)) AS n FROM coll0 WHERE list_dot_product(v, v) > 0),
  qs AS (SELECT conv_id || ':' || turn AS query_id, conv_id, turn, text AS question FROM conversations WHERE role = 'user'),
  qe AS (SELECT query_id, v, sqrt(list_dot_product(v, v)) AS n
         FROM (SELECT id AS query_id, CAST(emb AS DOUBLE[]) AS v FROM uh_e) WHERE list_dot_product(v, v) > 0),
- pairs AS (SELECT qe.query_id, coll.id, coll.document, coll.type, coll.page,
-             round(1 - list_dot_product(qe.v, coll.v) / (qe.n * coll.n), 12) AS distance FROM qe, coll),
- ranked AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
-            WHERE rank <= {K_RAG}),
+ pairs AS (SELECT qe.query_id, coll.id, round(1 - list_dot_product(qe.v, coll.v) / (qe.n * coll.n), 12) AS distance FROM qe, coll),
+ ranked0 AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
+            WHERE rank <= {k}),
+ ranked AS MATERIALIZED (SELECT r.*, c.document, c.type, c.page FROM ranked0 r JOIN coll0 c ON r.id = c.id),
  pieces AS MATERIALIZED (SELECT *, (CASE WHEN type = 'text' THEN '[Text from page ' ELSE '[Image from page ' END) || CAST(page AS VARCHAR)
                || ', relevance: ' || printf('%.2f', 1.0 - distance) || ']' || chr(10) || document || chr(10) AS piece FROM ranked),
  lens AS MATERIALIZED (SELECT query_id, rank, length(piece) AS plen FROM pieces),
  runs AS (SELECT a.query_id, a.rank, sum(b.plen) AS run FROM lens a JOIN lens b
           ON a.query_id = b.query_id AND b.rank <= a.rank GROUP BY a.query_id, a.rank),
- kept AS (SELECT p.* FROM pieces p JOIN runs r ON p.query_id = r.query_id AND p.rank = r.rank WHERE r.run <= {BUDGET}),
+ kept AS (SELECT p.* FROM pieces p JOIN {kept} r ON p.query_id = r.query_id AND p.rank = r.rank),
  has AS (SELECT DISTINCT query_id FROM ranked),
  joined AS (SELECT query_id, string_agg(piece, chr(10) || '---' || chr(10) ORDER BY rank) AS c FROM kept GROUP BY query_id),
  ctx AS MATERIALIZED (SELECT q.query_id, CASE WHEN h.query_id IS NULL THEN {q(R.NO_CONTEXT)} ELSE coalesce(j.c, '') END
@@ -249,35 +264,31 @@ RAG_SQL = "WITH " + hash_weights_sql("dh", "documents", "doc_id", "text") + ","
                 LEFT JOIN joined j ON j.query_id = q.query_id)"""
 
 
-@register("rag_context", sql=RAG_SQL + "\nSELECT query_id, context FROM ctx")
+@register("rag_context", sql=rag_sql(K_RAG, BUDGET) + "\nSELECT query_id, context FROM ctx")
 def rag_context(spark, sf):
-    return rag_context_df(spark, sf)[1]
+    return answers(spark, sf, K_RAG, BUDGET).select("query_id", "context")
 
 
-@register("build_rag_messages", sql=RAG_SQL + f"""
+@register("build_rag_messages", sql=rag_sql(K_RAG) + f"""
 SELECT query_id, 0 AS pos, 'system' AS role, {q(R.SYSTEM_PREFIX)} || context AS content FROM ctx
 UNION ALL SELECT query_id, 1, 'user', question FROM qs""")
 def build_rag_messages(spark, sf):
-    qs, ctx = rag_context_df(spark, sf)
-    return R.rag_messages(ctx, qs, "query_id", "question")
+    a = answers(spark, sf, K_RAG)
+    return R.rag_messages(a.select("query_id", "context"), a, "query_id", "question")
 
 
-@register("rag_pipeline", sql=RAG_SQL + f"""
+@register("rag_pipeline", sql=rag_sql(K_RAG) + f"""
 SELECT query_id, regexp_extract(context, {q(R.FIRST_SENTENCE)}, 1) AS response FROM ctx""")
 def rag_pipeline(spark, sf):
-    qs, ctx = rag_context_df(spark, sf)
-    return ctx.select("query_id", R.extractive_answer(F.col("context")).alias("response"))
+    return answers(spark, sf, K_RAG).select("query_id", "response")
 
 
-@register("chat_answer_text", sql=RAG_SQL + """
-SELECT q.conv_id, q.turn, 'Retrieved Context:' || chr(10) || '---' || chr(10) || c.context || chr(10) || '---' || chr(10)
-       || chr(10) || 'Generated Answer:' || chr(10) || regexp_extract(c.context, """ + q(R.FIRST_SENTENCE) + """, 1) AS text
+@register("chat_answer_text", sql=rag_sql(K_CHAT) + f"""
+SELECT q.conv_id, q.turn, {q(R.ANSWER_LEAD)} || c.context || {q(R.ANSWER_MIDDLE)} || regexp_extract(c.context, {q(R.FIRST_SENTENCE)}, 1) AS text
 FROM qs q JOIN ctx c USING (query_id)""")
 def chat_answer_text(spark, sf):
-    qs, ctx = rag_context_df(spark, sf)
-    return (qs.select("query_id", "conv_id", "turn").join(ctx, "query_id")
-            .select("conv_id", "turn", R.chat_answer_text(F.col("context"), R.extractive_answer(F.col("context")))
-                    .alias("text")))
+    a = answers(spark, sf, K_CHAT)
+    return a.select("conv_id", "turn", R.chat_answer_text(F.col("context"), F.col("response")).alias("text"))
 
 
 # ---- chat markup -------------------------------------------------------------------

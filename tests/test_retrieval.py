@@ -58,18 +58,38 @@ def _brute(q, c, k):
     return {i: list(np.lexsort((np.arange(len(c)), np.round(d[i], 12)))[:k]) for i in range(len(q))}
 
 
-@pytest.mark.parametrize("broadcast_rows", [10_000, 5])
-def test_knn_join_paths_agree_with_brute_force(spark, broadcast_rows):
+@pytest.mark.parametrize("cells, block_rows", [(64, 4096), (5, 7), (1, 50)])
+def test_knn_join_agrees_with_brute_force(spark, cells, block_rows):
     coll, cm = _vectors(spark, 120, 16, 1)
     qs, qm = _vectors(spark, 30, 16, 2)
-    out = R.knn_join(qs.withColumnRenamed("id", "query_id"), coll, 4, broadcast_rows=broadcast_rows,
-                     block_rows=40).collect()
+    out = R.knn_join(qs.withColumnRenamed("id", "query_id"), coll, 4, cells=cells, block_rows=block_rows).collect()
     got = {}
     for r in sorted(out, key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append(r["id"])
     assert got == {i: [int(x) for x in v] for i, v in _brute(qm, cm, 4).items()}
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_zero_and_equal_vectors(spark, parts):
+    rows = [(i, [1.0, 0.0]) for i in range(50)] + [(100, [0.0, 0.0]), (101, None), (102, [0.0, 1.0])]
+    coll = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(parts)
+    qs = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 0.0]), (3, None)], "query_id long, embedding array<double>")
+    out = sorted(tuple(r) for r in R.knn_join(qs, coll, 3, block_rows=10).collect())
+    assert out == [(1, 1, 0, 0.0), (1, 2, 1, 0.0), (1, 3, 2, 0.0)]
+    assert [r["id"] for r in R.knn_topk(coll, [0.0, 3.0], 100).orderBy("rank").collect()][:2] == [102, 0]
+    assert R.knn_topk(coll, [0.0, 0.0], 5).count() == 0 and R.knn_topk(coll, qs.where("query_id = 1"), 60).count() == 51
+    assert R.knn_join(qs, coll.where("id = 100"), 3).count() == 0
+
+
+def test_far_cells_are_skipped():
+    centres = np.eye(8)
+    close = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+    visit = R.cells_to_visit(close, np.full(8, 0.2), np.full(8, 100), 5)
+    assert visit.sum() == 8 and visit.diagonal().all()
+    # a cell too small for k brings in others
+    assert R.cells_to_visit(close, np.full(8, 0.2), np.full(8, 2), 5).sum() > 8
+
+
 def test_knn_topk_plan_is_take_ordered(spark):
     coll, cm = _vectors(spark, 50, 8, 3)
     top = R.knn_topk(coll, list(cm[0]), 3)
@@ -88,14 +108,40 @@ def test_chat_history_and_wrap(spark):
 
 def test_page_text_and_images(spark):
     html = ('<html><head><title>T</title><script>var a="<p>";</script></head><body><p>Hello &amp; '
-            'bye</p><!-- c --><img src="a.png"><IMG alt=x src="b.jpg"></body></html>')
-    pages = spark.createDataFrame([(1, html), (2, "<p>  </p>")], "page_id long, html string")
-    assert [tuple(r) for r in R.extract_page_text(pages).collect()] == [(1, "Hello & bye")]
+            'bye &copy;&#233;&eacute;&#x41;&amp;lt;&nbsp;&hellip;</p><!-- c --><img src="a.png"><IMG alt=x src="b.jpg">'
+            "<img src='c d.png' /><img width=1 src=e.gif><img data-src='no.png'></body></html>")
+    pages = spark.createDataFrame([(1, html), (2, "<p>  </p>"), (3, None)], "page_id long, html string")
+    assert [tuple(r) for r in R.extract_page_text(pages).collect()] == [(1, "Hello & bye ©ééA&lt; …")]
     imgs = [tuple(r) for r in R.extract_page_images(pages).orderBy("index").collect()]
-    assert imgs == [(1, 0, "a.png"), (1, 1, "b.jpg")]
-
-
-def test_vector_id_is_stable(spark):
-    df = spark.createDataFrame([("src", 3)], "source string, idx int")
-    a = df.select(R.make_vector_id("text", F.col("idx"), F.col("source"))).first()[0]
-    assert a.startswith("text_3_") and a == df.select(R.make_vector_id("text", F.col("idx"), F.col("source"))).first()[0]
+    assert imgs == [(1, 0, "a.png"), (1, 1, "b.jpg"), (1, 2, "c d.png"), (1, 3, "e.gif")]
+
+
+def test_vector_ids_differ_by_source(spark):
+    df = spark.range(200_000).select(R.make_vector_id("text", F.lit(0), F.concat(F.lit("s"), "id")).alias("v"))
+    assert df.distinct().count() == 200_000
+    ab = spark.createDataFrame([("a1", 2), ("a", 12)], "s string, i int").select(R.make_vector_id("t", F.col("i"), F.col("s")))
+    assert ab.distinct().count() == 2
+
+
+def test_stored_collection(spark, tmp_path):
+    path = str(tmp_path / "coll")
+    assert R.read_collection(spark, path).count() == 0
+    rows = [("a", [1.0], "d", 1, "s", None, "text"), ("b", [2.0], "e", 1, "s", 0, "image")]
+    frame = spark.createDataFrame(rows, R.COLLECTION)
+    assert R.add_to_collection(frame, path).count() == 2
+    more = R.add_to_collection(frame.unionByName(spark.createDataFrame([("c", None, None, 1, None, None, "text")], R.COLLECTION)), path)
+    assert sorted(r.id for r in more.collect()) == ["a", "b", "c"]
+    only = more.where("type = 'image'")
+    assert "PartitionFilters: [isnotnull(type" in only._jdf.queryExecution().executedPlan().toString() and only.count() == 1
+
+
+def test_pluggable_encoder_and_generator(spark):
+    def encoder(df, id_col, text_col):
+        return df.withColumn("embedding", F.array(F.length(text_col).cast("float"), F.lit(1.0).cast("float")))
+
+    rows = [(f"v{i}", [float(i), 1.0], f"doc {i}", 1, "s", None, "image" if i % 2 else "text") for i in range(1, 9)]
+    coll = spark.createDataFrame(rows, R.COLLECTION)
+    qs = spark.createDataFrame([("q", "four")], "query_id string, question string")
+    out = R.rag_answers(qs, coll, encoder, lambda question, context: F.concat(question, F.lit("!")), n_results=2, filter_type="text").first()
+    assert out.response == "four!" and "doc 4" in out.context and out.context.count("[Text") == 2
+    assert R.rag_answers(qs, coll, encoder).first().context.count("relevance") == 5
