@@ -7,7 +7,7 @@ explicitly; nothing depends on how rows happen to be partitioned.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,14 +115,21 @@ def classify_prompt(category: Column, question: Column, answer: Column) -> Colum
 # Rule labels (deterministic stand-ins for the three model questions)
 # --------------------------------------------------------------------------
 
-# Number words per language (ASCII forms only, matched on the
-# lower-cased text between non-letters).
+# Number words of English, French, German and Spanish, matched
+# on the lower-cased text between non-letters.  Words that are articles too
+# (un, une, ein, uno ...) are left out.
 NUMBER_WORDS = (
-    "zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty "
-    "hundred thousand million billion "
-    "deux trois quatre cinq sept huit neuf dix vingt trente cent mille "
-    "zwei drei vier sechs sieben acht neun zehn zwanzig hundert tausend "
-    "dos tres cuatro cinco seis siete ocho nueve diez cien"
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+    "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred hundreds thousand thousands "
+    "million millions billion billions trillion "
+    "zéro deux trois quatre cinq six sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante "
+    "cinquante soixante septante huitante octante nonante cent cents mille million millions milliard milliards "
+    "null eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn "
+    "achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen "
+    "milliarde milliarden "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho "
+    "diecinueve veinte veintiuno veintidós veintitrés veinticuatro veinticinco treinta cuarenta cincuenta sesenta setenta "
+    "ochenta noventa cien ciento mil millón millones"
 ).split()
 
 NUMBER_PATTERN = r"[0-9]|(^|\P{L})(" + "|".join(NUMBER_WORDS) + r")(\P{L}|$)"
@@ -130,6 +137,8 @@ NON_ENGLISH_PATTERN = r"[^\x00-\x7F\P{L}]"  # a letter outside ASCII
 SENTENCE_SPLIT = r"[.!?\n]+"
 WORD = r"\p{L}+"
 CAPITALISED = r"^\p{Lu}"
+# a word, then a capitalised one in the same sentence
+NAME_PATTERN = r"\p{L}[^.!?\n\p{L}]+\p{Lu}"
 
 
 def rule_has_numbers(text: Column) -> Column:
@@ -143,6 +152,12 @@ def rule_has_non_english(text: Column) -> Column:
     return text.rlike(NON_ENGLISH_PATTERN)
 
 
+def rule_has_names(text: Column) -> Column:
+    """A capitalised word that does not begin a sentence: what a single row
+    can tell about proper nouns without the corpus."""
+    return text.rlike(NAME_PATTERN)
+
+
 # words and sentence ends in text order; a word is sentence-initial when it
 # is first or follows a sentence end
 EVENTS = r"[.!?\n]|\p{L}+"
@@ -165,26 +180,12 @@ def text_events(text: Column) -> Column:
 def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> DataFrame:
     """Ids of rows with a capitalised non-initial word whose exact form
     occurs in at most ``max_df`` rows.  Only capitalised forms can match a
-    capitalised candidate, so only those are exploded, once, as
-    (word, is_candidate) pairs.  One shuffle keyed by word; count / min /
-    max aggregate partially on the map side, so a common word never forms
-    a hot reduce key.  With max_df <= 2 the (at most two) rows holding a
-    rare word are its min and max id, so no join back is needed."""
-    pairs = F.concat(F.transform("_caps", lambda w: F.struct(w.alias("word"), F.lit(False).alias("is_cand"))),
-                     F.transform("_cands", lambda w: F.struct(w.alias("word"), F.lit(True).alias("is_cand"))))
-    rows = feat.select(F.col(id_col).alias("_id"), F.explode(pairs).alias("p")).select("_id", "p.word", "p.is_cand")
-    if max_df <= 2:
-        g = rows.groupBy("word").agg(
-            F.count_if(~F.col("is_cand")).alias("df"),
-            F.min(F.when(F.col("is_cand"), F.col("_id"))).alias("c1"),
-            F.max(F.when(F.col("is_cand"), F.col("_id"))).alias("c2"))
-        ids = (g.where((F.col("df") <= max_df) & F.col("c1").isNotNull())
-               .select(F.explode(F.array_distinct(F.array("c1", "c2"))).alias(id_col)))
-    else:
-        dfreq = rows.where(~F.col("is_cand")).groupBy("word").agg(F.count("*").alias("df"))
-        rare = dfreq.where(F.col("df") <= max_df).select("word")
-        ids = rows.where(F.col("is_cand")).join(rare, "word", "left_semi").select(F.col("_id").alias(id_col))
-    return ids.distinct()
+    capitalised candidate, so only those are exploded.  Rows by word are
+    counted with partial aggregation, so a common word is no hot key; the
+    join keeps candidates of rare words, which have few rows each."""
+    word = lambda c: feat.select(F.col(id_col), F.explode(c).alias("word"))
+    rare = word("_caps").groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") <= max_df)
+    return word("_cands").join(rare.select("word"), "word", "left_semi").select(id_col).distinct()
 
 
 def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2) -> DataFrame:
@@ -222,21 +223,14 @@ def rule_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn(FLAGS[2], F.col("_u").isNotNull()).drop("_u"))
 
 
-def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Left equi-join of stored predictions onto rows by record id (the
-    reference zips two lists by position)."""
-    pred = predictions.select(key, *FLAGS)
-    return rows.drop(*[c for c in FLAGS if c in rows.columns]).join(pred, key, "left")
-
-
 def flagged_documents(docs: DataFrame, labels: DataFrame, max_df: int = 2,
                       keep: Sequence[str] = ("source", "lang")) -> DataFrame:
     """Documents with rule flags standing in for model answers; a document
     without a row in ``labels`` counts as a failed prediction (all null).
 
     The text itself is not carried on: ``text_md5`` stands for it in
-    whole-row value comparisons (the sample's duplicate check), so the
-    prediction table stays small enough to persist and re-read cheaply."""
+    whole-row value comparisons (the sample's duplicate check); whoever needs
+    the records joins the few rows kept back to them by id."""
     d = docs.withColumn("text_md5", F.md5(F.col("text")))
     flags = rule_flags(d, "doc_id", "text", max_df, keep=tuple(keep) + ("text_md5",))
     labelled = labels.select("doc_id").distinct().withColumn("_lab", F.lit(True))
@@ -328,95 +322,98 @@ def strata_counts(df: DataFrame, stratum: str) -> DataFrame:
     return df.groupBy(stratum).agg(F.count("*").alias("cnt"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Iterable[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+SALTS = 64
+
+
+def _key(*cols: str) -> Column:
+    """Columns as one value that is never null, for plain equi-joins."""
+    return F.md5(F.to_json(F.struct(*cols)))
+
+
+def _first_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, name: str, spread_by: str) -> DataFrame:
+    """The first ``n`` rows of each group in ``order``, numbered in ``name``.
+    Spark keeps n rows a group and task before each shuffle; the first pick is
+    made in ``SALTS`` parts of a group, so that the last one sees at most
+    SALTS x n rows, however many tasks and rows there are."""
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    part = F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(*order))
+    few = salted.withColumn("_part", part).where(F.col("_part") <= n).drop("_part", "_salt")
+    return few.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(name) <= n)
+
+
+def _quotas(keys: DataFrame, n: int, mode: str) -> DataFrame:
+    """``_g, _s, _cnt, _first, _total, _quota`` of each group and stratum."""
+    counts = keys.groupBy("_g", "_s").agg(F.count("*").alias("_cnt"), F.min("_o").alias("_first"))
+    totals = counts.groupBy("_g").agg(F.sum("_cnt").alias("_total"))
+    quota = counts.join(totals, "_g").withColumn("_base", F.expr(f"{n}L * _cnt div _total"))
+    if mode == "first":
+        return quota.withColumn("_quota", F.greatest(F.lit(1).cast("bigint"), "_base")).drop("_base")
+    # the largest remainders get one more each until n rows are given out
+    left = quota.groupBy("_g").agg((F.lit(n) - F.sum("_base")).alias("_left"))
+    rest = quota.withColumn("_rest", F.expr(f"{n}L * _cnt % _total"))
+    more = (_first_n(rest, ["_g"], [F.desc("_rest"), F.asc("_s")], n, "_place", "_s").join(left, "_g")
+            .where(F.col("_place") <= F.col("_left")).select("_g", "_s", F.lit(1).alias("_more")))
+    return quota.join(more, ["_g", "_s"], "left").withColumn("_quota", F.col("_base") + F.coalesce("_more", F.lit(0))).drop("_base", "_more")
 
 
 def head_per_stratum(df: DataFrame, n: int, stratum: str, order: str) -> DataFrame:
     """First ``quota`` rows of every stratum in ``order``, with
-    quota = max(1, n * count div total).  The window filter uses the
-    constant bound ``n`` first, so Spark limits each stratum to n rows on
-    both sides of the shuffle (WindowGroupLimit) before the per-stratum
-    quota is applied; a stratum holding most of the data never reaches one
-    task whole."""
-    d = df.withColumn("_g", F.lit(0))
-    totals = d.groupBy("_g").agg(F.count("*").alias("_total"))
-    counts = d.groupBy("_g", stratum).agg(F.count("*").alias("_cnt"), F.min(order).alias("_first"))
-    # one-row totals: broadcast is bounded; the strata table is sized by AQE
-    quota = (counts.join(F.broadcast(totals), "_g")
-             .withColumn("_quota", F.greatest(F.lit(1).cast("bigint"), F.expr(f"{n} * _cnt div _total"))))
-    w = Window.partitionBy(stratum).orderBy(order)
-    ranked = df.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= n)
-    q = quota.select(F.col(stratum).alias("_s"), "_quota", "_first")
-    return (ranked.join(q, ranked[stratum].eqNullSafe(q["_s"]))
-            .where(F.col("rk") <= F.col("_quota")).drop("_s"))
+    quota = max(1, n * count div total): (<df's columns>, rk)."""
+    keys = df.select(F.lit("").alias("_g"), _key(stratum).alias("_s"), F.col(order).alias("_o"))
+    ranked = _first_n(keys, ["_g", "_s"], [F.asc("_o")], n, "rk", "_o")
+    kept = ranked.join(_quotas(keys, n, "first"), ["_g", "_s"]).where(F.col("rk") <= F.col("_quota"))
+    return df.join(kept.select(F.col("_o").alias(order), "rk"), order)
 
 
 def stratified_sample(df: DataFrame, n: int, stratum: str, order: str,
                       value_cols: Sequence[str] | None = None,
-                      groups: Sequence[str] = ()) -> DataFrame:
-    """Stratified sample of exactly the curation tool's rule.
-
-    1. a group with at most n rows is returned whole;
-    2. quota = max(1, int(n * count / rows)) per stratum;
-    3. strata in first-seen order, the first min(quota, count) rows each;
-    4. more than n: keep the first n of that list;
-    5. fewer: append rows in input order whose value (``value_cols``,
-       null-safe) is not already sampled, up to n.
-
-    ``groups`` runs one independent sample per group in the same job.
-    Three passes over the input: one aggregation (counts per stratum), one
-    window with the constant bound n (Spark keeps n rows per stratum on
-    both sides of the shuffle), one anti-join against the at most n rows
-    already taken per group (broadcast).  Every single-task step sees at
-    most n rows per group and map task.
+                      groups: Sequence[str] = (), mode: str = "first", seed: int = 42) -> DataFrame:
+    """Stratified sample of n rows of each group (all rows of a smaller one).
+
+    ``mode="first"`` is the curation tool's rule: quota = max(1, int(n *
+    count / rows)) a stratum; strata in first-seen order, the first
+    min(quota, count) rows of each; if these are more than n, the first n of
+    that list; if fewer, rows in input order whose value (``value_cols``,
+    null-safe) is not sampled yet, up to n.  ``mode="proportional"`` gives
+    each stratum its share of n by largest remainders and takes rows by a
+    seeded hash.
+
+    ``order`` is the input order and unique within a group.  All ranking is
+    done on keys (group, stratum, order and a digest of the value); the few
+    rows picked are then joined back to ``df``.  No window holds more than
+    SALTS x n keys a group.
     """
+    if mode not in ("first", "proportional"):
+        raise ValueError(f"mode must be 'first' or 'proportional', not {mode!r}")
     vals = list(value_cols) if value_cols is not None else [c for c in df.columns if c != order]
-    if groups:
-        g, drop_g = list(groups), False
+    keys = df.select(_key(*groups).alias("_g") if groups else F.lit("").alias("_g"), _key(stratum).alias("_s"),
+                     F.col(order).alias("_o"), _key(*vals).alias("_v"))
+    by = [F.asc("_o")] if mode == "first" else [F.asc(seeded_key(seed, F.col("_o"))), F.asc("_o")]
+    quota = _quotas(keys, n, mode)
+    ranked = _first_n(keys, ["_g", "_s"], by, n, "_rk", "_o")
+    phase0 = ranked.join(quota.where(F.col("_total") > n), ["_g", "_s"]).where(F.col("_rk") <= F.col("_quota"))
+    phase0 = _first_n(phase0, ["_g"], [F.asc("_first"), F.asc("_rk"), F.asc("_s")], n, "_n0", "_o")
+    if mode == "first":
+        # what fills up a short list, and the whole of a small group; equal
+        # values are not added again
+        rest = _first_n(keys.join(phase0.select("_g", "_v"), ["_g", "_v"], "left_anti"), ["_g"], by, n, "_at", "_o")
+        both = phase0.select("_g", "_o", F.lit(0).alias("_ph"), F.col("_n0").alias("_at")).unionByName(
+            rest.select("_g", "_o", F.lit(1).alias("_ph"), "_at"))
+        picked = _first_n(both, ["_g"], [F.asc("_ph"), F.asc("_at")], n, "_pick", "_o").select("_g", "_o")
     else:
-        df, g, drop_g = df.withColumn("_g", F.lit(0)), ["_g"], True
-    out_cols = df.columns
-
-    counts = df.groupBy(*g, stratum).agg(F.count("*").alias("_cnt"), F.min(order).alias("_first"))
-    totals = counts.groupBy(*g).agg(F.sum("_cnt").alias("_total"))
-    quota = (counts.join(F.broadcast(totals), g).where(F.col("_total") > n)
-             .withColumn("_quota", F.greatest(F.lit(1).cast("bigint"), F.expr(f"{n} * _cnt div _total"))))
-
-    ranked = (df.withColumn("_rk", F.row_number().over(Window.partitionBy(*g, stratum).orderBy(order)))
-              .where(F.col("_rk") <= n))
-    q = quota.select(*[F.col(c).alias("_q_" + c) for c in g + [stratum]], "_quota", "_first")
-    cond = F.lit(True)
-    for c in g + [stratum]:
-        cond = cond & ranked[c].eqNullSafe(q["_q_" + c])
-    phase0 = ranked.join(q, cond).where(F.col("_rk") <= F.col("_quota"))
-    phase0 = (phase0.withColumn("_n0", F.row_number().over(Window.partitionBy(*g).orderBy("_first", "_rk")))
-              .where(F.col("_n0") <= n)
-              .select(*out_cols, F.lit(0).alias("_ph"), F.col("_first").alias("_o1"),
-                      F.col("_rk").cast("bigint").alias("_o2")))
-
-    # at most n rows per group (groups are few): safe to broadcast
-    taken = F.broadcast(phase0.select(*[F.col(c).alias("_t_" + c) for c in g + vals]))
-    rows = df.join(F.broadcast(totals), g)
-    anti = F.lit(True)
-    for c in g + vals:
-        anti = anti & rows[c].eqNullSafe(taken["_t_" + c])
-    rest = (rows.join(taken, anti, "left_anti")
-            .select(*out_cols, F.when(F.col("_total") <= n, F.lit(-1)).otherwise(F.lit(1)).alias("_ph"),
-                    F.col(order).alias("_o1"), F.lit(0).cast("bigint").alias("_o2")))
-    wf = Window.partitionBy(*g).orderBy("_ph", "_o1", "_o2")
-    out = (phase0.unionByName(rest).withColumn("_pick", F.row_number().over(wf)).where(F.col("_pick") <= n)
-           .drop("_ph", "_o1", "_o2", "_pick"))
-    return out.drop("_g") if drop_g else out
+        small = quota.where(F.col("_total") <= n).select("_g").distinct()
+        picked = phase0.select("_g", "_o").unionByName(
+            _first_n(keys, ["_g"], [F.asc("_o")], n, "_at", "_o").join(small, "_g").select("_g", "_o"))
+    whole = df.withColumn("_g", _key(*groups) if groups else F.lit("")).withColumn("_o", F.col(order))
+    return whole.join(picked, ["_g", "_o"], "left_semi").select(*df.columns)
 
 
 def sample_exact(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """Uniform sample of exactly n rows without replacement (all rows when
-    fewer).  Hash key per row, so the pick is independent of partitioning;
+    """Uniform sample of exactly n rows without replacement; asking for more
+    rows than there are is an error.  Hash key per row, so the pick is independent of partitioning;
     plans as TakeOrderedAndProject (n rows per task to the final merge)."""
+    if (rows := df.count()) < n:
+        raise ValueError(f"sample of {n} asked from {rows} rows")
     return (df.withColumn("_k", seeded_key(seed, F.col(id_col)))
             .orderBy("_k", id_col).limit(n).drop("_k"))
 
@@ -433,10 +430,15 @@ def route_datasets(valid: DataFrame) -> DataFrame:
 
 
 def curated_datasets(flagged: DataFrame, n: int, stratum: str, order: str,
-                     value_cols: Sequence[str] | None = None) -> DataFrame:
+                     value_cols: Sequence[str] | None = None, records: DataFrame | None = None) -> DataFrame:
+    """The three samples, one row per (dataset, row).  With ``records`` the
+    rows carry all columns of their record (joined by ``order``, the id)."""
     routed = route_datasets(filter_valid(flagged))
     vals = list(value_cols) if value_cols is not None else [c for c in flagged.columns if c != order]
-    return stratified_sample(routed, n, stratum, order, vals, groups=["dataset"])
+    picked = stratified_sample(routed, n, stratum, order, vals, groups=["dataset"])
+    if records is None:
+        return picked
+    return picked.select("dataset", order, *FLAGS).join(records.drop(*FLAGS), order)
 
 
 def curation_stats(flagged: DataFrame, samples: DataFrame | None,

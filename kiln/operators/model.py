@@ -1,11 +1,11 @@
 """Model application with a caller-supplied predictor, and resumable runs.
 
-``predict(prompts: list[str]) -> list[str]`` is called once per Arrow batch
-inside the executors (batch size = ``spark.sql.execution.arrow.
-maxRecordsPerBatch``).  Any exception empties the answers of the *whole*
-batch, as in the curation tool; the parsed flags of those rows are null.
-Predictions are written out before any reuse, so the model runs once per
-row even when later steps read the result several times.
+``predict(prompts: list[str]) -> list[str]`` is called inside the executors
+with at most ``batch_size`` prompts at a time.  Any exception empties the
+answers of that whole batch, as in the curation tool, and is recorded; the
+parsed flags of those rows are null.  Predictions are written out before any
+reuse, so the model runs once per row even when later steps read the result
+several times.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from __future__ import annotations
 import re
 from typing import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import regex
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,67 +26,82 @@ from .curation import FLAGS, classify_prompt
 Predictor = Callable[[Sequence[str]], Sequence[str]]
 
 _QUESTION = re.compile(r"\nQuestion: (.*)\nAnswer: ", re.S)
+_NAME = regex.compile(r"\p{L}[^.!?\n\p{L}]+\p{Lu}")
 
 
 def rule_predictor(prompts: Sequence[str]) -> list[str]:
     """Deterministic stand-in for a language model: reads the question back
-    out of the prompt and answers the three questions with simple rules
-    (a digit; a letter outside ASCII; no rare-name test)."""
+    out of the prompt and answers the three questions with simple rules (a
+    digit; a letter outside ASCII; a capitalised word within a sentence)."""
     out = []
     for p in prompts:
         m = _QUESTION.search(p)
         q = m.group(1) if m else ""
-        num = any(ch.isdigit() and ch.isascii() for ch in q)
-        fx = any(ord(ch) > 127 and ch.isalpha() for ch in q)
-        out.append('{"has_numbers": %s, "has_non_english": %s, "has_unusual_proper_nouns": false}'
-                   % (str(num).lower(), str(fx).lower()))
+        answers = (any(ch.isdigit() and ch.isascii() for ch in q), any(ord(ch) > 127 and ch.isalpha() for ch in q), bool(_NAME.search(q)))
+        out.append('{"has_numbers": %s, "has_non_english": %s, "has_unusual_proper_nouns": %s}' % tuple(str(a).lower() for a in answers))
     return out
 
 
 def answer_with_model(df: DataFrame, prompt_col: str, predict: Predictor,
-                      keep: Sequence[str]) -> DataFrame:
-    """Adds ``response`` (null for a failed batch) via mapInPandas."""
-    fields = [df.schema[c] for c in keep] + [T.StructField("response", T.StringType())]
-    schema = T.StructType(fields)
+                      keep: Sequence[str], batch_size: int = 256) -> DataFrame:
+    """Adds ``response`` (null for a failed batch) and ``error`` (why)."""
     cols = list(keep)
+    given = df.select(*cols, F.col(prompt_col).alias("_asked"))
+    schema = T.StructType([*(given.schema[c] for c in cols), T.StructField("response", T.StringType()), T.StructField("error", T.StringType())])
 
     def run(batches):
-        for b in batches:
-            try:
-                resp = list(predict(b[prompt_col].tolist()))
-                if len(resp) != len(b):
-                    raise ValueError("predictor returned a different number of answers")
-            except Exception:  # noqa: BLE001 - a failed batch gives null answers
-                resp = [None] * len(b)
-            out = b[cols].copy()
-            out["response"] = pd.Series(resp, dtype="object")
-            yield out
-
-    return df.select(*cols, prompt_col).mapInPandas(run, schema)
-
-
-def classify_with_model(records: DataFrame, key: str, predict: Predictor = rule_predictor) -> DataFrame:
-    """Cleaned question records -> (key, three flags) through the model."""
+        for whole in batches:
+            for lo in range(0, whole.num_rows, batch_size):
+                b = whole.slice(lo, batch_size)
+                failed = None
+                try:
+                    answers = list(predict(b.column("_asked").to_pylist()))
+                    if len(answers) != b.num_rows:
+                        raise ValueError(f"{len(answers)} answers to {b.num_rows} prompts")
+                except Exception as e:  # noqa: BLE001 - a failed batch gives null answers
+                    answers, failed = [None] * b.num_rows, f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(answers, pa.string()), pa.array([failed] * b.num_rows, pa.string())],
+                                                 [*cols, "response", "error"])
+
+    return given.mapInArrow(run, schema)
+
+
+def classify_with_model(records: DataFrame, key: str, predict: Predictor = rule_predictor, batch_size: int = 256) -> DataFrame:
+    """Cleaned question records -> (key, three flags, error) through the model."""
     prompts = records.select(key, classify_prompt(F.col("category"), F.col("question"), F.col("answer"))
                              .alias("_prompt"))
-    answered = answer_with_model(prompts, "_prompt", predict, [key])
-    return answered.select(key, *parse_flag_columns(F.col("response"), prefix="llm_"))
+    answered = answer_with_model(prompts, "_prompt", predict, [key], batch_size)
+    return answered.select(key, *parse_flag_columns(F.col("response"), prefix="llm_"), "error")
 
 
-def classify_resume(records: DataFrame, key: str, predictions_path: str,
-                    predict: Predictor = rule_predictor) -> DataFrame:
-    """Classify only rows without a stored prediction (anti-join on the
-    record id), append them to the prediction table, and return the whole
-    table.  Each append is one atomic job commit, so an interrupted run
-    leaves whole batches behind and the next run continues from them."""
-    spark = records.sparkSession
+def stored_predictions(spark, path: str, key_type: T.DataType, key: str) -> DataFrame:
+    """What is stored: (key, three flags, error), none where nothing is."""
+    schema = T.StructType([T.StructField(key, key_type), *(T.StructField(c, T.BooleanType()) for c in FLAGS), T.StructField("error", T.StringType())])
     try:
-        done = spark.read.parquet(predictions_path).select(key)
-        todo = records.join(done, key, "left_anti")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) \
-                and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        todo = records
-    classify_with_model(todo, key, predict).write.mode("append").parquet(predictions_path)
-    return spark.read.parquet(predictions_path).select(key, *FLAGS)
+        return spark.createDataFrame([], schema)
+
+
+def classify_resume(records: DataFrame, key: str, predictions_path: str,
+                    predict: Predictor = rule_predictor, slices: int = 8, batch_size: int = 256) -> DataFrame:
+    """Classifies the rows without a stored answer and returns (key, three
+    flags) of all stored rows.
+
+    Rows are taken in ``slices`` by a hash of their key; each slice is a job
+    of its own and appends its predictions in one commit, so a run that is
+    killed keeps every slice it has finished and the next run goes on from
+    there.  A row whose batch failed is stored with the reason and asked
+    again by the next run."""
+    spark = records.sparkSession
+    kind = records.schema[key].dataType
+    for i in range(slices):
+        done = stored_predictions(spark, predictions_path, kind, key).where("error IS NULL").select(key)
+        part = records.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
+        todo = part.join(done, key, "left_anti")
+        classify_with_model(todo, key, predict, batch_size).write.mode("append").parquet(predictions_path)
+    answered = F.col("error").isNull()
+    return (stored_predictions(spark, predictions_path, kind, key).groupBy(key)
+            .agg(F.max_by(F.struct(*FLAGS), answered).alias("_best")).select(key, "_best.*"))

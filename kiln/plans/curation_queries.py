@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.json_flags import FALLBACK_PATTERN, STRICT_PATTERN
 from ..functions.text import PY_WHITESPACE_CLASS, STRIP_PATTERN
 from ..operators import curation as C
-from ..session import materialize
 from ..tables import table
 from .registry import q, register
 
@@ -28,13 +27,28 @@ def documents_as_records(spark, sf):
 
 
 def flagged(spark, sf):
-    """Flagged documents, persisted once (the run's materialisation point)."""
-    fl = C.flagged_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
-    return materialize(fl, "flagged-documents")
+    """Flagged documents over one written table of text features."""
+    return C.flagged_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 # ---- SQL building blocks ---------------------------------------------------
 
+# number words, written down apart from the operator's list
+NUMBERS_SQL = "(^|[^\\p{L}])(" + "|".join((
+    "zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|(thir|four|fif|six|seven|eigh|nine)teen",
+    "(twen|thir|for|fif|six|seven|eigh|nine)ty|hundreds?|thousands?|(m|b)illions?|trillion",
+    "zéro|deux|trois|quatre|cinq|sept|huit|neuf|dix|onze|douze|treize|quatorze|quinze|seize|vingt|trente|quarante|cinquante|soixante",
+    "(sept|huit|oct|non)ante|cents?|mille|milliards?",
+    "null|eins|zwei|drei|vier|fünf|sechs|sieben|acht|neun|zehn|elf|zwölf|(drei|vier|fünf|sech|sieb|acht|neun)zehn|zwanzig|dreißig",
+    "(vier|fünf|sech|sieb|acht|neun)zig|hundert|tausend|millionen|milliarden?",
+    "cero|dos|tres|cuatro|cinco|seis|siete|ocho|nueve|diez|once|doce|trece|catorce|quince|dieciséis|dieci(siete|ocho|nueve)|veinte",
+    "veinti(uno|dós|trés|cuatro|cinco)|(tre|cuare|cincue|sese|sete|oche|nove)nta|treinta|cien|ciento|mil|millón|millones")) + ")([^\\p{L}]|$)"
+
+
+def has_numbers_sql(x: str) -> str:
+    return f"(regexp_matches({x}, '[0-9]') OR regexp_matches(lower({x}), {q(NUMBERS_SQL)}))"
+
+
 UNUSUAL_SQL = rf"""
  uw AS (SELECT doc_id,
           list_distinct(regexp_extract_all(text, {q(C.WORD)})) AS allw,
@@ -51,7 +65,7 @@ UNUSUAL_SQL = rf"""
 
 RULES_SQL = rf"""
  rules AS (SELECT d.doc_id, d.source, d.lang, d.text,
-             regexp_matches(lower(d.text), {q(C.NUMBER_PATTERN)}) AS f1,
+             {has_numbers_sql('d.text')} AS f1,
              regexp_matches(d.text, {q(C.NON_ENGLISH_PATTERN)}) AS f2,
              u.doc_id IS NOT NULL AS f3
            FROM documents d LEFT JOIN unusual u ON d.doc_id = u.doc_id),
@@ -104,6 +118,12 @@ def stratified_sql(base: str, n: int, stratum: str, order: str, vals: list[str],
              WHERE pick <= {n})"""
 
 
+def has_names_sql(x: str) -> str:
+    """Some sentence has a capitalised word after its first."""
+    words = f"list_transform(string_split_regex({x}, {q(C.SENTENCE_SPLIT)}), lambda s: regexp_extract_all(s, {q(C.WORD)})[2:])"
+    return f"(len(list_filter(flatten({words}), lambda w: regexp_matches(w, {q(C.CAPITALISED)}))) > 0)"
+
+
 # ---- queries -----------------------------------------------------------------
 
 @register("clean_records", sql=f"""
@@ -120,7 +140,7 @@ def render_classify_prompt(spark, sf):
 
 
 @register("rule_has_numbers", sql=f"""
-SELECT doc_id, regexp_matches(lower(text), {q(C.NUMBER_PATTERN)}) AS flag FROM documents""")
+SELECT doc_id, {has_numbers_sql('text')} AS flag FROM documents""")
 def rule_has_numbers(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", C.rule_has_numbers(F.col("text")).alias("flag"))
@@ -241,14 +261,21 @@ CURATED_SQL = FLAGGED_CTE + "," + stratified_sql(CURATED_BASE, N_CURATED, "sourc
                                                  ["doc_id", "dataset"], group="dataset")
 
 
+RECORD = ["doc_id", "text", "lang", "source", "n_chars"]
+CURATED_ROWS_SQL = (CURATED_SQL + "\nSELECT s._g AS dataset, " + ", ".join(f"d.{c}" for c in RECORD) + ", "
+                    + ", ".join(f"f.{c}" for c in C.FLAGS)
+                    + " FROM sampled s JOIN documents d ON d.doc_id = s.doc_id JOIN flagged f ON f.doc_id = s.doc_id")
+
+
 def curated(spark, sf, fl=None):
+    """The samples with their whole records."""
     fl = flagged(spark, sf) if fl is None else fl
-    return C.curated_datasets(fl, N_CURATED, "source", "doc_id", CURATED_VALS)
+    return C.curated_datasets(fl, N_CURATED, "source", "doc_id", CURATED_VALS, table(spark, sf, "documents").select(*RECORD))
 
 
-@register("curated_datasets", sql=CURATED_SQL + "\nSELECT _g AS dataset, doc_id FROM sampled")
+@register("curated_datasets", sql=CURATED_ROWS_SQL)
 def curated_datasets(spark, sf):
-    return curated(spark, sf).select("dataset", "doc_id")
+    return curated(spark, sf).select("dataset", *RECORD, *C.FLAGS)
 
 
 def _stats_sql() -> str:

@@ -20,8 +20,8 @@ from ..session import scratch_path
 from ..sources import files as S
 from ..streaming import streams as ST
 from ..tables import table
-from .curation_queries import (CURATED_SQL, CURATED_VALS, FLAGGED_CTE, N_CURATED, VALID, _stats_sql,
-                               documents_as_records, flagged, strip_sql)
+from .curation_queries import (CURATED_ROWS_SQL, RECORD, _stats_sql, curated, documents_as_records, flagged, has_names_sql,
+                               has_numbers_sql, strip_sql)
 from .registry import q, register
 
 
@@ -33,8 +33,9 @@ def _paths(spark, name):
 # ---- streams ----------------------------------------------------------------------
 
 @register("stream_classify", sql=f"""
-SELECT doc_id, regexp_matches(lower(text), {q(C.NUMBER_PATTERN)}) AS llm_has_numbers,
-       regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english FROM documents""")
+SELECT doc_id, {has_numbers_sql('text')} AS llm_has_numbers,
+       regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english, {has_names_sql('text')} AS llm_has_unusual_proper_nouns
+FROM documents""")
 def stream_classify(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-classify")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
@@ -47,8 +48,9 @@ def stream_classify(spark, sf):
 
 
 @register("stream_prevalence", sql=f"""
-SELECT count(*) AS total, count(*) FILTER (WHERE regexp_matches(lower(text), {q(C.NUMBER_PATTERN)})) AS numbers,
-       count(*) FILTER (WHERE regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)})) AS non_english FROM documents""")
+SELECT count(*) AS total, count(*) FILTER (WHERE {has_numbers_sql('text')}) AS numbers,
+       count(*) FILTER (WHERE regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)})) AS non_english,
+       count(*) FILTER (WHERE {has_names_sql('text')}) AS unusual_proper_nouns FROM documents""")
 def stream_prevalence(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-prevalence")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
@@ -57,7 +59,7 @@ def stream_prevalence(spark, sf):
     ST.stream_prevalence(spark, src, schema, out, ckpt)
     d.where(F.col("lang") != "en").write.mode("append").parquet(src)
     ST.stream_prevalence(spark, src, schema, out, ckpt)
-    return spark.read.parquet(out)
+    return ST.read_prevalence(spark, out)
 
 
 @register("stream_chat_history", sql=f"""
@@ -68,11 +70,11 @@ def stream_chat_history(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-chat")
     c = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     schema = c.schema
-    c.where(F.col("turn") < 2).write.parquet(src)   # opening turns arrive first
+    c.where(F.pmod("turn", F.lit(2)) == 1).write.parquet(src)  # every other turn arrives late
     ST.stream_chat_history(spark, src, schema, out, ckpt, files_per_batch=None)
-    c.where(F.col("turn") >= 2).write.mode("append").parquet(src)
+    c.where(F.pmod("turn", F.lit(2)) == 0).write.mode("append").parquet(src)
     ST.stream_chat_history(spark, src, schema, out, ckpt, files_per_batch=None)
-    return spark.read.parquet(out)
+    return ST.read_chat_history(spark, out)
 
 
 # ---- sources and sinks -----------------------------------------------------------
@@ -81,11 +83,13 @@ def stream_chat_history(spark, sf):
 SELECT {strip_sql('source')} AS category, {strip_sql('text')} AS question, lang AS show_number, '' AS air_date
 FROM documents""")
 def scan_json_questions(spark, sf):
+    """Files that hold one JSON array each, the form of the source."""
     _, src, _, _ = _paths(spark, "questions-json")
     d = table(spark, sf, "documents")
-    d.select(F.col("source").alias("category"), F.col("text").alias("question"),
-             F.col("lang").alias("show_number")).write.json(src)
-    r = C.clean_records(S.read_questions(spark, src))
+    one = F.struct(F.col("source").alias("category"), F.col("text").alias("question"), F.col("lang").alias("show_number"))
+    arrays = d.groupBy(F.pmod("doc_id", F.lit(32)).alias("file")).agg(F.to_json(F.collect_list(one)).alias("value"))
+    arrays.write.partitionBy("file").text(src)
+    r = C.clean_records(S.read_questions(spark, src, multi_line=True))
     return r.select("category", "question", "show_number", "air_date")
 
 
@@ -102,21 +106,22 @@ def scan_csv_claims(spark, sf):
     return P.row_to_text(train, "id", "target").withColumn("id", F.col("id").cast("long"))
 
 
-@register("scan_binary_docs", sql="SELECT page_id, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages")
+@register("scan_binary_docs", sql="SELECT page_id % 16 AS file, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS length FROM pages GROUP BY 1")
 def scan_binary_docs(spark, sf):
+    """A few files of many pages each, read back as bytes."""
     _, src, _, _ = _paths(spark, "pages-bin")
-    p = table(spark, sf, "pages")
-    p.select("page_id", "html").write.partitionBy("page_id").text(src)
+    p = table(spark, sf, "pages").select(F.pmod("page_id", F.lit(16)).alias("file"), "html")
+    p.repartition("file").write.partitionBy("file").text(src)
     b = S.read_binary_docs(spark, src)
-    return b.select(F.col("page_id").cast("long").alias("page_id"), "length")
+    return b.groupBy(F.col("file").cast("long").alias("file")).agg(F.sum("length").alias("length"))
 
 
-@register("sink_curated_json", sql=CURATED_SQL + "\nSELECT _g AS dataset, doc_id FROM sampled")
+@register("sink_curated_json", sql=CURATED_ROWS_SQL)
 def sink_curated_json(spark, sf):
     _, _, out, _ = _paths(spark, "curated-json")
-    cur = C.curated_datasets(flagged(spark, sf), N_CURATED, "source", "doc_id", CURATED_VALS)
-    S.write_json(cur, out, partition_by="dataset")
-    return spark.read.json(out).select("dataset", F.col("doc_id").cast("long").alias("doc_id"))
+    rows = curated(spark, sf).select("dataset", *RECORD, *C.FLAGS)
+    S.write_json(rows, out, partition_by="dataset")
+    return spark.read.schema(rows.schema).json(out).select(*rows.columns)
 
 
 @register("sink_stats", sql="WITH st AS (" + _stats_sql() + """)
@@ -125,7 +130,7 @@ SELECT total, successful, failed, valid_predictions, numbers_classified_count, n
 def sink_stats(spark, sf):
     _, _, out, _ = _paths(spark, "stats-json")
     fl = flagged(spark, sf)
-    flat = C.curation_stats(fl, C.curated_datasets(fl, N_CURATED, "source", "doc_id", CURATED_VALS), None)
+    flat = C.curation_stats(fl, curated(spark, sf, fl), None)
     S.write_json(C.curation_stats_document(flat).coalesce(1), out)
     doc = spark.read.json(out)
     return doc.select(
@@ -144,12 +149,12 @@ def sink_stats(spark, sf):
 MODEL_SQL = f"""
 SELECT doc_id, regexp_matches({strip_sql('text')}, '[0-9]') AS llm_has_numbers,
        regexp_matches({strip_sql('text')}, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english,
-       false AS llm_has_unusual_proper_nouns FROM documents"""
+       {has_names_sql(strip_sql('text'))} AS llm_has_unusual_proper_nouns FROM documents"""
 
 
 @register("classify_with_model", sql=MODEL_SQL)
 def classify_with_model(spark, sf):
-    return M.classify_with_model(documents_as_records(spark, sf), "doc_id")
+    return M.classify_with_model(documents_as_records(spark, sf), "doc_id").drop("error")
 
 
 @register("classify_resume", sql=MODEL_SQL)

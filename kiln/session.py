@@ -47,50 +47,58 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_own: dict[str, str] = {}  # application -> folder, where none is named
+_written: dict[str, list[str]] = {}  # application -> scratch folders
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator of the cluster and points at
-    shared storage.  Only when it is unset (local tests) do we pick a
-    private folder under the system temp dir.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    On a cluster that setting must name storage that all executors share.
+    Only a local session without it gets a temporary folder of its own."""
+    app = spark.sparkContext.applicationId
+    d = spark.conf.get("spark.checkpoint.dir", None) or _own.get(app)
     if not d:
-        d = tempfile.mkdtemp(prefix="kiln-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.conf.get("spark.checkpoint.dir", None) or d
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
+        d = _own[app] = tempfile.mkdtemp(prefix="kiln-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes every scratch folder this session has written, once their
+    frames are no longer read; the number of folders."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read
     it back: cuts the lineage (a lost executor recomputes from the files,
     not from the model step) and lets later plans prune columns."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df, key: str):
     """Hash-partition ``df`` by ``key`` when it has fewer partitions than
     the cluster can run at once (a single large file read as one task).
     Used before CPU-heavy per-row text work; with many input files it is a
-    no-op and adds no shuffle.  Hashing by the row id keeps the layout
-    deterministic across task retries."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the layout alone
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, key)
+    no-op and adds no shuffle.  The rows are the same either way.  Hashing by
+    the row id keeps the layout deterministic across task retries."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want, key)

@@ -65,8 +65,9 @@ def read_labelled_images(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """JSON-lines sink (one part file per task; non-ASCII kept as is)."""
-    w = df.write.mode(mode)
+    """JSON-lines sink (one part file per task; non-ASCII and null fields
+    kept as they are)."""
+    w = df.write.mode(mode).option("ignoreNullFields", False)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.json(path)

@@ -8,8 +8,6 @@ files it has not seen.
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +31,8 @@ def stream_classify(spark: SparkSession, src: str, schema: T.StructType, out: st
     (exactly once through the checkpoint)."""
     s = _source(spark, src, schema, files_per_batch)
     flags = s.select(id_col, C.rule_has_numbers(F.col(text_col)).alias(C.FLAGS[0]),
-                     C.rule_has_non_english(F.col(text_col)).alias(C.FLAGS[1]))
+                     C.rule_has_non_english(F.col(text_col)).alias(C.FLAGS[1]),
+                     C.rule_has_names(F.col(text_col)).alias(C.FLAGS[2]))
     q = (flags.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -41,50 +40,59 @@ def stream_classify(spark: SparkSession, src: str, schema: T.StructType, out: st
 
 def stream_prevalence(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str,
                       text_col: str = "text", files_per_batch: int | None = 1) -> None:
-    """Running totals (rows, rows with numbers, rows with non-English
-    letters) kept as streaming aggregation state; every micro-batch
-    rewrites the current figures to ``out``."""
+    """Running totals (rows, rows with numbers, with non-English letters, with
+    names) kept as streaming aggregation state; every micro-batch writes the
+    current figures to a folder of its own, ``epoch=N``, so that a reader
+    (``read_prevalence``) never sees a half-written one."""
     s = _source(spark, src, schema, files_per_batch)
     agg = s.agg(F.count("*").alias("total"),
                 F.count_if(C.rule_has_numbers(F.col(text_col))).alias("numbers"),
-                F.count_if(C.rule_has_non_english(F.col(text_col))).alias("non_english"))
+                F.count_if(C.rule_has_non_english(F.col(text_col))).alias("non_english"),
+                F.count_if(C.rule_has_names(F.col(text_col))).alias("unusual_proper_nouns"))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-HISTORY_OUT = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
-                            T.StructField("text", T.StringType())])
-HISTORY_STATE = T.StructType([T.StructField("msgs", T.StringType())])
+def read_prevalence(spark: SparkSession, out: str) -> DataFrame:
+    """The figures of the last finished micro-batch."""
+    return spark.read.parquet(out).orderBy(F.desc("epoch")).limit(1).drop("epoch")
+
+
+_MESSAGES = "msgs array<struct<turn:bigint,role:string,content:string>>"
 
 
 def _history(key, pdfs, state):
-    """Per conversation: keep the messages seen so far in state and emit
-    the wrapped history for each new turn."""
-    msgs = json.loads(state.get[0]) if state.exists else []
-    rows = []
-    new = pd.concat(list(pdfs), ignore_index=True).sort_values("turn")
-    for r in new.itertuples(index=False):
-        msgs.append([int(r.turn), r.role, r.text])
-        msgs.sort(key=lambda m: m[0])
-        upto = [m for m in msgs if m[0] <= int(r.turn)]
-        text = "".join(f"{R.IM_START}{m[1]}\n{m[2]}{R.IM_END}\n" for m in upto)
-        rows.append((int(key[0]), int(r.turn), text))
-    state.update((json.dumps(msgs),))
-    yield pd.DataFrame(rows, columns=["conv_id", "turn", "text"])
+    """Per conversation: the messages so far are the state; each new turn,
+    and each earlier one that comes after a late turn, gets its history."""
+    msgs = [tuple(m) for m in state.get[0]] if state.exists else []
+    new = [(int(r.turn), r.role, r.text) for pdf in pdfs for r in pdf.itertuples(index=False)]
+    msgs = sorted(msgs + new, key=lambda m: m[0])
+    first = min((m[0] for m in new), default=0)
+    wrapped = [f"{R.IM_START}{role}\n{text}{R.IM_END}\n" for _, role, text in msgs]
+    rows = [(int(key[0]), m[0], i + 1, "".join(wrapped[:i + 1])) for i, m in enumerate(msgs) if m[0] >= first]
+    state.update(([{"turn": t, "role": r, "content": c} for t, r, c in msgs],))
+    yield pd.DataFrame(rows, columns=["conv_id", "turn", "n_messages", "text"])
 
 
 def stream_chat_history(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str,
                         files_per_batch: int | None = 1) -> None:
     """Growing chat history per conversation with keyed state
-    (``applyInPandasWithState``); state holds one conversation's messages."""
+    (``applyInPandasWithState``); state holds one conversation's messages.  A
+    late turn writes the later turns anew; ``read_chat_history`` takes the
+    row of each turn that knows the most messages."""
     s = _source(spark, src, schema, files_per_batch)
     hist = s.groupBy("conv_id").applyInPandasWithState(
-        _history, HISTORY_OUT, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
+        _history, "conv_id long, turn long, n_messages int, text string", _MESSAGES, "append", GroupStateTimeout.NoTimeout)
     q = (hist.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def read_chat_history(spark: SparkSession, out: str) -> DataFrame:
+    """(conv_id, turn, text), the same as the batch ``chat_history`` gives."""
+    return spark.read.parquet(out).groupBy("conv_id", "turn").agg(F.max_by("text", "n_messages").alias("text"))

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from kiln.session import DEFAULT_CONF, ensure_checkpoint_dir
+    from kiln.session import DEFAULT_CONF, clear_scratch, ensure_checkpoint_dir
 
     b = SparkSession.builder.master("local[4]").appName("kiln-tests") \
         .config("spark.sql.shuffle.partitions", "8")
@@ -19,10 +18,9 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kiln-test-ckpt-"))
     ensure_checkpoint_dir(s)
     yield s
+    clear_scratch(s)
     s.stop()
 
 
