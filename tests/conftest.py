@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,8 @@ def spark():
     from kiln.session import DEFAULT_CONF, clear_scratch, ensure_checkpoint_dir
 
     b = SparkSession.builder.master("local[4]").appName("kiln-tests") \
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "8") \
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="kiln-test-ckpt-"))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
