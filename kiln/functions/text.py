@@ -29,11 +29,6 @@ def to_str_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def hex8_int(c: Column) -> Column:
-    """First 32 bits of an md5 hex digest as a non-negative bigint."""
-    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("bigint")
-
-
 def seeded_key(seed: int, *cols: Column) -> Column:
     """Portable random order key: md5('<seed>-' || id [|| '-' || id2 ...]).
 
@@ -48,11 +43,6 @@ def seeded_key(seed: int, *cols: Column) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def seeded_unit(seed: int, *cols: Column) -> Column:
-    """Uniform number in [0, 1) derived from :func:`seeded_key`."""
-    return F.conv(F.substring(seeded_key(seed, *cols), 1, 13), 16, 10).cast("double") / F.lit(2.0 ** 52)
-
-
 def fmt2(c: Column) -> Column:
     """Python ``f"{x:.2f}"`` for |x| < 1000 (no grouping separators)."""
     return F.format_number(c, 2)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.json_flags import FALLBACK_PATTERN, STRICT_PATTERN
-from ..functions.text import PY_WHITESPACE_CLASS, STRIP_PATTERN
+from ..functions.text import STRIP_PATTERN
 from ..operators import curation as C
 from ..tables import table
 from .registry import q, register
