@@ -87,15 +87,26 @@ class _Words:
         return mix(total[self.before[k - 1:] >= k - 1])
 
 
+def _zipped(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unzipped(data: bytes | pa.Buffer) -> pa.Buffer:
+    view = memoryview(data)
+    return pa.decompress(pa.py_buffer(view[8:]), int.from_bytes(view[:8], "little"), "zstd")
+
+
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte plane by byte plane."""
+    """Sorted keys as differences, byte plane by byte plane: the high planes
+    are few different bytes."""
     steps = np.diff(keys, prepend=np.uint64(0))
     width = max(1, (int(steps[1:].max() if len(steps) > 1 else 0).bit_length() + 7) // 8)
     planes = steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return keys[:1].astype("<u8").tobytes() + bytes([width]) + np.ascontiguousarray(planes.T).tobytes()
+    return _zipped(keys[:1].astype("<u8").tobytes() + bytes([width]) + np.ascontiguousarray(planes.T).tobytes())
 
 
-def _unpacked(data: bytes) -> np.ndarray:
+def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
+    data = memoryview(_unzipped(data))
     width = data[8]
     planes = np.frombuffer(data, np.uint8, offset=9).reshape(width, -1)
     steps = np.zeros((planes.shape[1] + 1, 8), np.uint8)
@@ -106,11 +117,11 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _counts(n: np.ndarray) -> bytes:
-    return np.ascontiguousarray(n.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return _zipped(np.ascontiguousarray(n.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
 def _uncounted(data: bytes | pa.Buffer) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_unzipped(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
@@ -160,8 +171,8 @@ def _tables(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
 
 def _totals(table: pa.Table) -> pa.Table:
     """A bucket's rows with ``others``: the counts in all other blocks."""
-    keys = [_unpacked(x.as_py()) for x in table.column("grams")]
-    counts = [_uncounted(x.as_py()) for x in table.column("counts")]
+    keys = [_unpacked(x.as_buffer()) for x in table.column("grams")]
+    counts = [_uncounted(x.as_buffer()) for x in table.column("counts")]
     merged, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(at, np.concatenate(counts), len(merged)).astype(np.int64)
     others = np.minimum(total[at] - np.concatenate(counts), 2 ** 32 - 1)
