@@ -29,9 +29,9 @@ import math
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from kiln.llm.memo import slices
+from kiln.llm.bpe import byte_alphabet
+from kiln.llm.memo import Memo, slices
 from kiln.session import materialize
 
 #: The published pre-token pattern of the word vocabulary (fixed value).
@@ -71,69 +72,48 @@ class Capacity:
 
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit integers.  Texts are
-    normalised and cut into pre-tokens here; the tokenizers library encodes
-    each distinct pre-token that is not remembered, many at a time, and whole
-    texts with characters unknown to this Python's Unicode tables."""
+    normalised and cut into pre-tokens here; the tokenizers library's model
+    merges each distinct pre-token once in a while, and the library encodes
+    whole texts with characters unknown to this Python's Unicode tables."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        file = json.loads(vocabulary)
-        self._specials = {t["content"]: np.uint32(t["id"]).tobytes() for t in file["added_tokens"]}
+        self._whole = Tokenizer.from_str(vocabulary)
+        self._specials = {t["content"]: np.uint32(t["id"]).tobytes() for t in json.loads(vocabulary)["added_tokens"]}
         self._split = regex.compile("(" + "|".join(map(regex.escape, self._specials)) + ")")
         self._words, self._unsure = regex.compile(PATTERN), re.compile(unassigned())
-        self._whole = Tokenizer.from_str(vocabulary)
-        self._lines = Tokenizer.from_str(json.dumps(file | {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
-            {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False},
-            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}))
-        self._known: dict[str, bytes] = {}
-        self._limit = 500_000
-
-    def _learn(self, words: set[str]) -> None:
-        """Encodes new pre-tokens, one a line."""
-        new = list(words - self._known.keys())
-        if len(self._known) + len(new) > self._limit:
-            self._known.clear()
-            new = list(words)
-        for lo in range(0, len(new), 10_000):
-            some = new[lo:lo + 10_000]
-            found = self._lines.encode("\n".join(some), add_special_tokens=False)
-            ids, ends = np.array(found.ids, "<u4"), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(1, len(some) + 1))
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(some, (4 * ends).tolist()):
-                self._known[word] = data[begin:end]
-                begin = end
-
-    def _pre_tokens(self, part: str) -> Iterator[list[str]]:
-        for piece in slices(part.lower()):
-            if piece.isascii():
-                yield _LATIN_PATTERN.findall(piece)
-                continue
-            try:
-                piece.encode("latin-1")
-                yield _LATIN_PATTERN.findall(piece)
-            except UnicodeEncodeError:
-                yield self._words.findall(piece)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[list[str] | bytes]] = []
-        for text in texts:
-            if not text.isascii() and _FAR.search(text) and self._unsure.search(text):
-                cut.append([np.array(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()])
+        alphabet, model = byte_alphabet(), self._whole.model
+
+        def merged(word: str) -> bytes:
+            symbols = word if word.isascii() and word.isalnum() else "".join(alphabet[b] for b in word.encode())
+            return array("I", [t.id for t in model.tokenize(symbols)]).tobytes()
+
+        self._memo = Memo(merged, limit=300_000)
+
+    def _pre_tokens(self, part: str) -> list[str]:
+        if part.isascii():
+            return _LATIN_PATTERN.findall(part)
+        try:
+            part.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._words.findall(part)
+        return _LATIN_PATTERN.findall(part)
+
+    def encode(self, text: str) -> bytes:
+        if not text.isascii() and _FAR.search(text) and self._unsure.search(text):
+            return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
+        found = []
+        for part in self._split.split(text):
+            if part in self._specials:
+                found.append(self._specials[part])
                 continue
-            row: list[list[str] | bytes] = []
-            for part in self._split.split(text):
-                if part in self._specials:
-                    row.append(self._specials[part])
-                    continue
-                if not part.isascii():
-                    # lower-casing is by character: no final sigma
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                row += self._pre_tokens(part)
-            cut.append(row)
-        self._learn(set(chain.from_iterable(p for row in cut for p in row if isinstance(p, list))))
-        known = self._known.__getitem__
-        return [b"".join(p if isinstance(p, bytes) else b"".join(map(known, p)) for p in row) for row in cut]
+            if not part.isascii():
+                # lower-casing is by character: no final sigma
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            for piece in slices(part.lower()):
+                found += map(self._memo.__getitem__, self._pre_tokens(piece))
+        return b"".join(found)
 
 
 def unassigned() -> str:
@@ -168,8 +148,8 @@ def pieces(docs: DataFrame, path: str, piece_tokens: int, end_id: int) -> DataFr
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
                 out = []
-                for at, ids in enumerate(encoder.encode([t or "" for t in rows.column("text").to_pylist()])):
-                    ids += end
+                for at, text in enumerate(rows.column("text").to_pylist()):
+                    ids = encoder.encode(text or "") + end
                     for k, begin in enumerate(range(0, len(ids), 4 * piece_tokens)):
                         own = ids[begin:begin + 4 * piece_tokens]
                         length = len(own) // 4
