@@ -222,6 +222,12 @@ def rule_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn(FLAGS[2], F.col("_u").isNotNull()).drop("_u"))
 
 
+def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """Stored predictions joined to rows by record id; a row without one has
+    null flags."""
+    return rows.drop(*FLAGS).join(predictions.select(key, *FLAGS), key, "left")
+
+
 def flagged_documents(docs: DataFrame, labels: DataFrame, max_df: int = 2,
                       keep: Sequence[str] = ("source", "lang")) -> DataFrame:
     """Documents with rule flags standing in for model answers; a document

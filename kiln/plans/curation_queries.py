@@ -162,17 +162,6 @@ def rule_unusual_names(spark, sf):
             .select("doc_id", F.col("_u").isNotNull().alias("flag")))
 
 
-@register("attach_predictions", sql=FLAGGED_CTE + """
-SELECT doc_id, llm_has_numbers, llm_has_non_english, llm_has_unusual_proper_nouns FROM flagged""")
-def attach_predictions(spark, sf):
-    return flagged(spark, sf).select("doc_id", *C.FLAGS)
-
-
-@register("filter_valid", sql=FLAGGED_CTE + f"\nSELECT doc_id FROM flagged WHERE {VALID}")
-def filter_valid(spark, sf):
-    return C.filter_valid(flagged(spark, sf)).select("doc_id")
-
-
 @register("filter_flags", sql=FLAGGED_CTE + """
 SELECT doc_id FROM flagged WHERE llm_has_numbers = true AND llm_has_non_english = false""")
 def filter_flags(spark, sf):
@@ -397,3 +386,27 @@ def parse_failures_sample(spark, sf):
     p = responses(spark, sf).select("id", "text", *parse_flag_columns(F.col("text")))
     failed = p.where(F.coalesce("has_numbers", "has_non_english", "has_unusual_proper_nouns").isNull())
     return failed.orderBy("id").limit(3).select("id", F.substring("text", 1, 200).alias("preview"))
+
+
+# ---- predictions joined to their rows ----------------------------------------
+
+ATTACHED_SQL = PARSE_SQL + """,
+ att AS (SELECT d.doc_id, f.has_numbers AS llm_has_numbers, f.has_non_english AS llm_has_non_english,
+           f.has_unusual_proper_nouns AS llm_has_unusual_proper_nouns FROM documents d LEFT JOIN flags f ON d.doc_id = f.id)"""
+
+
+def attached(spark, sf):
+    """Documents with the flags parsed from their model answers."""
+    from ..functions.json_flags import parse_flag_columns
+    parsed = responses(spark, sf).select(F.col("id").alias("doc_id"), *parse_flag_columns(F.col("text"), prefix="llm_"))
+    return C.attach_predictions(table(spark, sf, "documents").select("doc_id"), parsed, "doc_id")
+
+
+@register("attach_predictions", sql=ATTACHED_SQL + "\nSELECT * FROM att")
+def attach_predictions(spark, sf):
+    return attached(spark, sf)
+
+
+@register("filter_valid", sql=ATTACHED_SQL + f"\nSELECT doc_id FROM att WHERE {VALID}")
+def filter_valid(spark, sf):
+    return C.filter_valid(attached(spark, sf)).select("doc_id")

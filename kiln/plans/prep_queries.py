@@ -40,6 +40,16 @@ def row_to_text(spark, sf):
     return P.row_to_text(c, id_col="c_custkey", target_col="target")
 
 
+@register("row_to_text_labelled", sql=f"""
+SELECT c_custkey AS id, {q(P.CLAIM_PROMPT + ' ' + P.ATTRIBUTES_LEAD)} || 'c_nationkey: ' || CAST(c_nationkey AS VARCHAR) || ', c_mktsegment: '
+       || coalesce(c_mktsegment, 'NaN') || '.' AS text, CAST(c_acctbal < 0 AS INTEGER) AS label
+FROM customer""")
+def row_to_text_labelled(spark, sf):
+    """Rows with a target; a text column keeps whole numbers whole."""
+    c = table(spark, sf, "customer")
+    return P.row_to_text(c.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") < 0).cast("int").alias("target"), "c_nationkey", "c_mktsegment"))
+
+
 @register("map_label_names", sql="""
 SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS label,
        CASE CAST(l_returnflag = 'R' AS INTEGER) WHEN 0 THEN 'NO_CLAIM' WHEN 1 THEN 'CLAIM_FILED' END AS name,

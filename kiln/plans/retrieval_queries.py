@@ -53,12 +53,20 @@ def extract_page_text(spark, sf):
     return R.extract_page_text(table(spark, sf, "pages"))
 
 
+# the given pages hold no pictures: each gets three, one for each way to quote
+PICTURES_SQL = """(SELECT page_id, html || '<img src="' || url || '/a.png"><IMG alt=x data-src="no.png" src = ''b ' || page_id || '.jpg'' /><img src='
+  || page_id || '.gif width=1>' AS html FROM pages)"""
+
+
 @register("extract_page_images", sql=f"""
 SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS index,
        unnest(list_transform(l, lambda v: CASE WHEN v[1] IN ('"', '''') THEN v[2:len(v) - 1] ELSE v END)) AS src
-FROM (SELECT page_id, regexp_extract_all(html, {q(R.IMG_SRC)}, 1) AS l FROM pages)""")
+FROM (SELECT page_id, regexp_extract_all(html, {q(R.IMG_SRC)}, 1) AS l FROM {PICTURES_SQL})""")
 def extract_page_images(spark, sf):
-    return R.extract_page_images(table(spark, sf, "pages"))
+    p = table(spark, sf, "pages")
+    pictures = F.concat("html", F.lit('<img src="'), "url", F.lit('/a.png"><IMG alt=x data-src="no.png" src = \'b '), F.col("page_id").cast("string"),
+                        F.lit(".jpg' /><img src="), F.col("page_id").cast("string"), F.lit(".gif width=1>"))
+    return R.extract_page_images(p.select("page_id", pictures.alias("html")))
 
 
 # ---- hashed embeddings -------------------------------------------------------

@@ -48,17 +48,20 @@ def stream_classify(spark, sf):
 
 
 @register("stream_prevalence", sql=f"""
-SELECT count(*) AS total, count(*) FILTER (WHERE {has_numbers_sql('text')}) AS numbers,
-       count(*) FILTER (WHERE regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)})) AS non_english,
-       count(*) FILTER (WHERE {has_names_sql('text')}) AS unusual_proper_nouns FROM documents""")
+WITH v AS (SELECT d.text, l.doc_id IS NOT NULL AS ok FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id)
+SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS successful,
+       count(*) FILTER (WHERE ok AND {has_numbers_sql('text')}) AS numbers,
+       count(*) FILTER (WHERE ok AND regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)})) AS non_english,
+       count(*) FILTER (WHERE ok AND {has_names_sql('text')}) AS unusual_proper_nouns FROM v""")
 def stream_prevalence(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-prevalence")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    labels = table(spark, sf, "labels")
     schema = d.schema
     d.where(F.col("lang") == "en").write.parquet(src)
-    ST.stream_prevalence(spark, src, schema, out, ckpt)
+    ST.stream_prevalence(spark, src, schema, out, ckpt, labels)
     d.where(F.col("lang") != "en").write.mode("append").parquet(src)
-    ST.stream_prevalence(spark, src, schema, out, ckpt)
+    ST.stream_prevalence(spark, src, schema, out, ckpt, labels)
     return ST.read_prevalence(spark, out)
 
 

@@ -39,16 +39,20 @@ def stream_classify(spark: SparkSession, src: str, schema: T.StructType, out: st
 
 
 def stream_prevalence(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str,
-                      text_col: str = "text", files_per_batch: int | None = 1) -> None:
-    """Running totals (rows, rows with numbers, with non-English letters, with
-    names) kept as streaming aggregation state; every micro-batch writes the
-    current figures to a folder of its own, ``epoch=N``, so that a reader
-    (``read_prevalence``) never sees a half-written one."""
+                      answered: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_batch: int | None = 1) -> None:
+    """Running quality and prevalence kept as streaming aggregation state:
+    rows, rows with an answer (their id is in ``answered``, joined as it is
+    at each micro-batch), and of these the rows with numbers, non-English
+    letters and names.  Every micro-batch writes the current figures to a
+    folder of its own, ``epoch=N``, so that a reader (``read_prevalence``)
+    never sees a half-written one."""
     s = _source(spark, src, schema, files_per_batch)
-    agg = s.agg(F.count("*").alias("total"),
-                F.count_if(C.rule_has_numbers(F.col(text_col))).alias("numbers"),
-                F.count_if(C.rule_has_non_english(F.col(text_col))).alias("non_english"),
-                F.count_if(C.rule_has_names(F.col(text_col))).alias("unusual_proper_nouns"))
+    valid = F.col("_answered").isNotNull()
+    agg = (s.join(answered.select(id_col).distinct().withColumn("_answered", F.lit(True)), id_col, "left")
+           .agg(F.count("*").alias("total"), F.count_if(valid).alias("successful"),
+                F.count_if(valid & C.rule_has_numbers(F.col(text_col))).alias("numbers"),
+                F.count_if(valid & C.rule_has_non_english(F.col(text_col))).alias("non_english"),
+                F.count_if(valid & C.rule_has_names(F.col(text_col))).alias("unusual_proper_nouns")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
