@@ -1,8 +1,8 @@
 """Language identification by known words first, then character n-grams.
 
 Learning counts words by language over labelled documents (a bounded,
-hash-chosen sample: ``max_documents``), keeps the ``max_words`` most frequent
-words and the ``max_grams`` most frequent character n-grams of those
+hash-chosen sample: ``max_documents``), keeps at most the ``max_words`` most
+frequent words and the ``max_grams`` most frequent character n-grams of those
 documents' words (with a mark at either end of a word), and turns counts into
 smoothed log-frequencies by language.  These three bounds are features of the
 classifier; they keep the broadcast model at a fixed size.
@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from kiln.llm.memo import LONGEST_KEY, slices
+from kiln.session import materialize
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -137,15 +138,27 @@ def word_counts(labelled: DataFrame) -> DataFrame:
 
 
 def _frequencies(counts: DataFrame, key: str, languages: list[str], most: int) -> tuple[dict[str, int], np.ndarray]:
-    """The ``most`` most frequent keys and their smoothed log-frequencies."""
-    by_key = (counts.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("each"))
-              .orderBy(F.desc("total"), key).limit(most).collect())  # at most ``most`` rows, a list entry a language
-    at = {lang: i for i, lang in enumerate(languages)}
-    table = np.zeros((len(by_key), len(languages)))
-    for i, row in enumerate(by_key):
-        for lang, n in row["each"]:
-            table[i, at[lang]] = n
-    return {row[key]: i for i, row in enumerate(by_key)}, np.log((table + 0.5) / (table.sum(0) + 0.5 * max(len(by_key), 1)))
+    """The most frequent keys, ``most`` at most, and their smoothed
+    log-frequencies.  A histogram of the counts' magnitudes (a few hundred
+    rows) tells from which count on keys fit; only those reach the driver."""
+    if not languages:
+        return {}, np.zeros((0, 0))
+    column = (F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1).cast("string")
+    names = [str(i) for i in range(len(languages))]
+    by_key = counts.select(F.col(key).alias("key"), "n", column.alias("column")).groupBy("key").pivot("column", names).agg(F.sum("n")).fillna(0)
+    total = sum((F.col(c) for c in names), F.lit(0))
+    by_key = materialize(by_key.withColumn("_level", F.floor(8 * F.log2(total.cast("double")))), "frequencies")
+    left, least = most, None
+    for row in sorted(by_key.groupBy("_level").count().collect(), reverse=True):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["_level"]
+    if least is None:
+        return {}, np.zeros((0, len(languages)))
+    found = by_key.filter(F.col("_level") >= least).drop("_level").orderBy("key").toArrow()
+    table = np.stack([found.column(c).to_numpy() for c in names], 1).astype(np.float64)
+    return {k: i for i, k in enumerate(found.column("key").to_pylist())}, np.log((table + 0.5) / (table.sum(0) + 0.5 * len(table)))
 
 
 def learn(labelled: DataFrame, max_documents: int = 50_000, max_words: int = 50_000, max_grams: int = 50_000) -> Model:
@@ -155,19 +168,16 @@ def learn(labelled: DataFrame, max_documents: int = 50_000, max_words: int = 50_
     n = labelled.count()
     if n > max_documents:
         labelled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_documents / n))
-    counts = word_counts(labelled).persist()
-    try:
-        languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-        words, word_rows = _frequencies(counts, "word", languages, max_words)
-        marked = F.concat(F.lit("^"), "word", F.lit("$"))
-        length = F.length(marked)
-        grams = [F.transform(F.sequence(F.lit(1), length - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n))) for n in range(1, LONGEST + 1)]
-        grams = [F.when(length >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(grams, 1)]
-        gram_counts = (counts.select("lang", "n", F.explode(F.flatten(F.array(*grams))).alias("gram"))
-                       .filter(~F.col("gram").isin("^", "$")).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-        return Model(languages, words, word_rows, *_frequencies(gram_counts, "gram", languages, max_grams))
-    finally:
-        counts.unpersist()
+    counts = materialize(word_counts(labelled), "word-counts")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    words, word_rows = _frequencies(counts, "word", languages, max_words)
+    marked = F.concat(F.lit("^"), "word", F.lit("$"))
+    length = F.length(marked)
+    grams = [F.transform(F.sequence(F.lit(1), length - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n))) for n in range(1, LONGEST + 1)]
+    grams = [F.when(length >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(grams, 1)]
+    gram_counts = (counts.select("lang", "n", F.explode(F.flatten(F.array(*grams))).alias("gram"))
+                   .filter(~F.col("gram").isin("^", "$")).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    return Model(languages, words, word_rows, *_frequencies(gram_counts, "gram", languages, max_grams))
 
 
 def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
