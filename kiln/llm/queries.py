@@ -88,7 +88,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.suffix_dedup import repeat_digests
-    return repeat_digests(table(spark, sf_dir, "documents"), length=200).drop("row")
+    return repeat_digests(table(spark, sf_dir, "documents"), length=200)
 
 
 @query("op1_lm_scoring", r"""

@@ -42,7 +42,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from kiln.llm.shingles import _BASE, _BYTE, byte_chunks, mix
 from kiln.session import materialize
@@ -243,7 +244,8 @@ def _verdicts(texts: DataFrame, segments: DataFrame, length: int, many: int) ->
                 out += [(*(w[c] for c in names), data.slice(w["start"], w["windows"] + length - 1).to_pybytes()) for w in wanted_here]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), [*kinds, pa.binary()])], [*names, "bytes"])
 
-    bytes_ = texts.join(wanted, "row").select("text", "wanted").mapInArrow(
+    # ``doc`` comes along unread, so that this exchange is the one that is used again
+    bytes_ = texts.join(wanted, "row").select("text", "wanted", "doc").mapInArrow(
         read, "windows int, before int, gram long, content long, copies long, strings long, bytes binary")
     whole = strings.filter("copies > 1").select("gram", "content", F.array(F.struct(F.lit(0).alias("first"), F.col("at.windows").alias("number"))).alias("marks"))
     return (whole.unionByName(_sorted_columns(bytes_.filter(f"strings <= {many}"), length))
@@ -263,33 +265,39 @@ def merged(spans: list, length: int) -> list[tuple[int, int]]:
     return [(b, e) for b, e in out]
 
 
-def _with_spans(docs: DataFrame, length: int, many: int) -> DataFrame:
-    """``row, text`` (bytes) and ``spans``, null if nothing is repeated."""
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    cut = _segments(texts, length)
-    repeated = cut.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    segments = materialize(cut.join(repeated, "gram"), "repeated-segments")
+def _with_spans(docs: DataFrame, length: int, many: int, carry: dict[str, Column]) -> DataFrame:
+    """``text`` (bytes), ``doc`` (a struct of ``carry``) and ``spans``, null if
+    nothing is repeated."""
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
+                        F.struct(*[c.alias(name) for name, c in carry.items()]).alias("doc"))
+    cut = _segments(texts.select("row", "text"), length)
+    # written, so that the join below has two plain exchanges and Spark can
+    # split the partition of a gram that a third of all segments have
+    repeated = materialize(cut.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "repeated-grams")
+    segments = materialize(cut.hint("merge").join(repeated, "gram"), "repeated-segments")
     # one exchange of the texts by row serves both joins
     by_row = texts.repartition("row")
     spans = segments.join(_verdicts(by_row, segments, length, many), ["gram", "content"]).select("row", "start", F.explode("marks").alias("mark"))
     spans = spans.groupBy("row").agg(F.collect_list(F.struct((F.col("start") + F.col("mark.first")).alias("first"), F.col("mark.number").alias("number"))).alias("spans"))
-    return by_row.join(spans, "row", "left")
+    return by_row.join(spans, "row", "left").select("text", "doc", "spans")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, many: int = MANY) -> DataFrame:
-    """``doc_id, row, n_bytes, spans, kept`` of every row: the maximal runs of
+    """``doc_id, n_bytes, spans, kept`` of every row: the maximal runs of
     removed bytes as ``struct<begin,end>`` and the remaining bytes."""
-    return _finished(docs, length, many, digest=False)
+    return _finished(docs, length, many, {"doc_id": F.col("doc_id")}, digest=False).select("doc.doc_id", "n_bytes", "spans", "kept")
 
 
 def repeat_digests(docs: DataFrame, length: int = 200, many: int = MANY) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row."""
-    return _finished(docs, length, many, digest=True)
+    found = _finished(docs, length, many, {"doc_id": F.col("doc_id")}, digest=True)
+    return found.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def _finished(docs: DataFrame, length: int, many: int, digest: bool) -> DataFrame:
+def _finished(docs: DataFrame, length: int, many: int, carry: dict[str, Column], digest: bool) -> DataFrame:
+    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             sizes, runs, kept = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
@@ -298,35 +306,40 @@ def _finished(docs: DataFrame, length: int, many: int, digest: bool) -> DataFram
                 sizes.append(len(text))
                 runs.append(cut)
                 kept.append(hashlib.sha256(left).hexdigest() if digest else left)
-            row, n_bytes = batch.column("row"), pa.array(sizes, pa.int64())
+            doc, n_bytes = batch.column("doc"), pa.array(sizes, pa.int64())
             if digest:
                 yield pa.RecordBatch.from_arrays(
-                    [row, n_bytes, pa.array([sum(e - b for b, e in r) for r in runs], pa.int64()), pa.array([len(r) for r in runs], pa.int64()), pa.array(kept, pa.string())],
-                    ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                    [doc, n_bytes, pa.array([sum(e - b for b, e in r) for r in runs], pa.int64()), pa.array([len(r) for r in runs], pa.int64()), pa.array(kept, pa.string())],
+                    ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
             else:
-                yield pa.RecordBatch.from_arrays([row, n_bytes, pa.array([[{"begin": b, "end": e} for b, e in r] for r in runs], span), pa.array(kept, pa.binary())],
-                                                 ["row", "n_bytes", "spans", "kept"])
+                yield pa.RecordBatch.from_arrays([doc, n_bytes, pa.array([[{"begin": b, "end": e} for b, e in r] for r in runs], span), pa.array(kept, pa.binary())],
+                                                 ["doc", "n_bytes", "spans", "kept"])
 
-    kinds = "n_removed long, n_spans long, kept_sha256 string" if digest else "spans array<struct<begin:long,end:long>>, kept binary"
-    found = _with_spans(docs, length, many).select("row", "text", "spans").mapInArrow(finish, f"row long, n_bytes long, {kinds}")
-    ids = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id")
-    return ids.join(found, "row")
+    given = _with_spans(docs, length, many, carry)
+    kinds = "n_bytes long, " + ("n_removed long, n_spans long, kept_sha256 string" if digest else "spans array<struct<begin:long,end:long>>, kept binary")
+    return given.mapInArrow(finish, StructType([given.schema["doc"], *StructType.fromDDL(kinds).fields]))
 
 
 def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``; of a character
     that loses only some of its bytes the others go too.  ``n_chars``, where
     there is one, follows the text.  A null text stays null."""
-    found = repeated_spans(docs, length).filter(F.size("spans") > 0).select(F.col("row").alias("cut_row"), "kept")
+    others = {f"c{i}": docs[c] for i, c in enumerate(docs.columns) if c != "text"}
+    found = _finished(docs, length, MANY, {"none": docs["text"].isNull(), **others}, digest=False)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = [k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("cut_row"), pa.array(left, pa.string())], ["cut_row", "left"])
-
-    left = found.mapInArrow(read, "cut_row long, left string")
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    out = whole.join(left, whole["row"] == F.col("cut_row"), "left")
-    text = F.coalesce("left", "doc.text")
-    new = {"text": text, "n_chars": F.when(F.col("left").isNull(), F.col("doc.n_chars")).otherwise(F.char_length("left")) if "n_chars" in docs.columns else None}
-    return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if new.get(c) is not None else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array([len(s) for s in batch.column("spans").to_pylist()], pa.int32()), pa.array(left, pa.string())],
+                                             ["doc", "n_spans", "left"])
+
+    left = found.select("doc", "spans", "kept").mapInArrow(read, StructType([found.schema["doc"], *StructType.fromDDL("n_spans int, left string").fields]))
+    out = []
+    for i, c in enumerate(docs.columns):
+        value = F.col(f"doc.c{i}")
+        if c == "text":
+            value = F.when(~F.col("doc.none"), F.col("left"))
+        elif c == "n_chars":
+            value = F.when(F.col("n_spans") > 0, F.char_length("left")).otherwise(value)
+        out.append(value.cast(docs.schema[c].dataType).alias(c))
+    return left.select(*out)
