@@ -97,20 +97,22 @@ def _unzipped(data: bytes | pa.Buffer) -> pa.Buffer:
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte plane by byte plane: the high planes
-    are few different bytes."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, (int(steps[1:].max() if len(steps) > 1 else 0).bit_length() + 7) // 8)
-    planes = steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return _zipped(keys[:1].astype("<u8").tobytes() + bytes([width]) + np.ascontiguousarray(planes.T).tobytes())
+    """Sorted keys as the first one and the differences, byte plane by byte
+    plane: the low planes are noise, the highest is a few different bytes."""
+    steps = np.diff(keys).astype("<u8")
+    width = max(1, (int(steps.max() if len(steps) else 0).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    high = _zipped(planes[-1].tobytes())
+    return keys[:1].astype("<u8").tobytes() + bytes([width]) + len(high).to_bytes(4, "little") + high + planes[:-1].tobytes()
 
 
 def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
-    data = memoryview(_unzipped(data))
-    width = data[8]
-    planes = np.frombuffer(data, np.uint8, offset=9).reshape(width, -1)
-    steps = np.zeros((planes.shape[1] + 1, 8), np.uint8)
-    steps[1:, :width] = planes.T
+    data = memoryview(data)
+    width, end = data[8], 13 + int.from_bytes(data[9:13], "little")
+    high = np.frombuffer(_unzipped(data[13:end]), np.uint8)
+    steps = np.zeros((len(high) + 1, 8), np.uint8)
+    steps[1:, width - 1] = high
+    steps[1:, :width - 1] = np.frombuffer(data, np.uint8, offset=end).reshape(width - 1, -1).T if width > 1 else 0
     steps = steps.reshape(-1).view("<u8").copy()
     steps[0] = np.frombuffer(data, "<u8", 1)[0]
     return np.cumsum(steps, dtype=np.uint64)
