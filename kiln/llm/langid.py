@@ -73,7 +73,7 @@ class Scorer(dict):
     """Sums of log-frequencies.  Maps a word to its row of ``_rows``; unknown
     words are scored when first met and forgotten when the rows are full."""
 
-    def __init__(self, model: Model, limit: int = 300_000, part: int = 50_000):
+    def __init__(self, model: Model, limit: int = 100_000, part: int = 50_000):
         super().__init__()
         self._model, self._limit, self._part = model, max(limit, part), part
         self._forget()
@@ -180,8 +180,8 @@ def learn(labelled: DataFrame, max_documents: int = 50_000, max_words: int = 50_
     return Model(languages, words, word_rows, *_frequencies(gram_counts, "gram", languages, max_grams))
 
 
-def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """``doc`` (a struct of the columns ``carry``), ``lang_pred, score``."""
+def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """``key, lang_pred, score`` of each row's ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,21 +191,27 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 part = batch.slice(lo, 256)
                 found = [scorer.score(t) if t else (UNKNOWN, 0.0) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["doc", "lang_pred", "score"])
+                    [part.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], [key, "lang_pred", "score"])
 
-    given = docs.select(F.struct(*[docs[c] for c in carry]).alias("doc"), docs["text"])
-    return given.mapInArrow(predicted, StructType([given.schema["doc"], StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    given = docs.select(key, "text")
+    return given.mapInArrow(predicted, StructType([given.schema[key], StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """``docs`` (with ``doc_id, text, lang``) without the rows that have no
     letter or whose language is unclear (score under ``least``).  Where no row
-    has a ``lang`` nothing can be learned and nothing is rejected."""
+    has a ``lang`` nothing can be learned and nothing is rejected.  ``docs``
+    must give the same rows in the same partitions when it is read again, as a
+    scan of files or a written table does."""
     model = learn(docs.select("doc_id", "text", "lang"))
     if not model.languages:
         return docs
-    found = predict(docs, model, docs.columns)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
+    found = predict(docs.select(F.monotonically_increasing_id().alias("rejected"), "text"), model, "rejected")
+    unclear = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)
+    # written: the join then knows how few they are
+    rejected = materialize(found.filter(unclear).select("rejected"), "rejected")
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    return whole.join(rejected, whole["row"] == F.col("rejected"), "left_anti").select("doc.*")
 
 
 def fold(of: int) -> Column:

@@ -62,8 +62,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.langid import fold, learn, predict
     docs = table(spark, sf_dir, "documents")
     model = learn(docs.filter(fold(3) != 1).select("doc_id", "text", "lang"))
-    found = predict(docs, model, ["doc_id"]).select("doc.doc_id", "lang_pred", "score")
-    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+    return predict(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
 @query("op6_rule_quality")

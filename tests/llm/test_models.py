@@ -36,7 +36,7 @@ def test_language_edges(spark):
     assert model.languages == ["de", "en"]
     texts = [None, "", "12 ²Ⅷ ... \n", "THE HOUSE", "baumhaus " * 40_000, "treehouse", "x" * 200_000, "中文"]
     asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    found = {r.doc.doc_id: (r.lang_pred, r.score) for r in langid.predict(asked, model, ["doc_id"]).collect()}
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(asked, model).collect()}
     assert [found[i] for i in range(3)] == [("und", 0.0)] * 3
     assert [found[i][0] for i in (3, 4, 5)] == ["en", "de", "en"]
     assert found[7] == ("und", 0.0) and 0 <= found[6][1] <= 1
