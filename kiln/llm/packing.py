@@ -89,7 +89,7 @@ class WordEncoder:
             symbols = word if word.isascii() and word.isalnum() else "".join(alphabet[b] for b in word.encode())
             return array("I", [t.id for t in model.tokenize(symbols)]).tobytes()
 
-        self._memo = Memo(merged, limit=300_000)
+        self._memo = Memo(merged, limit=100_000)
 
     def _pre_tokens(self, part: str) -> list[str]:
         if part.isascii():

@@ -51,7 +51,7 @@ from kiln.session import materialize
 GRAM = 48
 MANY = 4096
 #: Bytes of strings sorted together.
-COLLECTION_BYTES = 16 << 20
+COLLECTION_BYTES = 8 << 20
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2 ** 64))
 _PLACES = np.uint64((1 << 22) - 1)
 
