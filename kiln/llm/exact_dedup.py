@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kiln.session import materialize
+from kiln.session import materialize, numbered
 
 #: Runs merged into one in each round.
 FAN = 16
@@ -42,11 +42,11 @@ def ascii_lower(text: Column) -> Column:
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """One row a document: its place in the input, its run and its digest,
-    each run sorted by digest.  Written, as the texts are read only here."""
+    """One row a document (``row, doc_id, text``): its number, its run and its
+    digest, each run sorted by digest.  Written, as the texts are read only here."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return materialize(
-        docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("run"),
+        docs.select("doc_id", "row", F.spark_partition_id().alias("run"),
                     F.octet_length(text).alias("size"), ascii_lower(text).alias("norm"))
             .select("doc_id", "row", "run", "size", F.unhex(F.sha2("norm", 256)).alias("sha"), F.xxhash64("norm").alias("check"))
             .sortWithinPartitions("sha"), "digest-runs")
@@ -60,8 +60,13 @@ def _merge(runs: DataFrame) -> DataFrame:
 
 def duplicate_classes(docs: DataFrame, fan: int = FAN) -> DataFrame:
     """``doc_id, row, keep_id, keep_row, group_size, kept, sha`` for each row
-    of ``docs`` (needs ``doc_id`` and ``text``).  ``row`` numbers the rows as
-    ``monotonically_increasing_id`` does over the same input."""
+    of ``docs`` (needs ``doc_id`` and ``text``).  ``row`` tells rows of this
+    result apart; another scan of the input may number them otherwise."""
+    return _classes(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), fan)
+
+
+def _classes(docs: DataFrame, fan: int) -> DataFrame:
+    """``duplicate_classes`` of rows that have their number (``row``)."""
     rows = _runs(docs)
     n_runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
     levels = [_merge(rows.select(*_KEY, "run", F.struct("doc_id", "row").alias("keep"), F.lit(1).cast("long").alias("n")))]
@@ -82,9 +87,7 @@ def duplicate_classes(docs: DataFrame, fan: int = FAN) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, fan: int = FAN) -> DataFrame:
-    """``docs`` without the rows whose text another row keeps.  ``docs`` must
-    give the same rows in the same partitions when it is read again, as a
-    scan of files or a written table does."""
-    dropped = duplicate_classes(docs, fan).filter("NOT kept").select(F.col("row").alias("dropped"))
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    """``docs`` without the rows whose text another row keeps."""
+    whole = numbered(docs, "numbered-rows")
+    dropped = _classes(whole.select("row", "doc.doc_id", "doc.text"), fan).filter("NOT kept").select(F.col("row").alias("dropped"))
     return whole.join(dropped, whole["row"] == F.col("dropped"), "left_anti").select("doc.*")

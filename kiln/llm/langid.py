@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from kiln.llm.memo import LONGEST_KEY, slices
-from kiln.session import materialize
+from kiln.session import materialize, numbered
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -200,17 +200,15 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """``docs`` (with ``doc_id, text, lang``) without the rows that have no
     letter or whose language is unclear (score under ``least``).  Where no row
-    has a ``lang`` nothing can be learned and nothing is rejected.  ``docs``
-    must give the same rows in the same partitions when it is read again, as a
-    scan of files or a written table does."""
+    has a ``lang`` nothing can be learned and nothing is rejected."""
     model = learn(docs.select("doc_id", "text", "lang"))
     if not model.languages:
         return docs
-    found = predict(docs.select(F.monotonically_increasing_id().alias("rejected"), "text"), model, "rejected")
+    whole = numbered(docs, "numbered-rows")
+    found = predict(whole.select(F.col("row").alias("rejected"), "doc.text"), model, "rejected")
     unclear = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)
     # written: the join then knows how few they are
     rejected = materialize(found.filter(unclear).select("rejected"), "rejected")
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     return whole.join(rejected, whole["row"] == F.col("rejected"), "left_anti").select("doc.*")
 
 

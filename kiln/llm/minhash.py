@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kiln.llm.components import connected_components
 from kiln.llm.shingles import mix, sets_of
-from kiln.session import materialize
+from kiln.session import materialize, numbered
 
 BANDS, ROWS = 40, 5
 _SCATTER, _SHIFT, _ODD = np.uint64(0x2545F4914F6CDD1D), 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
@@ -92,7 +92,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                 [batch.column("row"), batch.column("doc_id"), pa.array(n), *(pa.array(k.view(np.int64)) for k in keys), pa.ListArray.from_arrays(offsets, flat)],
                 ["row", "doc_id", "n", "key", "key2", "bands"])
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+    return docs.select("row", "doc_id", "text").mapInArrow(
         signed, "row long, doc_id long, n long, key long, key2 long, bands array<long>")
 
 
@@ -194,7 +194,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             found = [s.tobytes() for _, sets in sets_of(batch.column("text"), width) for s in sets]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.binary())], [*names, "set"])
 
-    texts = docs.select(F.monotonically_increasing_id().alias("node"), "text")
+    texts = docs.select(F.col("row").alias("node"), "text")
     return texts.hint("merge").join(wanted, "node").select(*names, "text").mapInArrow(shingled, f"{fields}, set binary")
 
 
@@ -243,9 +243,13 @@ def _confirmed(docs: DataFrame, candidates: DataFrame, width: int, percent: int,
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: int = 256) -> DataFrame:
     """``doc_id, row, n_shingles, component_id, keep_row, kept`` of every row:
     ``component_id`` is the smallest ``doc_id`` among the documents reachable
-    by links, ``keep_row`` that document's row.  ``docs`` must give the same
-    rows in the same partitions when it is read again, as a scan of files or
-    a written table does."""
+    by links, ``keep_row`` that document's row.  ``row`` tells rows of this
+    result apart; another scan of the input may number them otherwise."""
+    return _near_duplicates(numbered(docs.select("doc_id", "text"), "numbered-rows").select("row", "doc.*"), width, percent, block)
+
+
+def _near_duplicates(docs: DataFrame, width: int, percent: int, block: int = 256) -> DataFrame:
+    """``near_duplicates`` of written rows that have their number (``row``)."""
     signed = materialize(_signatures(docs, width), "signatures")
     sets = signed.filter("n > 0")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
@@ -266,6 +270,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates."""
-    dropped = near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("row").alias("dropped"))
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    whole = numbered(docs, "numbered-rows")
+    found = _near_duplicates(whole.select("row", "doc.doc_id", "doc.text"), width, percent)
+    dropped = found.filter("NOT kept").select(F.col("row").alias("dropped"))
     return whole.join(dropped, whole["row"] == F.col("dropped"), "left_anti").select("doc.*")

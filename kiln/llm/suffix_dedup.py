@@ -268,8 +268,9 @@ def merged(spans: list, length: int) -> list[tuple[int, int]]:
 def _with_spans(docs: DataFrame, length: int, many: int, carry: dict[str, Column]) -> DataFrame:
     """``text`` (bytes), ``doc`` (a struct of ``carry``) and ``spans``, null if
     nothing is repeated."""
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-                        F.struct(*[c.alias(name) for name, c in carry.items()]).alias("doc"))
+    # written with their numbers: a second scan may be split otherwise and number the rows anew
+    texts = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
+                                    F.struct(*[c.alias(name) for name, c in carry.items()]).alias("doc")), "numbered-texts")
     cut = _segments(texts.select("row", "text"), length)
     # written, so that the join below has two plain exchanges and Spark can
     # split the partition of a gram that a third of all segments have

@@ -14,7 +14,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -94,6 +94,13 @@ def materialize(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df, name: str):
+    """``row, doc``: the rows of ``df`` as structs, each with a number that is
+    written with it.  Later steps read that number: a second scan may be split
+    otherwise and would number the rows anew."""
+    return materialize(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[df[c] for c in df.columns]).alias("doc")), name)
+
+
 def spread(df, key: str):
     """Hash-partition ``df`` by ``key`` when it has fewer partitions than
     the cluster can run at once (a single large file read as one task).
