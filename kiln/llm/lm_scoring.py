@@ -119,12 +119,13 @@ def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
 
 
 def _counts(n: np.ndarray) -> bytes:
-    return _zipped(np.ascontiguousarray(n.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    """64-bit counts by byte plane; the upper planes are zeros."""
+    return _zipped(np.ascontiguousarray(n.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
 def _uncounted(data: bytes | pa.Buffer) -> np.ndarray:
-    planes = np.frombuffer(_unzipped(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+    planes = np.frombuffer(_unzipped(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
 
 
 def _edges(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -176,9 +177,10 @@ def _totals(table: pa.Table) -> pa.Table:
     keys = [_unpacked(x.as_buffer()) for x in table.column("grams")]
     counts = [_uncounted(x.as_buffer()) for x in table.column("counts")]
     merged, at = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(at, np.concatenate(counts), len(merged)).astype(np.int64)
-    others = np.minimum(total[at] - np.concatenate(counts), 2 ** 32 - 1)
-    others = np.split(others, np.cumsum([len(k) for k in keys])[:-1])
+    own = np.concatenate(counts)
+    total = np.zeros(len(merged), np.int64)
+    np.add.at(total, at, own)
+    others = np.split(total[at] - own, np.cumsum([len(k) for k in keys])[:-1])
     kept = [i for i, o in enumerate(others) if o.any()]
     return pa.table({"block": table.column("block").take(pa.array(kept, pa.int64())), "bucket": table.column("bucket").take(pa.array(kept, pa.int64())),
                      "others": pa.array([_counts(others[i]) for i in kept], pa.binary())})

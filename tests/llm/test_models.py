@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,12 @@ def test_pruning_keeps_diverse_edges():
     kept = robust_prune(vectors, np.array([0]), np.array([[1, 2, 3, 1, -1, 0]]), 1.0, 3)[0]
     assert list(kept[kept >= 0]) == [1, 3]
     assert build(vectors[:1], 0).edges.max() == -1
+
+
+def test_counts_beyond_32_bits():
+    from kiln.llm.lm_scoring import _counts, _totals, _uncounted
+    n = np.array([1, 2 ** 32 - 1, 2 ** 32 + 5, 2 ** 53 + 1])
+    assert _uncounted(_counts(n)).tolist() == n.tolist()
+    keys, big = np.array([3, 9], np.uint64), 3 * 10 ** 9
+    rows = pa.table({"bucket": [0] * 3, "block": [0, 1, 2], "grams": pa.array([_packed(keys)] * 3, pa.binary()), "counts": pa.array([_counts(np.array([big, 1]))] * 3, pa.binary())})
+    assert [_uncounted(x.as_buffer()).tolist() for x in _totals(rows).column("others")] == [[2 * big, 2]] * 3
