@@ -40,9 +40,10 @@ def stream_classify(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-classify")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
     schema = d.schema
-    d.where(F.col("lang") == "en").write.parquet(src)
+    first = F.coalesce(F.col("lang") == "en", F.lit(False))
+    d.where(first).write.parquet(src)
     ST.stream_classify(spark, src, schema, out, ckpt)
-    d.where(F.col("lang") != "en").write.mode("append").parquet(src)  # second arrival, then restart
+    d.where(~first).write.mode("append").parquet(src)  # second arrival (all the rest), then restart
     ST.stream_classify(spark, src, schema, out, ckpt)
     return spark.read.parquet(out)
 
@@ -58,9 +59,10 @@ def stream_prevalence(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
     labels = table(spark, sf, "labels")
     schema = d.schema
-    d.where(F.col("lang") == "en").write.parquet(src)
+    first = F.coalesce(F.col("lang") == "en", F.lit(False))
+    d.where(first).write.parquet(src)
     ST.stream_prevalence(spark, src, schema, out, ckpt, labels)
-    d.where(F.col("lang") != "en").write.mode("append").parquet(src)
+    d.where(~first).write.mode("append").parquet(src)
     ST.stream_prevalence(spark, src, schema, out, ckpt, labels)
     return ST.read_prevalence(spark, out)
 
