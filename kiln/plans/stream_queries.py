@@ -88,12 +88,11 @@ def stream_chat_history(spark, sf):
 SELECT {strip_sql('source')} AS category, {strip_sql('text')} AS question, lang AS show_number, '' AS air_date
 FROM documents""")
 def scan_json_questions(spark, sf):
-    """Files that hold one JSON array each, the form of the source."""
+    """Many files that hold one JSON array each, the form of the source."""
     _, src, _, _ = _paths(spark, "questions-json")
     d = table(spark, sf, "documents")
     one = F.struct(F.col("source").alias("category"), F.col("text").alias("question"), F.col("lang").alias("show_number"))
-    arrays = d.groupBy(F.pmod("doc_id", F.lit(32)).alias("file")).agg(F.to_json(F.collect_list(one)).alias("value"))
-    arrays.write.partitionBy("file").text(src)
+    S.write_json_arrays(d.select(F.to_json(one).alias("value")), src)
     r = C.clean_records(S.read_questions(spark, src, multi_line=True))
     return r.select("category", "question", "show_number", "air_date")
 

@@ -3,6 +3,9 @@ labelled images, and the JSON sinks of the curation run."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,3 +74,24 @@ def write_json(df: DataFrame, path: str, partition_by: str | None = None, mode:
     if partition_by:
         w = w.partitionBy(partition_by)
     w.json(path)
+
+
+def write_json_arrays(objects: DataFrame, path: str, max_rows: int = 10_000, max_bytes: int = 8 << 20) -> None:
+    """Files of one JSON array each, from one column of JSON objects as text.
+    Every task cuts its rows into files of up to ``max_rows`` objects and
+    ``max_bytes`` bytes; a single larger object has a file of its own."""
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                value = value.as_py()
+                n = len(value.encode()) + 1
+                if held and (len(held) == max_rows or size + n + 1 > max_bytes):
+                    yield pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
+                    held, size = [], 0
+                held.append(value)
+                size += n
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
+
+    objects.mapInArrow(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
