@@ -127,3 +127,9 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.ann_graph import nearest_neighbours
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@query("op13_piece_roundtrip")
+def op13_piece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.pieces import piece_digests
+    return piece_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
