@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for view in ("documents", "benchmark", "conversations"):
+        con.sql(f"CREATE VIEW {view} AS SELECT * FROM '{SF}/{view}.parquet'")
     expected = con.sql(queries.ORACLE[name]).df()
     found = queries.QUERIES[name](spark, SF).toPandas()
     columns = sorted(expected.columns)
