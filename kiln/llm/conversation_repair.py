@@ -188,13 +188,13 @@ def _text(c: Column) -> Column:
 
 
 def _turns(rows: DataFrame) -> DataFrame:
-    """The rows with ``key`` (equal rows of a conversation) and ``said`` (equal
-    role and text in it)."""
+    """The rows with the digests ``body`` (of the text), ``key`` (equal rows of
+    a conversation) and ``said`` (equal role and text in it)."""
     given = rows.select("conv_id", "turn", *(F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")))
     body = F.sha2("text", 256)
     said = F.concat(_text(F.col("conv_id")), F.lit(":"), F.col("body"), F.lit(":"), F.col("role"))
     return given.withColumn("body", body).select(
-        "conv_id", "turn", "role", "text", F.unhex(F.sha2(F.concat(_text(F.col("turn")), F.lit(":"), said), 256)).alias("key"), F.unhex(F.sha2(said, 256)).alias("said"))
+        "conv_id", "turn", "role", "text", F.unhex("body").alias("body"), F.unhex(F.sha2(F.concat(_text(F.col("turn")), F.lit(":"), said), 256)).alias("key"), F.unhex(F.sha2(said, 256)).alias("said"))
 
 
 def _marked(turns: DataFrame) -> DataFrame:
@@ -202,12 +202,12 @@ def _marked(turns: DataFrame) -> DataFrame:
     text come here first."""
     bare = F.rtrim("text", F.lit(SPACES))
     blank, cut = bare == "", ~F.substring(bare, -1, 1).isin(".", "!", "?")
-    distinct = (turns.select("key", "said", "conv_id", "turn", "role", blank.alias("blank"), cut.alias("cut"))
-                .groupBy("key", "said", "conv_id", "turn", "role", "blank", "cut").agg(F.count("*").alias("copies")))
+    distinct = (turns.select("key", "said", "body", "conv_id", "turn", "role", blank.alias("blank"), cut.alias("cut"))
+                .groupBy("key", "said", "body", "conv_id", "turn", "role", "blank", "cut").agg(F.count("*").alias("copies")))
     # of rows with equal role and text the first turn's; each key is once on either side of the join
     place = F.struct(F.col("turn").isNotNull().alias("some"), "turn", "key")
     first = distinct.groupBy("said").agg(F.min(place).alias("first")).select(F.col("first.key").alias("key"), F.lit(True).alias("first"))
-    return distinct.join(first, "key", "left").select("conv_id", "turn", "role", "key", "blank", "cut", "copies", F.coalesce("first", F.lit(False)).alias("first"))
+    return distinct.join(first, "key", "left").select("conv_id", "turn", "role", "body", "key", "blank", "cut", "copies", F.coalesce("first", F.lit(False)).alias("first"))
 
 
 _SEGMENT = ("segment long, turns long, first_turn long, last_turn long, blank long, duplicate long, truncated long, illegal long, first_initial string, "
@@ -254,7 +254,7 @@ def _segments(turns: DataFrame, size: int) -> DataFrame:
     """A row for each conversation's share of a partition, in pieces; the
     numbers (``segment``) go up with the rows' order."""
     marked = _marked(turns)
-    order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc(), F.col("key").asc()]
+    order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc(), F.col("body").asc()]
     kind = StructType([turns.schema["conv_id"], *StructType.fromDDL(_SEGMENT).fields])
     schema = _arrow(kind)
 

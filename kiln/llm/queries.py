@@ -166,9 +166,8 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
                        CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS time
                 FROM raw JOIN codes USING (k) WHERE fault <> 0),
-    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
-                      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare FROM damaged),
-    marked AS (SELECT conv_id, turn, role, text, i, CASE WHEN bare = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS mark,
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare FROM damaged),
+    marked AS (SELECT conv_id, turn, role, text, i, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS mark,
                       CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '?' END AS c, count(*) OVER (PARTITION BY conv_id) AS n,
                       lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed),
     figures AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (mark = 'blank') AS blank,

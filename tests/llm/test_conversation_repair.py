@@ -60,7 +60,7 @@ def expected(conversations, rows):
     space = lambda x: " " if x is None else x
     out = {}
     for conv in {c for c, *_ in conversations}:
-        own = sorted(((t is not None, t or 0, space(r), hashed(c, t, space(r), space(x)), t, space(x)) for c, t, r, x in rows if c == conv), key=lambda r: r[:4])
+        own = sorted(((t is not None, t or 0, space(r), hashlib.sha256(space(x).encode()).digest(), t, space(x)) for c, t, r, x in rows if c == conv), key=lambda r: r[:4])
         said = [(r[2], r[5]) for r in own]
         turns = {r[4] for r in own} - {None}
         marks = faults(said)
@@ -70,12 +70,6 @@ def expected(conversations, rows):
     return out
 
 
-def hashed(conv, turn, role, text):
-    text_of = lambda x: "" if x is None else str(x)
-    said = f"{text_of(conv)}:{hashlib.sha256(text.encode()).hexdigest()}:{role}"
-    return hashlib.sha256(f"{text_of(turn)}:{said}".encode()).digest()
-
-
 def repaired(spark, conversations, rows, **more):
     schema = "conv_id long, turn long, role string, text string, copies int, segment int"
     frames = [spark.createDataFrame([(*r, 1, 2) for r in x], schema) for x in (conversations, rows)]
