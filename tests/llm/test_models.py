@@ -1,6 +1,7 @@
 """Language, quality, n-gram scores and vector search: brute force and
 held-out accuracy."""
 
+import hashlib
 import math
 import random
 import re
@@ -40,7 +41,7 @@ def test_language_edges(spark):
     found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(asked, model).collect()}
     assert [found[i] for i in range(3)] == [("und", 0.0)] * 3
     assert [found[i][0] for i in (3, 4, 5)] == ["en", "de", "en"]
-    assert found[7] == ("und", 0.0) and 0 <= found[6][1] <= 1
+    assert found[7] == ("de", 0.0) and 0 <= found[6][1] <= 1  # letters, but nothing known: the most usual language
     left = langid.in_known_language(docs)
     assert left.schema == docs.schema and left.count() == 41
     none = docs.withColumn("lang", F.lit(None).cast("string"))
@@ -49,6 +50,54 @@ def test_language_edges(spark):
     assert langid.in_known_language(empty).count() == 0 and langid.learn(empty).languages == []
 
 
+def plain_language(model, text):
+    """The answer for a text, word by word from the model's tables."""
+    sums, n, letters = [0.0] * len(model.languages), 0, False
+    for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        key = word if len(word) <= 64 else "#" + hashlib.md5(word.encode()).hexdigest()
+        letters = letters or any(c.isalpha() for c in word)
+        rows = [model.word_rows[model.words[key]]] if key in model.words else []
+        for size in (5, 4, 3, 2, 1):
+            marked = f"^{word}$"
+            grams = [marked[i:i + size] for i in range(len(marked) - size + 1)]
+            if not rows and any(c.isalpha() for c in word):
+                rows = [model.gram_rows[model.grams[g]] for g in grams if g in model.grams]
+        if rows:
+            n += 1
+            sums = [s + sum(r[j] for r in rows) / len(rows) for j, s in enumerate(sums)]
+    if not n or not model.languages:
+        return (model.usual if letters else "und"), 0.0
+    best = max(range(len(sums)), key=lambda j: (sums[j], -j))
+    return model.languages[best], 1 / sum(math.exp((s - sums[best]) / n) for s in sums)
+
+
+def test_language_equals_a_plain_scorer(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.learn(docs.select("doc_id", "text", "lang"), max_words=400, max_grams=800)
+    odd = [(-1, "w" * 100 + " " + "é" * 70), (-2, "中文 日本語"), (-3, "½ ² 12"), (-4, None), (-5, "Ⅷ the"), (-6, "zzzzz qqqq " * 3000)]
+    asked = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    found = {r.doc_id: r for r in langid.predict(asked, model).collect()}
+    for row in asked.collect():
+        lang, score = plain_language(model, row.text)
+        assert (found[row.doc_id].lang_pred, found[row.doc_id].score) == (lang, pytest.approx(score, abs=1e-9))
+    assert found[-2].lang_pred == model.usual != "und"
+
+
+def test_language_bounds_are_shared(spark):
+    """Ties inside the bound, a rare language beside a common one, long words."""
+    common = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x", "aa") for i in range(600)]
+    rare = [(1000 + i, "k" * 90 + " zulu", "zz") for i in range(3)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    model = langid.learn(docs, max_documents=100, max_words=40, max_grams=40)
+    of = lambda lang, rows: int((rows[:, model.languages.index(lang)] > rows[:, 1 - model.languages.index(lang)]).sum())
+    assert model.languages == ["aa", "zz"] and of("aa", model.word_rows) == 20 and of("zz", model.word_rows) == 2
+    assert langid._key("k" * 90) in model.words and "kkkkk" in model.grams
+    asked = spark.createDataFrame([(1, "k" * 90), (2, "zulu"), (3, "kkkkkkk")], "doc_id long, text string")
+    assert {r.lang_pred for r in langid.predict(asked, model).collect()} == {"zz"}
+    left = langid.in_known_language(docs.unionByName(spark.createDataFrame([(7, "12", "zz"), (8, "зима", None), (9, None, "zz")], docs.schema)))
+    assert left.count() == 603
+
+
 def test_language_memory_is_bounded():
     model = langid.Model(["a", "b"], {"ja": 0}, np.array([[0.0, -9.0]]), {"j": 0}, np.array([[-1.0, -2.0]]))
     scorer = langid.Scorer(model, limit=60, part=20)
@@ -66,6 +115,22 @@ def test_quality_held_out(spark):
     assert ((out.score >= 0.3) == (out.predicted == 1)).all() and out.score.between(0, 1).all()
 
 
+def test_quality_equals_a_plain_scorer(spark):
+    """Every row's score from its statistics and the learned rules."""
+    measured = with_statistics(spark.read.parquet(f"{SF}/documents.parquet"), ["doc_id"])
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    rules = rule_quality.learn(measured.join(labels, "doc_id"), "quality", trees=4)
+    assert rules.weighted
+    for row in measured.select("*", rules.score().alias("_score")).collect():
+        total = rules.intercept
+        for conditions, weight in rules.weighted:
+            if all(row[s] <= t if upper else row[s] > t for s, upper, t in conditions):
+                total += weight
+        assert row["_score"] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+    none = rule_quality.learn(measured.limit(0).join(labels, "doc_id"), "quality")
+    assert {r["s"] for r in measured.select(none.score().alias("s")).collect()} == {0.5} and measured.limit(0).select(rules.score()).count() == 0
+
+
 def test_rules_from_a_described_tree():
     described = """DecisionTreeRegressionModel: depth=2
   If (feature 1 <= 0.5)
