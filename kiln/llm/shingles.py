@@ -22,6 +22,12 @@ _rng = np.random.default_rng(20240917)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+#: Words are hashed in blocks of so many bytes.  A block adds one random number
+#: for each place and byte, and is mixed with its place in the word: unlike a
+#: polynomial modulo 2^64 this has no strings that always collide.
+_BLOCK_BITS = 6
+BLOCK = 1 << _BLOCK_BITS
+_TABLE = np.random.default_rng(20261203).integers(0, 2**64, BLOCK << 8, dtype=np.uint64)
 #: Bytes of text handled at a time; a longer text makes a chunk of its own.
 CHUNK_BYTES = 1 << 20
 
@@ -65,14 +71,14 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if not len(first):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     length = last - first + 1
-    power = np.full(int(length.max()), _BASE)
-    power[0] = 1
-    power = np.cumprod(power, dtype=np.uint64)
     # a word's bytes are consecutive among the bytes inside words
-    at = np.flatnonzero(inside)
+    low = low[inside].astype(np.int32)
     begin_at = np.concatenate(([0], np.cumsum(length)[:-1]))
-    place = np.arange(len(at)) - np.repeat(begin_at, length)
-    hashes = np.add.reduceat(_BYTE[low[at]] * power[place], begin_at)
+    place = np.arange(len(low)) - np.repeat(begin_at, length)
+    inner = place & (BLOCK - 1)
+    begins = np.flatnonzero(inner == 0)
+    blocks = mix(np.add.reduceat(_TABLE[inner << 8 | low], begins) + (place[begins] >> _BLOCK_BITS).astype(np.uint64) * _BASE)
+    hashes = blocks if len(begins) == len(first) else np.add.reduceat(blocks, np.searchsorted(begins, begin_at))
     return mix(hashes + length.astype(np.uint64) * _BASE), np.searchsorted(first, offsets)
 
 
