@@ -5,10 +5,19 @@ curation tool's rules: a strict three-key pattern first, else the span from
 the first ``{`` to the last ``}``; values use Python truthiness, so the
 *string* "false" is true; a missing key is false; anything that fails to
 parse gives null in all three flags.
+
+Answers are parsed by Spark; only those that it rejects go to Python's parser,
+whose word is final: it also takes repeated keys (the last counts) and the
+literals NaN and Infinity.  So the result does not depend on any setting of
+the session.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,6 +55,23 @@ def _truthy(v: Column) -> Column:
     )
 
 
+def _flags_of(span: str | None) -> list[bool] | None:
+    try:
+        found = None if span is None else json.loads(span)
+    except (ValueError, RecursionError):
+        return None
+    return [bool(found.get(k, False)) for k in FLAG_KEYS] if isinstance(found, dict) else None
+
+
+def _parsed_in_python(spans: Column) -> Column:
+    @F.arrow_udf("array<boolean>")
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_flags_of(s) for s in batch.to_pylist()], pa.list_(pa.bool_()))
+
+    return parsed(spans)
+
+
 def parse_flag_columns(text: Column, prefix: str = "") -> list[Column]:
     """Three boolean columns (nullable) parsed from a model answer.
 
@@ -57,9 +83,10 @@ def parse_flag_columns(text: Column, prefix: str = "") -> list[Column]:
     span = json_span(text)
     doc = F.try_parse_json(span)
     whole = F.try_parse_json(F.substring(span, F.lit(1), F.length(span) - 1))
-    ok = doc.isNotNull() & whole.isNull() & F.schema_of_variant(doc).startswith("OBJECT")
+    ok = F.coalesce(doc.isNotNull() & whole.isNull() & F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+    rest = _parsed_in_python(F.when(~ok, span))
     out = []
-    for k in FLAG_KEYS:
+    for i, k in enumerate(FLAG_KEYS):
         v = F.try_variant_get(doc, f"$.{k}", "variant")
-        out.append(F.when(ok, _truthy(v)).alias(prefix + k))
+        out.append(F.when(ok, _truthy(v)).otherwise(rest[i]).alias(prefix + k))
     return out

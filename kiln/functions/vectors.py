@@ -16,8 +16,9 @@ def norm(a: Column) -> Column:
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - a.b / (|a| |b|), the distance of a cosine-space collection."""
-    return F.lit(1.0) - _dot(a, b) / (norm(a) * norm(b))
+    """1 - a.b / (|a| |b|), the distance of a cosine-space collection; null
+    where a vector is null or of length zero and so has no direction."""
+    return F.lit(1.0) - F.try_divide(_dot(a, b), norm(a) * norm(b))
 
 
 def literal_vector(values) -> Column:

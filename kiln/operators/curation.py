@@ -157,23 +157,17 @@ def rule_has_names(text: Column) -> Column:
     return text.rlike(NAME_PATTERN)
 
 
-# words and sentence ends in text order; a word is sentence-initial when it
-# is first or follows a sentence end
-EVENTS = r"[.!?\n]|\p{L}+"
+# a capitalised word; and one that follows another word of its sentence, found
+# from the last letter of that word, which alone is consumed
+CAPITALISED_WORD = r"(?<!\p{L})\p{Lu}\p{L}*"
+NAME_CANDIDATE = r"\p{L}(?=[^.!?\n\p{L}]+(\p{Lu}\p{L}*))"
 
 
-def name_features(ev: Column) -> tuple[Column, Column]:
-    """(capitalised word forms, capitalised non-initial word forms), both
-    distinct per row, from the events array of :func:`text_events`.  ``ev``
-    must be a column reference (the lambda looks at the previous element)."""
-    caps = F.array_distinct(F.filter(ev, lambda x: x.rlike(CAPITALISED)))
-    cands = F.array_distinct(F.filter(ev, lambda x, i: (i > 0) & x.rlike(CAPITALISED)
-                                      & F.element_at(ev, i).rlike(r"^\p{L}")))
-    return caps, cands
-
-
-def text_events(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(EVENTS), F.lit(0))
+def name_words(text: Column) -> tuple[Column, Column]:
+    """(capitalised word forms, capitalised forms that do not begin a
+    sentence), both distinct per row: one pattern over the text each."""
+    return (F.array_distinct(F.regexp_extract_all(text, F.lit(CAPITALISED_WORD), F.lit(0))),
+            F.array_distinct(F.regexp_extract_all(text, F.lit(NAME_CANDIDATE), F.lit(1))))
 
 
 def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> DataFrame:
@@ -181,29 +175,28 @@ def unusual_from_features(feat: DataFrame, id_col: str, max_df: int = 2) -> Data
     occurs in at most ``max_df`` rows.  Only capitalised forms can match a
     capitalised candidate, so only those are exploded.  Rows by word are
     counted with partial aggregation, so a common word is no hot key; the
-    join keeps candidates of rare words, which have few rows each."""
-    word = lambda c: feat.select(F.col(id_col), F.explode(c).alias("word"))
+    join keeps candidates of rare words, which have few rows each.
+
+    ``explode_outer``, as from a plain ``explode`` Spark derives a filter on
+    the array's size, which would evaluate the pattern once more below it."""
+    word = lambda c: feat.select(F.col(id_col), F.explode_outer(c).alias("word")).where(F.col("word").isNotNull())
     rare = word("_caps").groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") <= max_df)
     return word("_cands").join(rare.select("word"), "word", "left_semi").select(id_col).distinct()
 
 
 def unusual_name_ids(df: DataFrame, id_col: str, text_col: str, max_df: int = 2) -> DataFrame:
     from ..session import spread
-    caps, cands = name_features(F.col("_ev"))
-    ev = spread(df, id_col).select(id_col, text_events(F.col(text_col)).alias("_ev"))
-    return unusual_from_features(ev.select(id_col, caps.alias("_caps"), cands.alias("_cands")), id_col, max_df)
+    caps, cands = name_words(F.col(text_col))
+    return unusual_from_features(spread(df.select(id_col, text_col), id_col).select(id_col, caps.alias("_caps"), cands.alias("_cands")), id_col, max_df)
 
 
 def rule_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   keep: Sequence[str] = ()) -> DataFrame:
     """Everything the rules need from the text, in one pass over it."""
     from ..session import spread
-    caps, cands = name_features(F.col("_ev"))
-    step = spread(docs, id_col).select(id_col, *keep,
-                       rule_has_numbers(F.col(text_col)).alias(FLAGS[0]),
-                       rule_has_non_english(F.col(text_col)).alias(FLAGS[1]),
-                       text_events(F.col(text_col)).alias("_ev"))
-    return step.select(id_col, *keep, *FLAGS[:2], caps.alias("_caps"), cands.alias("_cands"))
+    caps, cands = name_words(F.col(text_col))
+    return spread(docs, id_col).select(id_col, *keep, rule_has_numbers(F.col(text_col)).alias(FLAGS[0]),
+                                       rule_has_non_english(F.col(text_col)).alias(FLAGS[1]), caps.alias("_caps"), cands.alias("_cands"))
 
 
 def rule_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -15,20 +15,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _prepared(fn):
-    """The query with the session as the JSON rules need it: of repeated keys
-    the last counts, as in Python."""
-    def run(spark, sf_dir):
-        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-        return fn(spark, sf_dir)
-    return run
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = _prepared(fn)
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -135,8 +135,9 @@ def sink_stats(spark, sf):
     _, _, out, _ = _paths(spark, "stats-json")
     fl = flagged(spark, sf)
     flat = C.curation_stats(fl, curated(spark, sf, fl), None)
-    S.write_json(C.curation_stats_document(flat).coalesce(1), out)
-    doc = spark.read.json(out)
+    document = C.curation_stats_document(flat)
+    S.write_json(document.coalesce(1), out)
+    doc = spark.read.schema(document.schema).json(out)  # blocks that are null tell no types
     return doc.select(
         F.col("classification_quality.total").alias("total"),
         F.col("classification_quality.successful").alias("successful"),

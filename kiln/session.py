@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession, functions as F
 
@@ -22,9 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Python's json keeps the last of duplicated keys; the variant parser
-    # does the same only with this switch.
-    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -40,9 +38,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     # getOrCreate on a running session ignores builder options for static
-    # confs; the runtime ones are applied explicitly.
-    for k in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys"):
-        spark.conf.set(k, DEFAULT_CONF[k])
+    # confs; the runtime one is applied explicitly
+    spark.conf.set("spark.sql.session.timeZone", DEFAULT_CONF["spark.sql.session.timeZone"])
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -74,15 +71,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Deletes every scratch folder this session has written, once their
+def scratch_folders(spark: SparkSession) -> list[str]:
+    """The scratch folders this session has written and not yet cleared."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, folders: Iterable[str] | None = None) -> int:
+    """Deletes the given scratch folders of this session, or all, once their
     frames are no longer read; the number of folders."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in mine if folders is None or p in set(folders)]
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
+    for p in gone:
+        mine.remove(p)
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
-    return len(paths)
+    return len(gone)
 
 
 def materialize(df, name: str):

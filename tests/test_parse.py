@@ -19,14 +19,24 @@ CASES = [
     ('{"has_numbers": [], "has_non_english": {}, "has_unusual_proper_nouns": 2.5}', (False, False, True)),
     ('{"has_numbers": true, "has_numbers": false}', (False, False, False)),
     ('  \n {"has_numbers": 1}\t', (True, False, False)),
+    ('{"has_numbers": {"a": 1, "a": 2}, "has_non_english": NaN, "has_unusual_proper_nouns": -Infinity}', (True, True, True)),
+    ('{"has_numbers": NaN} }', (None, None, None)),
+    ("{" * 3000 + "}", (None, None, None)),
 ]
 
 
-@pytest.mark.parametrize("text,expected", CASES)
-def test_parse_flags(spark, text, expected):
-    df = spark.createDataFrame([(text,)], "text string")
-    row = df.select(*parse_flag_columns(F.col("text"))).first()
-    assert tuple(row) == expected
+@pytest.mark.parametrize("repeated", ["true", "false", None])
+def test_parse_flags(spark, repeated):
+    """The same in any session, also in one that rejects repeated keys."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, repeated) if repeated else spark.conf.unset(name)
+        df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, text string")
+        found = {r[0]: tuple(r)[1:] for r in df.select("i", *parse_flag_columns(F.col("text"))).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert [found[i] for i in range(len(CASES))] == [expected for _, expected in CASES]
 
 
 def test_strict_pattern_wins_without_fallback(spark):
