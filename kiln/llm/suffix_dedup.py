@@ -276,8 +276,9 @@ def _with_spans(docs: DataFrame, length: int, many: int, carry: dict[str, Column
     # split the partition of a gram that a third of all segments have
     repeated = materialize(cut.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "repeated-grams")
     segments = materialize(cut.hint("merge").join(repeated, "gram"), "repeated-segments")
-    # one exchange of the texts by row serves both joins
-    by_row = texts.repartition("row")
+    # one exchange of the texts by row serves both joins; an inner join asks
+    # for rows that are not null, so both get that filter here
+    by_row = texts.filter("row IS NOT NULL").repartition("row")
     spans = segments.join(_verdicts(by_row, segments, length, many), ["gram", "content"]).select("row", "start", F.explode("marks").alias("mark"))
     spans = spans.groupBy("row").agg(F.collect_list(F.struct((F.col("start") + F.col("mark.first")).alias("first"), F.col("mark.number").alias("number"))).alias("spans"))
     return by_row.join(spans, "row", "left").select("text", "doc", "spans")
