@@ -28,7 +28,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kiln.session import materialize, numbered
+from kiln.llm.rows import numbered
+from kiln.session import materialize
 
 #: Runs merged into one in each round.
 FAN = 16

@@ -40,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kiln.llm.components import connected_components
+from kiln.llm.rows import numbered
 from kiln.llm.shingles import mix, sets_of
-from kiln.session import materialize, numbered
+from kiln.session import materialize
 
 BANDS, ROWS = 40, 5
 _SCATTER, _SHIFT, _ODD = np.uint64(0x2545F4914F6CDD1D), 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
