@@ -151,6 +151,33 @@ def rule_has_non_english(text: Column) -> Column:
     return text.rlike(NON_ENGLISH_PATTERN)
 
 
+def foreign_words(docs: DataFrame, text_col: str, lang_col: str, english: str = "en", least: float = 10.83) -> DataFrame:
+    """Words (``word``, lower-case letter runs) that go with other languages
+    than English, learned from all documents that have a language: those in a
+    greater share of the other documents than of the English ones, with a
+    log-likelihood ratio of at least ``least`` (one in a thousand by chance).
+    Rows of a word are counted before the shuffle."""
+    own = docs.where(F.col(lang_col).isNotNull()).select((F.col(lang_col) == english).alias("_en"), F.col(text_col).alias("_text"))
+    totals = own.agg(F.count_if("_en").cast("double").alias("_n_en"), F.count_if(~F.col("_en")).cast("double").alias("_n_other"))
+    counts = (own.select("_en", F.explode(distinct_words(F.col("_text"))).alias("word"))
+              .groupBy("word").agg(F.count_if("_en").cast("double").alias("_a"), F.count_if(~F.col("_en")).cast("double").alias("_b")))
+    a, b, n, m = (F.col(c) for c in ("_a", "_b", "_n_en", "_n_other"))
+    part = lambda seen, docs_: F.when(seen > 0, seen * F.log(seen * (n + m) / (docs_ * (a + b)))).otherwise(0.0)
+    scored = counts.join(F.broadcast(totals))  # one row
+    return scored.where((b * n > a * m) & (F.round(2 * (part(a, n) + part(b, m)), 6) >= least)).select("word")
+
+
+def distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+
+
+def rule_foreign_ids(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """Ids of documents with a word of ``foreign_words``, which needs no accent
+    and no list; the rule for single rows is ``rule_has_non_english``."""
+    words = docs.select(id_col, F.explode_outer(distinct_words(F.col(text_col))).alias("word")).where(F.col("word").isNotNull())
+    return words.join(foreign_words(docs, text_col, lang_col), "word", "left_semi").select(id_col).distinct()
+
+
 def rule_has_names(text: Column) -> Column:
     """A capitalised word that does not begin a sentence: what a single row
     can tell about proper nouns without the corpus."""

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.json_flags import parse_flag_columns
+from ..session import clear_scratch, scratch_path
 from .curation import FLAGS, classify_prompt
 
 Predictor = Callable[[Sequence[str]], Sequence[str]]
@@ -66,12 +67,14 @@ def answer_with_model(df: DataFrame, prompt_col: str, predict: Predictor,
     return given.mapInArrow(run, schema)
 
 
-def classify_with_model(records: DataFrame, key: str, predict: Predictor = rule_predictor, batch_size: int = 256) -> DataFrame:
-    """Cleaned question records -> (key, three flags, error) through the model."""
-    prompts = records.select(key, classify_prompt(F.col("category"), F.col("question"), F.col("answer"))
+def classify_with_model(records: DataFrame, key: str, predict: Predictor = rule_predictor, batch_size: int = 256,
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """Cleaned question records -> (key, three flags, error, and ``keep``)
+    through the model."""
+    prompts = records.select(key, *keep, classify_prompt(F.col("category"), F.col("question"), F.col("answer"))
                              .alias("_prompt"))
-    answered = answer_with_model(prompts, "_prompt", predict, [key], batch_size)
-    return answered.select(key, *parse_flag_columns(F.col("response"), prefix="llm_"), "error")
+    answered = answer_with_model(prompts, "_prompt", predict, [key, *keep], batch_size)
+    return answered.select(key, *parse_flag_columns(F.col("response"), prefix="llm_"), "error", *keep)
 
 
 def stored_predictions(spark, path: str, key_type: T.DataType, key: str) -> DataFrame:
@@ -90,18 +93,23 @@ def classify_resume(records: DataFrame, key: str, predictions_path: str,
     """Classifies the rows without a stored answer and returns (key, three
     flags) of all stored rows.
 
-    Rows are taken in ``slices`` by a hash of their key; each slice is a job
-    of its own and appends its predictions in one commit, so a run that is
+    The rows to ask are found and cut into ``slices`` by a hash of their key
+    in one pass, written once; each slice is a job of its own that reads only
+    its folder and appends its predictions in one commit, so a run that is
     killed keeps every slice it has finished and the next run goes on from
     there.  A row whose batch failed is stored with the reason and asked
     again by the next run."""
     spark = records.sparkSession
     kind = records.schema[key].dataType
+    done = stored_predictions(spark, predictions_path, kind, key).where("error IS NULL").select(key)
+    todo = records.join(done, key, "left_anti").withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(slices)).cast("int"))
+    asked = scratch_path(spark, "to-ask")
+    todo.write.partitionBy("_slice").parquet(asked)
+    whole = spark.read.schema(todo.schema).parquet(asked)
     for i in range(slices):
-        done = stored_predictions(spark, predictions_path, kind, key).where("error IS NULL").select(key)
-        part = records.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
-        todo = part.join(done, key, "left_anti")
-        classify_with_model(todo, key, predict, batch_size).write.mode("append").parquet(predictions_path)
+        part = whole.where(F.col("_slice") == i).drop("_slice")  # reads one folder
+        classify_with_model(part, key, predict, batch_size).write.mode("append").parquet(predictions_path)
+    clear_scratch(spark, [asked])
     answered = F.col("error").isNull()
     return (stored_predictions(spark, predictions_path, kind, key).groupBy(key)
             .agg(F.max_by(F.struct(*FLAGS), answered).alias("_best")).select(key, "_best.*"))

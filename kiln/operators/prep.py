@@ -88,26 +88,61 @@ def _order_value(seed: int, id_cols: Sequence[str]) -> Column:
     return F.conv(F.substring(seeded_key(seed, *ids), 1, 15), 16, 10).cast("bigint")
 
 
+#: Bits of the 60-bit key that one pass tells apart, and rows that a task sorts.
+DIGIT_BITS, SORTED_ROWS = 16, 50_000
+
+
 def cut_rows(df: DataFrame, id_cols: Sequence[str], seed: int, ranks_for_n):
     """(n, [(u, ids...) or None]): the rows at the given 1-based positions of
     the seeded order, without a global sort.
 
-    ``ranks_for_n(n)`` turns the row count into positions.  A histogram of
-    the key's first 16 bits (at most 65,536 counts) tells the bucket of each
-    position; inside it an ordered offset fetches that one row."""
+    ``ranks_for_n(n)`` turns the row count into positions.  Radix selection:
+    a histogram of the key's next ``DIGIT_BITS`` bits (at most 65,536 counts a
+    position) names the bucket that holds a position, and is taken again
+    inside that bucket until it has at most ``SORTED_ROWS`` rows, which are
+    sorted, or all bits are known.  All positions share the passes.  Rows that
+    agree in all bits are counted by their ids, as only repeated ids do."""
     keyed = df.select(_order_value(seed, id_cols).alias("_u"), *id_cols)
-    hist = sorted((r["_b"], r["count"]) for r in keyed.groupBy(F.shiftright("_u", 44).alias("_b")).count().collect())
-    n = sum(c for _, c in hist)
+    bits = 60
+
+    def digit(rest: int) -> Column:
+        return F.shiftright("_u", max(0, bits - rest - DIGIT_BITS))
+
+    whole = sorted((r["_d"], r["count"]) for r in keyed.groupBy(digit(0).alias("_d")).count().collect())
+    n = sum(c for _, c in whole)
+    ranks = ranks_for_n(n)
+    # a position that is not yet found: its bucket (prefix), the bits that are known and its place inside
+    found: dict[int, tuple[int, int, int, int]] = {}
+
+    def narrow(i: int, histogram: list[tuple[int, int]], place: int, known: int) -> None:
+        for d, c in histogram:
+            if place <= c:
+                found[i] = (d, min(bits, known + DIGIT_BITS), place, c)
+                return
+            place -= c
+
+    for i, rank in enumerate(ranks):
+        if 0 < rank <= n:
+            narrow(i, whole, rank, 0)
+    while open_ := {i: f for i, f in found.items() if f[3] > SORTED_ROWS and f[1] < bits}:
+        known = min(f[1] for f in open_.values())
+        now = {i: f for i, f in open_.items() if f[1] == known}
+        prefix = F.shiftright("_u", bits - known)
+        deeper = keyed.where(prefix.isin(*{f[0] for f in now.values()})).groupBy(prefix.alias("_p"), digit(known).alias("_d")).count().collect()
+        for i, (bucket, _, place, _) in now.items():
+            narrow(i, sorted((r["_d"], r["count"]) for r in deeper if r["_p"] == bucket), place, known)
     cuts = []
-    for rank in ranks_for_n(n):
-        before, cut = 0, None
-        for b, c in hist:
-            if 0 < rank <= before + c:
-                cut = tuple(keyed.where(F.shiftright("_u", 44) == b).orderBy("_u", *id_cols)
-                            .offset(rank - before - 1).limit(1).first())
+    for i in range(len(ranks)):
+        if i not in found:
+            cuts.append(None)
+            continue
+        bucket, known, place, _ = found[i]
+        rows = keyed.where(F.shiftright("_u", bits - known) == bucket).groupBy("_u", *id_cols).agg(F.count("*").alias("_n")).orderBy("_u", *id_cols)
+        for row in rows.toLocalIterator():  # at most SORTED_ROWS rows, or ids that agree in 60 bits
+            place -= row["_n"]
+            if place <= 0:
+                cuts.append(tuple(row)[:-1])
                 break
-            before += c
-        cuts.append(cut)
     return n, cuts
 
 
@@ -251,6 +286,18 @@ def collate_batches(padded: DataFrame) -> DataFrame:
     return padded.groupBy("batch").agg(F.count("*").alias("n"), F.max("padded_len").alias("padded_len"))
 
 
+def stack_batches(padded: DataFrame, order: Sequence[str], label_col: str | None = None) -> DataFrame:
+    """A row a batch, as a model takes it: ``input_ids`` and ``attention_mask``
+    as arrays of equally long rows and, with ``label_col``, the ``labels`` of
+    these rows, all in ``order``.  A batch has a bounded number of rows."""
+    names = [*dict.fromkeys([*order, "input_ids", "attention_mask", *([label_col] if label_col else [])])]
+    rows = F.array_sort(F.collect_list(F.struct(*names)))
+    stacked = padded.groupBy("batch").agg(F.count("*").alias("n"), F.max("padded_len").alias("padded_len"), rows.alias("_rows"))
+    pick = lambda c: F.transform("_rows", lambda r: r[c])
+    return stacked.select("batch", "n", "padded_len", pick("input_ids").alias("input_ids"), pick("attention_mask").alias("attention_mask"),
+                          *([pick(label_col).alias("labels")] if label_col else []))
+
+
 # --------------------------------------------------------------------------
 # Metrics
 # --------------------------------------------------------------------------

@@ -5,12 +5,7 @@ Scale notes
 -----------
 * ``knn_topk`` (one query) is a projection plus TakeOrderedAndProject: each
   task keeps k rows, one task merges k x tasks rows.
-* ``knn_join`` (many queries) is exact without all pairs.  Vectors belong to
-  the cell of their nearest pivot; a cell's centre, radius and size bound
-  the distance of everything in it, so a query visits only cells that can
-  still hold one of its k nearest.  Cells and queries are split into blocks
-  of bounded size, a task scores one block against another, and only k rows
-  a query leave it.
+* ``knn_join`` (many queries) is exact without all pairs: see ``nearest``.
 * A vector of length zero has no direction: it takes no part in any search,
   neither as query nor as candidate.  Ties go to the smaller id everywhere.
 """
@@ -24,15 +19,15 @@ from typing import Callable, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import fmt2
-from ..functions.vectors import cosine_distance, literal_vector, norm
+from ..functions.vectors import cosine_distance, literal_vector
 from ..session import materialize, spread
+from .collection import COLLECTION, add_to_collection, read_collection  # noqa: F401
+from .nearest import directed, knn_join, knn_lsh  # noqa: F401
 
 # --------------------------------------------------------------------------
 # Page text and images
@@ -148,13 +143,6 @@ def embed_text_hash(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -
 # Collection (id, embedding, document, metadata)
 # --------------------------------------------------------------------------
 
-COLLECTION = T.StructType([
-    T.StructField("id", T.StringType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
-    T.StructField("document", T.StringType()), T.StructField("page", T.IntegerType()),
-    T.StructField("source", T.StringType()), T.StructField("image_index", T.IntegerType()),
-    T.StructField("type", T.StringType())])
-
-
 def make_vector_id(prefix: str, index: Column, source: Column) -> Column:
     """``prefix_index_hash`` with the md5 of source, index and prefix, parted
     by ``|``: stable across processes, and different for every source."""
@@ -194,163 +182,25 @@ def build_collection(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def read_collection(spark, path: str) -> DataFrame:
-    """The stored collection, or an empty one where nothing is stored yet.  A
-    filter on ``type`` reads that folder only."""
-    try:
-        return spark.read.schema(COLLECTION).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], COLLECTION)
-
-
-def add_to_collection(vectors: DataFrame, path: str) -> DataFrame:
-    """Appends the vectors whose id is not stored yet, partitioned by
-    ``type``, and returns the collection as it then is."""
-    spark = vectors.sparkSession
-    stored = read_collection(spark, path).select("id")
-    new = vectors.join(stored, "id", "left_anti").select(*COLLECTION.names)
-    new.write.mode("append").partitionBy("type").parquet(path)
-    return read_collection(spark, path)
-
-
 # --------------------------------------------------------------------------
 # Nearest neighbours
 # --------------------------------------------------------------------------
 
-def _directed(vector: Column) -> Column:
-    """Whether a vector has a direction: not null and not of length zero."""
-    return F.coalesce(norm(vector) > 0, F.lit(False))
-
-
 def knn_topk(collection: DataFrame, query: Sequence[float] | DataFrame, k: int = 5, id_col: str = "id",
              vec_col: str = "embedding", where: Column | None = None) -> DataFrame:
     """Cosine top-k for one query vector: (rank, <id>, distance, ...).  The
     query is a vector or a frame of one row with the column ``vec_col``."""
-    c = (collection if where is None else collection.where(where)).where(_directed(F.col(vec_col)))
+    c = (collection if where is None else collection.where(where)).where(directed(F.col(vec_col)))
     if isinstance(query, DataFrame):
-        one = query.select(F.col(vec_col).alias("_query")).where(_directed(F.col("_query"))).limit(1)
+        one = query.select(F.col(vec_col).alias("_query")).where(directed(F.col("_query"))).limit(1)
         c = c.join(F.broadcast(one))  # one row
     else:
-        c = c.withColumn("_query", literal_vector(query)).where(_directed(F.col("_query")))
+        c = c.withColumn("_query", literal_vector(query)).where(directed(F.col("_query")))
     scored = c.withColumn("distance", cosine_distance(F.col(vec_col), F.col("_query"))).drop("_query")
     top = scored.orderBy("distance", id_col).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy("distance", id_col)))
 
 
-def _units(vectors: pa.Array) -> np.ndarray:
-    m = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(np.float64)
-    return m / np.linalg.norm(m, axis=1)[:, None]
-
-
-def _cells(frame: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """``id, vec, cell, far``: each vector's nearest pivot and its distance."""
-    shared = frame.sparkSession.sparkContext.broadcast(pivots)
-
-    def assign(batches):
-        for b in batches:
-            if b.num_rows:
-                close = _units(b.column("vec")) @ shared.value.T
-                cell = close.argmax(1)
-                far = np.sqrt(np.maximum(2 - 2 * close[np.arange(len(cell)), cell], 0))
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(cell.astype(np.int32)), pa.array(far)], ["id", "vec", "cell", "far"])
-
-    return frame.mapInArrow(assign, T.StructType([*frame.select("id", "vec").schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())]))
-
-
-def cells_to_visit(close: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
-    """Which cells can hold one of the k nearest, for each row of distances
-    between a query and the cells' centres.  By the triangle inequality a
-    cell's members lie within ``distance -+ radius``; cells taken by their
-    upper bound until they hold k members give a bound on the k-th nearest,
-    and a cell whose lower bound is beyond it is skipped."""
-    upper, lower = close + radius, np.maximum(close - radius, 0)
-    order = np.argsort(upper, axis=1, kind="stable")
-    enough = (np.cumsum(size[order], axis=1) >= min(k, size.sum())).argmax(1)
-    bound = np.take_along_axis(upper, np.take_along_axis(order, enough[:, None], 1), 1)
-    # in cosine distance, with room for rounding
-    return lower ** 2 / 2 <= bound ** 2 / 2 + 1e-9
-
-
-def _tile(queries: pa.Table, members: pa.Table, k: int, decimals: int, schema: pa.Schema) -> pa.Table:
-    """The k nearest members of each query; ties go to the smaller id."""
-    if not queries.num_rows or not members.num_rows:
-        return schema.empty_table()
-    members = members.sort_by("id").combine_chunks()
-    queries = queries.combine_chunks()
-    own = _units(members.column("vec").combine_chunks())
-    asked = _units(queries.column("vec").combine_chunks())
-    rows, places, far = [], [], []
-    for lo in range(0, len(asked), 512):
-        distance = np.round(1.0 - asked[lo:lo + 512] @ own.T, decimals)
-        near = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        rows.append(np.repeat(np.arange(lo, lo + len(near)), near.shape[1]))
-        places.append(near.reshape(-1))
-        far.append(np.take_along_axis(distance, near, 1).reshape(-1))
-    return pa.table([queries.column("query").take(pa.array(np.concatenate(rows))), members.column("id").take(pa.array(np.concatenate(places))), pa.array(np.concatenate(far))], schema=schema)
-
-
-def knn_join(queries: DataFrame, collection: DataFrame, k: int = 5,
-             query_id: str = "query_id", query_vec: str = "embedding",
-             id_col: str = "id", vec_col: str = "embedding",
-             cells: int = 64, block_rows: int = 4096, decimals: int = 12) -> DataFrame:
-    """Exact cosine k nearest neighbours for every query:
-    (query_id, rank, <id>, distance).  Ties are broken by id.
-
-    Distances are rounded to ``decimals`` digits before ranking so that
-    equal vectors rank equally whatever the floating-point path.  ``cells``
-    pivots are taken from the collection; a tile is at most about
-    ``block_rows`` members of a cell against ``block_rows`` queries.
-    """
-    spark = queries.sparkSession
-    qtype, ctype = queries.schema[query_id].dataType, collection.schema[id_col].dataType
-    out = T.StructType([T.StructField("query", qtype), T.StructField("id", ctype), T.StructField("distance", T.DoubleType())])
-    held = collection.where(_directed(F.col(vec_col))).select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    asked = queries.where(_directed(F.col(query_vec))).select(F.col(query_id).alias("query"), F.col(query_vec).cast("array<double>").alias("vec"))
-    pivots = [r["vec"] for r in held.orderBy(F.xxhash64("id")).limit(cells).collect()]  # ``cells`` rows
-    if not pivots:
-        return spark.createDataFrame([], T.StructType([T.StructField(query_id, qtype), T.StructField("rank", T.IntegerType()), T.StructField(id_col, ctype), T.StructField("distance", T.DoubleType())]))
-    centre = np.array(pivots)
-    centre /= np.linalg.norm(centre, axis=1)[:, None]
-    assigned = materialize(_cells(held, centre), "cells")
-    stats = {r["cell"]: r for r in assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()}  # a row a cell
-    used = np.array(sorted(stats))
-    size, radius = np.array([stats[c]["n"] for c in used]), np.array([stats[c]["radius"] for c in used])
-    parts = -(-size // block_rows)
-    n_blocks = max(1, -(-asked.count() // block_rows))
-    shared = spark.sparkContext.broadcast((centre[used], used, size, radius, parts))
-
-    def visit(batches):
-        centres, cell, size, radius, parts = shared.value
-        for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                close = np.sqrt(np.maximum(2 - 2 * _units(part.column("vec")) @ centres.T, 0))
-                row, at = np.nonzero(cells_to_visit(close, radius, size, k))
-                times = parts[at]
-                row, sub = np.repeat(row, times), np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                row, cells_ = pa.array(row), np.repeat(cell[at], times)
-                yield pa.RecordBatch.from_arrays([part.column("query").take(row), part.column("vec").take(row), pa.array(cells_.astype(np.int32)), pa.array(sub.astype(np.int32))], ["query", "vec", "cell", "part"])
-
-    fields = asked.schema
-    visits = asked.mapInArrow(visit, T.StructType([*fields.fields, T.StructField("cell", T.IntegerType()), T.StructField("part", T.IntegerType())]))
-    visits = visits.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(n_blocks)))
-    many = F.create_map(*[F.lit(int(x)) for pair in zip(used, parts) for x in pair])
-    members = (assigned.select("id", "vec", "cell", F.pmod(F.xxhash64("id"), many[F.col("cell")]).cast("int").alias("part"))
-               .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<bigint>"))))
-    arrow = to_arrow_schema(out)
-
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _tile(left, right, k, decimals, arrow)
-
-    keys = ["cell", "part", "block"]
-    found = visits.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(tile, out)
-    w = Window.partitionBy("query").orderBy("distance", "id")
-    top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("query").alias(query_id), "rank", F.col("id").alias(id_col), "distance")
-
-
 # --------------------------------------------------------------------------
 # Context, messages, chat
 # --------------------------------------------------------------------------

@@ -153,6 +153,21 @@ def rule_has_non_english(spark, sf):
     return d.select("doc_id", C.rule_has_non_english(F.col("text")).alias("flag"))
 
 
+@register("rule_foreign_words", sql=f"""
+WITH w AS (SELECT doc_id, lang, unnest(list_distinct(regexp_extract_all(lower(text), {q(C.WORD)}))) AS word FROM documents),
+ n AS (SELECT CAST(count(*) FILTER (WHERE lang = 'en') AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE lang <> 'en') AS DOUBLE) AS m FROM documents),
+ c AS (SELECT word, CAST(count(*) FILTER (WHERE lang = 'en') AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE lang <> 'en') AS DOUBLE) AS b FROM w WHERE lang IS NOT NULL GROUP BY word),
+ f AS (SELECT word FROM c, n WHERE b * n > a * m AND round(2 * (CASE WHEN a > 0 THEN a * ln(a * (n + m) / (n * (a + b))) ELSE 0 END
+        + CASE WHEN b > 0 THEN b * ln(b * (n + m) / (m * (a + b))) ELSE 0 END), 6) >= 10.83),
+ u AS (SELECT DISTINCT doc_id FROM w WHERE word IN (SELECT word FROM f))
+SELECT d.doc_id, u.doc_id IS NOT NULL AS flag FROM documents d LEFT JOIN u ON d.doc_id = u.doc_id""")
+def rule_foreign_words(spark, sf):
+    """Foreign words by statistics of the corpus, accented or not."""
+    d = table(spark, sf, "documents")
+    ids = C.rule_foreign_ids(d, "doc_id", "text", "lang").withColumn("_f", F.lit(True))
+    return d.select("doc_id").join(ids, "doc_id", "left").select("doc_id", F.col("_f").isNotNull().alias("flag"))
+
+
 @register("rule_unusual_names", sql="WITH " + UNUSUAL_SQL + """
 SELECT d.doc_id, u.doc_id IS NOT NULL AS flag FROM documents d LEFT JOIN unusual u ON d.doc_id = u.doc_id""")
 def rule_unusual_names(spark, sf):

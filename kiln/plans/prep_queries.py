@@ -257,3 +257,17 @@ def pad_left(spark, sf):
           "\nSELECT batch, count(*) AS n, max(padded_len) AS padded_len FROM pf GROUP BY batch")
 def collate_batches(spark, sf):
     return P.collate_batches(padded(spark, sf, "right", None))
+
+
+@register("stack_batches", sql=_batches_sql("right", None) + """
+SELECT batch, count(*) AS n, max(padded_len) AS padded_len, string_agg(input_ids, '|' ORDER BY conv_id, turn) AS input_ids,
+       string_agg(attention_mask, '|' ORDER BY conv_id, turn) AS attention_mask,
+       string_agg(CASE WHEN role = 'assistant' THEN '1' ELSE '0' END, '|' ORDER BY conv_id, turn) AS labels
+FROM pf JOIN conversations USING (conv_id, turn) GROUP BY batch""")
+def stack_batches(spark, sf):
+    """Whole batches with a label a row: whether the assistant speaks."""
+    roles = table(spark, sf, "conversations").select("conv_id", "turn", (F.col("role") == "assistant").cast("int").alias("label"))
+    b = P.stack_batches(padded(spark, sf, "right", None).join(roles, ["conv_id", "turn"]), ["conv_id", "turn"], "label")
+    text = lambda c: F.array_join(F.transform(c, lambda r: F.array_join(r.cast("array<string>"), ",")), "|")
+    return b.select("batch", "n", "padded_len", text("input_ids").alias("input_ids"), text("attention_mask").alias("attention_mask"),
+                    F.array_join(F.col("labels").cast("array<string>"), "|").alias("labels"))

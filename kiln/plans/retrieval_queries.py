@@ -228,6 +228,16 @@ def knn_join(spark, sf):
     return r.select("query_id", "rank", "vec_id", _d6(F.col("distance")).alias("distance"))
 
 
+@register("knn_lsh")
+def knn_lsh(spark, sf):
+    """Approximate search for every vector whose id is divisible by 50, against
+    all vectors; the tests measure its recall against ``knn_join``."""
+    e = table(spark, sf, "embeddings")
+    asked = e.where(F.pmod("vec_id", F.lit(50)) == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    r = R.knn_lsh(asked, e, K_TOP, query_id="query_id", id_col="vec_id")
+    return r.select("query_id", "rank", "vec_id", _d6(F.col("distance")).alias("distance"))
+
+
 # ---- retrieval-augmented answers over documents ------------------------------------
 
 def doc_collection(spark, sf):

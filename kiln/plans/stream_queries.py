@@ -17,10 +17,13 @@ from ..operators import curation as C
 from ..operators import model as M
 from ..operators import prep as P
 from ..session import scratch_path
+from ..sources import arrays as A
 from ..sources import files as S
+from ..streaming import names as N
+from ..streaming import predictions as PR
 from ..streaming import streams as ST
 from ..tables import table
-from .curation_queries import (CURATED_ROWS_SQL, RECORD, _stats_sql, curated, documents_as_records, flagged, has_names_sql,
+from .curation_queries import (CURATED_ROWS_SQL, RECORD, UNUSUAL_SQL, _stats_sql, curated, documents_as_records, flagged, has_names_sql,
                                has_numbers_sql, strip_sql)
 from .registry import q, register
 
@@ -32,10 +35,9 @@ def _paths(spark, name):
 
 # ---- streams ----------------------------------------------------------------------
 
-@register("stream_classify", sql=f"""
-SELECT doc_id, {has_numbers_sql('text')} AS llm_has_numbers,
-       regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english, {has_names_sql('text')} AS llm_has_unusual_proper_nouns
-FROM documents""")
+@register("stream_classify", sql="WITH " + UNUSUAL_SQL + f"""
+SELECT d.doc_id, {has_numbers_sql('d.text')} AS llm_has_numbers, regexp_matches(d.text, {q(C.NON_ENGLISH_PATTERN)}) AS llm_has_non_english,
+       u.doc_id IS NOT NULL AS llm_has_unusual_proper_nouns FROM documents d LEFT JOIN unusual u ON d.doc_id = u.doc_id""")
 def stream_classify(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-classify")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
@@ -45,7 +47,20 @@ def stream_classify(spark, sf):
     ST.stream_classify(spark, src, schema, out, ckpt)
     d.where(~first).write.mode("append").parquet(src)  # second arrival (all the rest), then restart
     ST.stream_classify(spark, src, schema, out, ckpt)
-    return spark.read.parquet(out)
+    return ST.read_classified(spark, out, schema["doc_id"])
+
+
+@register("stream_rare_names", sql="WITH " + UNUSUAL_SQL + """
+SELECT d.doc_id, u.doc_id IS NOT NULL AS flag FROM documents d LEFT JOIN unusual u ON d.doc_id = u.doc_id""")
+def stream_rare_names(spark, sf):
+    """Five arrivals, a run each: words become common and take flags back."""
+    _, src, out, ckpt = _paths(spark, "stream-names")
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    for i in range(5):
+        d.where(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == i).write.mode("append").parquet(src)
+        N.stream_rare_names(spark, src, d.schema, out, ckpt)
+    ids = N.rare_name_ids(spark, out, d.schema["doc_id"]).withColumn("_u", F.lit(True))
+    return d.select("doc_id").join(ids, "doc_id", "left").select("doc_id", F.col("_u").isNotNull().alias("flag"))
 
 
 @register("stream_prevalence", sql=f"""
@@ -97,6 +112,19 @@ def scan_json_questions(spark, sf):
     return r.select("category", "question", "show_number", "air_date")
 
 
+@register("scan_json_array", sql=f"""
+SELECT {strip_sql('source')} AS category, {strip_sql('text')} AS question, lang AS show_number, '' AS air_date
+FROM documents""")
+def scan_json_array(spark, sf):
+    """Few large arrays, each read by several tasks in ranges of bytes."""
+    _, src, _, _ = _paths(spark, "questions-array")
+    d = table(spark, sf, "documents")
+    one = F.struct(F.col("source").alias("category"), F.col("text").alias("question"), F.col("lang").alias("show_number"))
+    S.write_json_arrays(d.select(F.to_json(one).alias("value")), src, max_rows=10_000_000, max_bytes=256 << 20)
+    r = C.clean_records(A.read_array(spark, src, S.QUESTION_SCHEMA))
+    return r.select("category", "question", "show_number", "air_date")
+
+
 @register("scan_csv_claims", sql=f"""
 SELECT c_custkey AS id, {q(P.CLAIM_PROMPT + ' ' + P.ATTRIBUTES_LEAD)} || 'c_nationkey: '
        || coalesce(CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR), 'NaN') || ', c_acctbal: '
@@ -110,14 +138,22 @@ def scan_csv_claims(spark, sf):
     return P.row_to_text(train, "id", "target").withColumn("id", F.col("id").cast("long"))
 
 
-@register("scan_binary_docs", sql="SELECT page_id % 16 AS file, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS length FROM pages GROUP BY 1")
+BINARY_FILE_BYTES = 4 << 20
+
+
+@register("scan_binary_docs", sql=f"""
+WITH n AS (SELECT CAST(coalesce(sum(octet_length(encode(html)) + 1), 0) // {BINARY_FILE_BYTES} + 1 AS BIGINT) AS files FROM pages),
+ f AS (SELECT page_id % files AS file, string_agg(html || chr(10), '' ORDER BY page_id) AS content FROM pages, n GROUP BY 1)
+SELECT file, CAST(octet_length(encode(content)) AS BIGINT) AS length, sha256(content) AS sha256 FROM f""")
 def scan_binary_docs(spark, sf):
-    """A few files of many pages each, read back as bytes."""
+    """Files of many pages each, about ``BINARY_FILE_BYTES`` large however many
+    pages there are, read back as bytes: a row a file with its digest."""
     _, src, _, _ = _paths(spark, "pages-bin")
-    p = table(spark, sf, "pages").select(F.pmod("page_id", F.lit(16)).alias("file"), "html")
-    p.repartition("file").write.partitionBy("file").text(src)
-    b = S.read_binary_docs(spark, src)
-    return b.groupBy(F.col("file").cast("long").alias("file")).agg(F.sum("length").alias("length"))
+    p = table(spark, sf, "pages").select("page_id", "html")
+    n = (p.agg(F.sum(F.octet_length("html") + 1)).first()[0] or 0) // BINARY_FILE_BYTES + 1
+    files = p.withColumn("file", F.pmod("page_id", F.lit(n))).repartition("file").sortWithinPartitions("file", "page_id")
+    files.select("file", "html").write.partitionBy("file").text(src)
+    return S.read_binary_docs(spark, src).select(F.col("file").cast("long").alias("file"), "length", F.sha2("content", 256).alias("sha256"))
 
 
 @register("sink_curated_json", sql=CURATED_ROWS_SQL)
@@ -162,6 +198,17 @@ def classify_with_model(spark, sf):
     return M.classify_with_model(documents_as_records(spark, sf), "doc_id").drop("error")
 
 
+@register("stream_predictions", sql=MODEL_SQL)
+def stream_predictions(spark, sf):
+    """Records in two arrivals, a run of the model stream each."""
+    base, src, out, ckpt = _paths(spark, "stream-model")
+    recs = documents_as_records(spark, sf).select("doc_id", "category", "question", "answer")
+    for i in range(2):
+        recs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == i).write.mode("append").parquet(src)
+        PR.stream_predictions(spark, src, recs.schema, out, os.path.join(base, "retry"), ckpt)
+    return PR.read_predictions(spark, out, recs.schema).drop("error")
+
+
 @register("classify_resume", sql=MODEL_SQL)
 def classify_resume(spark, sf):
     _, _, out, _ = _paths(spark, "predictions")

@@ -105,10 +105,10 @@ def test_stream_restart_processes_only_new_files(spark):
     d = spark.createDataFrame([(i, f"text {i}" if i % 3 else "plain") for i in range(20)], "doc_id long, text string")
     d.where("doc_id < 10").write.parquet(src)
     ST.stream_classify(spark, src, d.schema, out, ckpt)
-    assert spark.read.parquet(out).count() == 10
+    assert ST.read_classified(spark, out, d.schema["doc_id"]).count() == 10
     d.where("doc_id >= 10").write.mode("append").parquet(src)
     ST.stream_classify(spark, src, d.schema, out, ckpt)
-    res = spark.read.parquet(out)
+    res = ST.read_classified(spark, out, d.schema["doc_id"])
     assert res.count() == 20 and res.select("doc_id").distinct().count() == 20
 
 

@@ -37,7 +37,8 @@ def con():
 
 def test_every_query_has_a_check():
     own = E._registry()
-    assert sorted(own.QUERIES) == sorted(own.ORACLE)
+    assert set(own.QUERIES) - set(own.ORACLE) == {"knn_lsh"}  # approximate: see the recall tests
+    assert set(own.ORACLE) <= set(own.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(E._registry().ORACLE))

@@ -21,6 +21,23 @@ def test_cut_rows_are_those_of_the_order(spark):
     assert n == 300 and cuts == [ordered[0], ordered[149], ordered[299], None, None]
 
 
+def test_radix_selection_narrows_until_few_rows_are_left(spark, monkeypatch):
+    """With three bits a pass the same rows; what is sorted stays small."""
+    df = spark.range(400).withColumnRenamed("id", "count").repartition(3)
+    ordered = sorted(map(tuple, df.select(P._order_value(3, ["count"]).alias("u"), "count").collect()))
+    monkeypatch.setattr(P, "DIGIT_BITS", 3)
+    for most in (1, 5, 1000):
+        monkeypatch.setattr(P, "SORTED_ROWS", most)
+        n, cuts = P.cut_rows(df, ["count"], 3, lambda m: [1, 7, 7, 200, 399, 400])
+        assert n == 400 and cuts == [ordered[i - 1] for i in (1, 7, 7, 200, 399, 400)]
+    # a key that very many rows repeat is counted, not sorted
+    many = df.withColumn("count", F.when(F.col("count") < 300, F.lit(5)).otherwise(F.col("count")))
+    monkeypatch.setattr(P, "SORTED_ROWS", 10)
+    ordered = sorted(map(tuple, many.select(P._order_value(3, ["count"]).alias("u"), "count").collect()))
+    _, cuts = P.cut_rows(many, ["count"], 3, lambda m: list(range(1, 401, 57)))
+    assert cuts == [ordered[i - 1] for i in range(1, 401, 57)]
+
+
 def test_split_of_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None,)] * 3 + [(i % 20,) for i in range(40)], "rid long")
     s = P.assign_split(df, ["rid"], 42, 0.3)

@@ -1,9 +1,15 @@
 """Context budget cases (FIXTURES 1.4), nearest-neighbour paths, chat."""
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kiln.operators import collection, nearest
 from kiln.operators import retrieval as R
+from kiln.operators.nearest import PivotTree
+from kiln.session import materialize
 
 RES = "query_id string, rank int, type string, page int, distance double, document string"
 
@@ -82,12 +88,59 @@ def test_zero_and_equal_vectors(spark, parts):
 
 
 def test_far_cells_are_skipped():
-    centres = np.eye(8)
-    close = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-    visit = R.cells_to_visit(close, np.full(8, 0.2), np.full(8, 100), 5)
-    assert visit.sum() == 8 and visit.diagonal().all()
-    # a cell too small for k brings in others
-    assert R.cells_to_visit(close, np.full(8, 0.2), np.full(8, 2), 5).sum() > 8
+    tree = PivotTree(np.eye(8))
+    tree.fill(np.full(8, 100), np.full(8, 0.2))
+    assert [tree.visits(v[None], 5).tolist() for v in np.eye(8)] == [[i] for i in range(8)]
+    assert sorted(tree.visits(np.eye(8)[2:5], 5)) == [2, 3, 4]
+    # a cell too small for k brings in others, an empty one is never visited
+    tree = PivotTree(np.eye(8))
+    tree.fill(np.array([2, 2, 2, 2, 2, 2, 2, 0]), np.full(8, 0.2))
+    assert set(tree.visits(np.eye(8)[:1], 5)) == set(range(7))
+
+
+def test_tree_visits_hold_the_nearest():
+    """Whatever the cells, all true neighbours lie in visited ones."""
+    rng = np.random.default_rng(9)
+    for n, leaves in ((300, 40), (300, 1), (50, 50)):
+        units = rng.normal(size=(n, 6)) * rng.uniform(0.1, 1, (n, 1)) + np.eye(6)[rng.integers(0, 6, n)]
+        units /= np.linalg.norm(units, axis=1)[:, None]
+        tree = PivotTree(units[:leaves])
+        leaf, far = tree.nearest(units)
+        radius = np.zeros(leaves)
+        np.maximum.at(radius, leaf, far)
+        tree.fill(np.bincount(leaf, minlength=leaves), radius)
+        for q in units[::7]:
+            near = np.argsort(1 - units @ q, kind="stable")[:4]
+            assert set(leaf[near]) <= set(tree.visits(q[None], 4))
+
+
+def test_members_move_to_visiting_blocks_only(spark):
+    """Well-parted clusters: each block visits its own cluster's cells, and the
+    rows exchanged grow with these pairs."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.eye(16)[i % 16] + rng.normal(size=16) * 0.01).tolist()) for i in range(1600)]
+    coll = spark.createDataFrame(rows, "id long, embedding array<double>")
+    with_pairs = []
+
+    def keep(df, name):
+        out = materialize(df, name)
+        with_pairs.append((name, out))
+        return out
+
+    nearest.materialize, before = keep, nearest.materialize
+    try:
+        found = nearest.knn_join(coll.withColumnRenamed("id", "query_id"), coll, 3, cells=64, block_rows=50)
+    finally:
+        nearest.materialize = before
+    assert found.count() == 4800
+    by_name = dict(with_pairs)
+    pairs = by_name["visits"].count()
+    members = by_name["cells"].groupBy("cell").count()
+    moved = by_name["visits"].where("part = 0").join(members, "cell").agg(F.sum("count")).first()[0]
+    every = by_name["visits"].select("block_cell", "block").distinct().count() * 1600
+    assert pairs == by_name["visits"].distinct().count() and moved < every / 8
+    plan = found._jdf.queryExecution().toString()
+    assert "Generate explode" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_knn_topk_plan_is_take_ordered(spark):
@@ -135,6 +188,75 @@ def test_stored_collection(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(type" in only._jdf.queryExecution().executedPlan().toString() and only.count() == 1
 
 
+def _vector(i, document="d", kind="text", page=1):
+    return (i, [1.0], document, page, "s", None, kind)
+
+
+def test_an_id_twice_in_one_call_is_stored_once(spark, tmp_path):
+    path = str(tmp_path / "coll")
+    given = spark.createDataFrame([_vector("a", "second"), _vector("a", "first"), _vector("b"), _vector("b", kind="image"), _vector("a", None)], R.COLLECTION).repartition(3)
+    stored = {r.id: (r.document, r.type) for r in R.add_to_collection(given, path).collect()}
+    assert stored == {"a": (None, "text"), "b": ("d", "image")}
+    # what is stored stays
+    again = R.add_to_collection(spark.createDataFrame([_vector("a", "later"), _vector("c")], R.COLLECTION), path)
+    assert sorted((r.id, r.document) for r in again.collect()) == [("a", None), ("b", "d"), ("c", "d")]
+
+
+def test_two_writers_at_once(spark, tmp_path, monkeypatch):
+    """A commit that meets a taken number is taken up again on the new snapshot."""
+    path, commit, calls = str(tmp_path / "coll"), collection._Snapshots.commit, []
+
+    def late(self, number, parts):
+        calls.append(number)
+        if len(calls) == 1:  # another writer is faster
+            R.add_to_collection(spark.createDataFrame([_vector("a", "other"), _vector("x")], R.COLLECTION), path)
+        return commit(self, number, parts)
+
+    monkeypatch.setattr(collection._Snapshots, "commit", late)
+    found = R.add_to_collection(spark.createDataFrame([_vector("a", "mine"), _vector("y")], R.COLLECTION), path)
+    assert sorted((r.id, r.document) for r in found.collect()) == [("a", "other"), ("x", "d"), ("y", "d")]
+    assert calls == [1, 1, 2] and len(os.listdir(f"{path}/data")) == 2
+
+
+def test_writers_in_threads(spark, tmp_path):
+    path = str(tmp_path / "coll")
+    frames = [spark.createDataFrame([_vector(f"v{j}", f"w{i}") for j in range(i, i + 4)], R.COLLECTION) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda f: R.add_to_collection(f, path), frames))
+    ids = [r.id for r in R.read_collection(spark, path).collect()]
+    assert sorted(ids) == sorted({f"v{j}" for j in range(7)})
+
+
+def test_a_dead_writer_leaves_nothing_to_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "coll")
+    R.add_to_collection(spark.createDataFrame([_vector("a")], R.COLLECTION), path)
+
+    def dies(self, number, parts):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(collection._Snapshots, "commit", dies)
+        with pytest.raises(KeyboardInterrupt):
+            R.add_to_collection(spark.createDataFrame([_vector("b")], R.COLLECTION), path)
+    assert [r.id for r in R.read_collection(spark, path).collect()] == ["a"]
+    assert R.add_to_collection(spark.createDataFrame([_vector("b")], R.COLLECTION), path).count() == 2
+
+
+def test_lsh_recall(spark):
+    """At least nine tenths of the exact nearest, with split buckets."""
+    rng = np.random.default_rng(7)
+    rows = [(i, (np.eye(24)[i % 24] * rng.uniform(1, 3) + rng.normal(size=24) * 0.25).tolist()) for i in range(3000)]
+    rows += [(5000 + i, rows[3][1]) for i in range(500)] + [(9000, [0.0] * 24), (9001, None)]
+    coll = spark.createDataFrame(rows, "id long, embedding array<double>")
+    qs = coll.where("id % 50 = 0").withColumnRenamed("id", "query_id")
+    exact = {(r.query_id, r.id) for r in R.knn_join(qs, coll, 10).collect()}
+    for block_rows in (4096, 40):
+        found = nearest.knn_lsh(qs, coll, 10, block_rows=block_rows).collect()
+        assert len({(r.query_id, r["rank"]) for r in found}) == len(found)
+        assert len(exact & {(r.query_id, r.id) for r in found}) >= 0.9 * len(exact) and len(found) <= len(exact)
+    assert nearest.knn_lsh(qs, coll.limit(0), 3).count() == 0
+
+
 def test_pluggable_encoder_and_generator(spark):
     def encoder(df, id_col, text_col):
         return df.withColumn("embedding", F.array(F.length(text_col).cast("float"), F.lit(1.0).cast("float")))

@@ -49,6 +49,18 @@ def test_each_pattern_runs_once_a_text(spark):
     assert not [line for line in plan.splitlines() if "Filter" in line and "regexp" in line] and "lambda" not in plan
 
 
+def test_foreign_words_need_no_accents(spark):
+    """Unaccented French, German and Spanish is found, English is left alone."""
+    rng = random.Random(8)
+    words = {"en": "the and of house water with from which".split(), "fr": "les avec dans pour maison eau vous sont".split(),
+             "de": "und der haus wasser mit von nicht sind".split(), "es": "los con casa agua para desde pero muy".split()}
+    rows = [(i, " ".join(rng.choices(words[lang], k=6)) + " taxi", lang) for i, lang in enumerate(["en", "fr", "de", "es"] * 60)]
+    rows += [(900, "avec les", None), (901, "the taxi", None), (902, None, "fr"), (903, "", "en"), (904, "AVEC!", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id for r in C.rule_foreign_ids(df, "doc_id", "text", "lang").collect()}
+    assert found == {i for i, _, lang in rows[:240] if lang != "en"} | {900, 904}
+
+
 def test_number_words_by_hand(spark):
     cases = {"one": True, "One day": True, "eleven": True, "onerous": False, "someone": False, "siebzehn": True, "une": False, "7": True, "tone": False, "": False, "dix-sept": True, "a hundred": True}
     df = spark.createDataFrame([(t, want) for t, want in cases.items()], "t string, want boolean")
