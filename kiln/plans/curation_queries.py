@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.json_flags import FALLBACK_PATTERN, STRICT_PATTERN
 from ..functions.text import STRIP_PATTERN
 from ..operators import curation as C
+from ..session import scratch_path
 from ..tables import table
 from .registry import q, register
 
@@ -191,6 +192,18 @@ def profile(spark, sf):
     return C.profile(d, category="source", show="lang")
 
 
+@register("profile_sketched", sql="""
+SELECT count(*) AS total_questions, count(DISTINCT source) AS unique_categories,
+       count(DISTINCT coalesce(lang, '')) AS unique_shows FROM documents""")
+def profile_sketched(spark, sf):
+    """The profile from sketches of four slices, merged; few distinct values,
+    of which the sketches are exact."""
+    d, path = table(spark, sf, "documents"), scratch_path(spark, "profile")
+    for i in range(4):
+        C.store_profile(d.where(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == i), path, str(i), "source", "lang")
+    return C.sketched_profile(spark, path)
+
+
 @register("profile_flags", sql=FLAGGED_CTE + """
 SELECT count(*) FILTER (WHERE llm_has_numbers) AS has_numbers,
        count(*) FILTER (WHERE llm_has_non_english) AS has_non_english,

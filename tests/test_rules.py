@@ -86,3 +86,17 @@ def test_statistics_without_a_valid_prediction(spark, tmp_path):
 def test_distance_without_a_direction_is_null(spark):
     df = spark.createDataFrame([([1.0, 0.0], [0.0, 2.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0, 1.0]), ([3.0, 0.0], [2.0, 0.0])], "a array<float>, b array<float>")
     assert [r[0] for r in df.select(cosine_distance(F.col("a"), F.col("b"))).collect()] == [1.0, None, None, 0.0]
+
+
+def test_a_new_slice_updates_the_sketched_profile_alone(spark, tmp_path):
+    path = str(tmp_path / "profile")
+    rows = lambda a, b: spark.range(a, b).selectExpr("concat('c', id % 90000) AS category", "id % 7 AS show")
+    C.store_profile(rows(0, 60_000), path, "a", "category", "show")
+    (one,) = C.sketched_profile(spark, path).collect()
+    C.store_profile(rows(30_000, 120_000), path, "b", "category", "show")
+    C.store_profile(rows(30_000, 120_000), path, "b", "category", "show")  # again: it replaces itself
+    (both,) = C.sketched_profile(spark, path).collect()
+    assert (one.total_questions, one.unique_shows, both.total_questions, both.unique_shows) == (60_000, 7, 150_000, 7)
+    assert abs(one.unique_categories - 60_000) <= 0.025 * 60_000 and abs(both.unique_categories - 90_000) <= 0.025 * 90_000  # three standard errors
+    C.store_profile(rows(0, 0), path, "empty", "category", "show")
+    assert C.sketched_profile(spark, path).collect() == [both]
