@@ -24,6 +24,11 @@ n-gram is one entry a block, whatever its count.  The number of buckets grows
 with the corpus; once a block has fewer n-grams than there are buckets, a row
 holds about one n-gram and the exchange is that of a plain table of n-grams.
 
+Blocks are cut in two scans of the input that must agree.  An input that comes
+from a shuffle, whose partitions Spark may merge differently each time, is
+written first; and every block's count rows carry a mark of its words, which
+must be that of the texts they meet, else the job fails.
+
 Defined results: a document without words (empty or null text) has
 ``n_words`` 0 and score 0; repeated rows are each scored against the others,
 so they know each other's n-grams; an empty table gives no rows; columns
@@ -71,6 +76,12 @@ class _Words:
             at = begins[self.sizes[self.sizes > 0] > j] + j
             self.before[at] = j
 
+    def mark(self) -> int:
+        """A number that other texts or another order of them would change."""
+        places = np.arange(1, len(self.words) + 1, dtype=np.uint64)
+        sizes = mix(self.sizes.astype(np.uint64) + np.arange(len(self.sizes), dtype=np.uint64) * _PLACE[0])
+        return int((mix(self.words ^ places).sum(dtype=np.uint64) ^ sizes.sum(dtype=np.uint64)).view(np.int64))
+
     def ends(self, k: int) -> np.ndarray:
         """The places of the words that end a k-gram."""
         return np.flatnonzero(self.before >= k - 1)
@@ -151,10 +162,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tup
 
 
 def _tables(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
-    """``bucket, block, grams, counts``: each block's part of each bucket."""
+    """``bucket, block, mark, grams, counts``: each block's part of each bucket."""
     def counted(batches):
         for block, held in _blocks(batches, block_bytes):
             words = _Words([h.column("text") for h in held])
+            mark = words.mark()
             for k in range(1, ORDER + 1):
                 keys = words.grams(k)
                 keys.sort()
@@ -165,11 +177,11 @@ def _tables(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
                 for lo in range(0, len(some), 64):
                     own = some[lo:lo + 64].tolist()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([(k - 1 << bits) + b for b in own], pa.int64()), pa.array([block] * len(own), pa.int64()),
+                        [pa.array([(k - 1 << bits) + b for b in own], pa.int64()), pa.array([block] * len(own), pa.int64()), pa.array([mark] * len(own), pa.int64()),
                          pa.array([_packed(keys[edges[b]:edges[b + 1]]) for b in own], pa.binary()), pa.array([_counts(n[edges[b]:edges[b + 1]]) for b in own], pa.binary())],
-                        ["bucket", "block", "grams", "counts"])
+                        ["bucket", "block", "mark", "grams", "counts"])
 
-    return docs.mapInArrow(counted, "bucket long, block long, grams binary, counts binary")
+    return docs.mapInArrow(counted, "bucket long, block long, mark long, grams binary, counts binary")
 
 
 def _totals(table: pa.Table) -> pa.Table:
@@ -182,7 +194,8 @@ def _totals(table: pa.Table) -> pa.Table:
     np.add.at(total, at, own)
     others = np.split(total[at] - own, np.cumsum([len(k) for k in keys])[:-1])
     kept = [i for i, o in enumerate(others) if o.any()]
-    return pa.table({"block": table.column("block").take(pa.array(kept, pa.int64())), "bucket": table.column("bucket").take(pa.array(kept, pa.int64())),
+    of_kept = {c: table.column(c).take(pa.array(kept, pa.int64())) for c in ("block", "mark", "bucket")}
+    return pa.table({**of_kept,
                      "others": pa.array([_counts(others[i]) for i in kept], pa.binary())})
 
 
@@ -204,6 +217,8 @@ def _texts(docs: DataFrame, block_bytes: int) -> DataFrame:
 def _scored(texts: pa.Table, others: pa.Table, bits: int) -> pa.Table:
     held = [b for x in texts.column("rows") for b in pa.ipc.open_stream(x.as_buffer())]
     words = _Words([h.column("text") for h in held])
+    if others.num_rows and set(others.column("mark").to_pylist()) != {words.mark()}:
+        raise RuntimeError("two scans of the documents gave different blocks; write the documents before scoring them")
     known = {b: x.as_buffer() for b, x in zip(others.column("bucket").to_pylist(), others.column("others"))}
     n = len(words.words)
     # by order, of the n-gram that ends at each word, without its document's own
@@ -246,10 +261,12 @@ def backoff_scores(docs: DataFrame, block_bytes: int = 12 << 20) -> DataFrame:
     words scored at each order), ``score_micro`` (the sum of the logarithms in
     millionths) and ``score`` (their mean a word)."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    if "Exchange" in texts._jdf.queryExecution().executedPlan().toString():
+        texts = materialize(texts, "scored-texts")
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = max(1.0, n_bytes * WORDS_A_BYTE * ORDER / 2 / BUCKET_ENTRIES)
     bits = max(0, int(np.ceil(np.log2(entries))))
-    totals = _tables(texts, bits, block_bytes).groupBy("bucket").applyInArrow(_totals, "block long, bucket long, others binary")
+    totals = _tables(texts, bits, block_bytes).groupBy("bucket").applyInArrow(_totals, "block long, mark long, bucket long, others binary")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         return _scored(left, right, bits)

@@ -204,6 +204,31 @@ def test_scores(spark, block_bytes):
     assert backoff_scores(docs.limit(0)).count() == 0
 
 
+def test_scores_of_input_from_a_shuffle(spark):
+    """Its partitions may be merged differently in each scan."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    docs = spark.createDataFrame([(i % 300, texts[i % 300]) for i in range(600)], "doc_id long, text string").distinct()
+    found = {r.doc_id: tuple(r)[1:7] for r in backoff_scores(docs, 300).collect()}
+    assert all(found[i][:5] == e[:5] and abs(found[i][5] - e[5]) <= 2 for i, e in enumerate(brute_scores(texts)))
+
+
+def test_blocks_that_do_not_agree_are_an_error():
+    from kiln.llm import lm_scoring as L
+    words = lambda texts: L._Words([pa.array(texts, pa.string())])
+    marks = [words(t).mark() for t in (["a b", "c"], ["c", "a b"], ["a", "b c"], ["a b c"], ["a b", "c", ""], ["a b"], [])]
+    assert len(set(marks)) == len(marks) and words(["a b", "c"]).mark() == marks[0]
+    sink = pa.BufferOutputStream()
+    batch = pa.record_batch({"doc_id": pa.array([1], pa.int64()), "text": ["a b"]})
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    texts = pa.table({"block": [0], "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+    others = lambda mark: pa.table({"block": [0], "mark": [mark], "bucket": [0], "others": pa.array([L._counts(np.array([1, 1]))], pa.binary())})
+    assert L._scored(texts, others(words(["a b"]).mark()), 0).num_rows == 1
+    with pytest.raises(RuntimeError, match="different blocks"):
+        L._scored(texts, others(3), 0)
+
+
 def test_packed_keys():
     rng = np.random.default_rng(3)
     for n in (1, 2, 1000):
@@ -257,5 +282,5 @@ def test_counts_beyond_32_bits():
     n = np.array([1, 2 ** 32 - 1, 2 ** 32 + 5, 2 ** 53 + 1])
     assert _uncounted(_counts(n)).tolist() == n.tolist()
     keys, big = np.array([3, 9], np.uint64), 3 * 10 ** 9
-    rows = pa.table({"bucket": [0] * 3, "block": [0, 1, 2], "grams": pa.array([_packed(keys)] * 3, pa.binary()), "counts": pa.array([_counts(np.array([big, 1]))] * 3, pa.binary())})
+    rows = pa.table({"bucket": [0] * 3, "block": [0, 1, 2], "mark": [5, 6, 7], "grams": pa.array([_packed(keys)] * 3, pa.binary()), "counts": pa.array([_counts(np.array([big, 1]))] * 3, pa.binary())})
     assert [_uncounted(x.as_buffer()).tolist() for x in _totals(rows).column("others")] == [[2 * big, 2]] * 3
