@@ -143,6 +143,31 @@ def embed_text_hash(df: DataFrame, id_col: str, text_col: str, dims: int = 64) -
 # Collection (id, embedding, document, metadata)
 # --------------------------------------------------------------------------
 
+def embed_with(df: DataFrame, value_col: str, encode: Callable[[list], Sequence], batch_size: int = 64, out: str = "embedding") -> DataFrame:
+    """Adds ``out``: the vectors a caller's encoder gives for texts, or for the
+    bytes of images (``read_labelled_images``, ``binaryFile``).  It is called
+    with at most ``batch_size`` values at a time; a null value has a null
+    vector and is not handed over.  Other columns are kept."""
+    kind = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
+
+    def run(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, batch_size):
+                b = whole.slice(lo, batch_size)
+                values = b.column(value_col).to_pylist()
+                given = [i for i, v in enumerate(values) if v is not None]
+                vectors: list = [None] * len(values)
+                if given:
+                    found = list(encode([values[i] for i in given]))
+                    if len(found) != len(given):
+                        raise ValueError(f"{len(found)} vectors for {len(given)} values")
+                    for i, v in zip(given, found):
+                        vectors[i] = [float(x) for x in v]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(vectors, pa.list_(pa.float32()))], [*b.schema.names, out])
+
+    return df.mapInArrow(run, kind)
+
+
 def make_vector_id(prefix: str, index: Column, source: Column) -> Column:
     """``prefix_index_hash`` with the md5 of source, index and prefix, parted
     by ``|``: stable across processes, and different for every source."""

@@ -140,6 +140,19 @@ def test_labelled_images(spark, tmp_path):
     (tmp_path / "dog" / "bad.png").write_bytes(b"no image")
     rows = S.read_labelled_images(spark, str(tmp_path)).collect()
     assert sorted((r.label, r.height, r.width) for r in rows) == [("cat", 1, 2), ("dog", 1, 2)]
+    # the image side of the embedding step: a caller's encoder on the pixels
+    sizes = []
+
+    def encode(images):
+        sizes.append(len(images))
+        return [[len(i), sum(i)] for i in images]
+
+    from kiln.operators import retrieval as R
+    found = R.embed_with(S.read_labelled_images(spark, str(tmp_path)), "data", encode, batch_size=1)
+    images = R.image_vectors(found.withColumn("i", F.lit(0)).withColumn("page", F.lit(1)), "i", "origin", "page", "i", "embedding")
+    assert sorted(tuple(r.embedding) for r in images.collect()) == [(6.0, 0.0), (6.0, 0.0)]
+    texts = spark.createDataFrame([("abc", 1), (None, 2)], "text string, n int")
+    assert sorted(map(repr, R.embed_with(texts, "text", lambda ts: [[len(t)] for t in ts]).collect())) == ["Row(text='abc', n=1, embedding=[3.0])", "Row(text=None, n=2, embedding=None)"]
 
 
 def test_number_words_of_four_languages(spark):
