@@ -144,15 +144,17 @@ def key_counts(labelled: DataFrame) -> DataFrame:
             counts.clear()
 
         for batch in batches:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                for words in _words(text or ""):
-                    counts.setdefault((lang, False), Counter()).update(map(_key, words))
-                    for word in words:
-                        if len(word) > LONGEST_KEY:
-                            for n in range(1, LONGEST + 1):
-                                counts.setdefault((lang, True), Counter()).update(g for g in _grams(word, n) if g not in ("^", "$"))
-                if sum(map(len, counts.values())) > 300_000:
-                    yield from flush()
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
+                    for words in _words(text or ""):
+                        counts.setdefault((lang, False), Counter()).update(map(_key, words))
+                        for word in words:
+                            if len(word) > LONGEST_KEY:
+                                for n in range(1, LONGEST + 1):
+                                    counts.setdefault((lang, True), Counter()).update(g for g in _grams(word, n) if g not in ("^", "$"))
+                    if sum(map(len, counts.values())) > 100_000:
+                        yield from flush()
         yield from flush()
 
     return (labelled.select("text", "lang").mapInArrow(counted, "lang string, key string, n long, gram boolean")
@@ -164,11 +166,11 @@ SALTS = 64
 
 
 def _frequencies(counts: DataFrame, languages: list[str], most: int) -> tuple[dict[str, int], np.ndarray]:
-    """Of ``lang, key, n`` each language's most frequent keys, an equal share
-    of ``most``, and their smoothed log-frequencies; only they reach the driver."""
+    """Of ``lang, key, n`` (written) each language's most frequent keys, an
+    equal share of ``most``, and their smoothed log-frequencies; only they
+    reach the driver."""
     if not languages:
         return {}, np.zeros((0, 0))
-    counts = materialize(counts, "key-counts")
     share, order = max(1, most // len(languages)), [F.col("n").desc(), F.col("key").asc()]
     salted = counts.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
     best = salted.withColumn("place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("place") <= share)
@@ -200,7 +202,7 @@ def learn(labelled: DataFrame, max_documents: int = 50_000, max_words: int = 50_
     grams = [F.transform(F.sequence(F.lit(1), length - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n))) for n in range(1, LONGEST + 1)]
     grams = [F.when(length >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(grams, 1)]
     of_words = counts.filter("NOT gram AND key NOT LIKE '#%'").select("lang", "n", F.explode(F.flatten(F.array(*grams))).alias("key")).filter(~F.col("key").isin("^", "$"))
-    gram_counts = of_words.unionByName(counts.filter("gram").select("lang", "n", "key")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    gram_counts = materialize(of_words.unionByName(counts.filter("gram").select("lang", "n", "key")).groupBy("lang", "key").agg(F.sum("n").alias("n")), "gram-counts")
     usual = min(languages, key=lambda lang: (-rows[lang], lang), default=UNKNOWN)
     return Model(languages, *_frequencies(counts.filter("NOT gram").select("lang", "key", "n"), languages, max_words), *_frequencies(gram_counts, languages, max_grams), usual)
 
