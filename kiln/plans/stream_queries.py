@@ -63,12 +63,13 @@ def stream_rare_names(spark, sf):
     return d.select("doc_id").join(ids, "doc_id", "left").select("doc_id", F.col("_u").isNotNull().alias("flag"))
 
 
-@register("stream_prevalence", sql=f"""
-WITH v AS (SELECT d.text, l.doc_id IS NOT NULL AS ok FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id)
+@register("stream_prevalence", sql="WITH " + UNUSUAL_SQL + f""",
+ v AS (SELECT d.text, l.doc_id IS NOT NULL AS ok, u.doc_id IS NOT NULL AS rare FROM documents d
+       LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id LEFT JOIN unusual u ON u.doc_id = d.doc_id)
 SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS successful,
        count(*) FILTER (WHERE ok AND {has_numbers_sql('text')}) AS numbers,
        count(*) FILTER (WHERE ok AND regexp_matches(text, {q(C.NON_ENGLISH_PATTERN)})) AS non_english,
-       count(*) FILTER (WHERE ok AND {has_names_sql('text')}) AS unusual_proper_nouns FROM v""")
+       count(*) FILTER (WHERE ok AND rare) AS unusual_proper_nouns FROM v""")
 def stream_prevalence(spark, sf):
     _, src, out, ckpt = _paths(spark, "stream-prevalence")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
@@ -79,7 +80,7 @@ def stream_prevalence(spark, sf):
     ST.stream_prevalence(spark, src, schema, out, ckpt, labels)
     d.where(~first).write.mode("append").parquet(src)
     ST.stream_prevalence(spark, src, schema, out, ckpt, labels)
-    return ST.read_prevalence(spark, out)
+    return ST.read_prevalence(spark, out, labels, schema["doc_id"])
 
 
 @register("stream_chat_history", sql=f"""

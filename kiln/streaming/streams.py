@@ -54,29 +54,33 @@ def stream_prevalence(spark: SparkSession, src: str, schema: T.StructType, out:
                       answered: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_batch: int | None = 1) -> None:
     """Running quality and prevalence kept as streaming aggregation state:
     rows, rows with an answer (their id is in ``answered``, joined as it is
-    at each micro-batch), and of these the rows with numbers, non-English
-    letters and names.  Every micro-batch writes the current figures to a
-    folder of its own, ``epoch=N``, so that a reader (``read_prevalence``)
-    never sees a half-written one."""
+    at each micro-batch), and of these the rows with numbers and non-English
+    letters.  Every micro-batch writes the current figures to a folder of its
+    own, ``figures/epoch=N``, so that a reader never sees a half-written one.
+    Rare names, whose flags later rows may take back, are kept as in
+    ``stream_classify``, in ``names``; ``read_prevalence`` counts them."""
     s = _source(spark, src, schema, files_per_batch)
     valid = F.col("_answered").isNotNull()
     agg = (s.join(answered.select(id_col).distinct().withColumn("_answered", F.lit(True)), id_col, "left")
            .agg(F.count("*").alias("total"), F.count_if(valid).alias("successful"),
                 F.count_if(valid & C.rule_has_numbers(F.col(text_col))).alias("numbers"),
-                F.count_if(valid & C.rule_has_non_english(F.col(text_col))).alias("non_english"),
-                F.count_if(valid & C.rule_has_names(F.col(text_col))).alias("unusual_proper_nouns")))
+                F.count_if(valid & C.rule_has_non_english(F.col(text_col))).alias("non_english")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        batch.write.mode("overwrite").parquet(f"{out}/figures/epoch={epoch}")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", ckpt)
+    q = (agg.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", f"{ckpt}/figures")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    stream_rare_names(spark, src, schema, f"{out}/names", f"{ckpt}/names", id_col, text_col, files_per_batch=files_per_batch)
 
 
-def read_prevalence(spark: SparkSession, out: str) -> DataFrame:
-    """The figures of the last finished micro-batch."""
-    return spark.read.parquet(out).orderBy(F.desc("epoch")).limit(1).drop("epoch")
+def read_prevalence(spark: SparkSession, out: str, answered: DataFrame, id_field: T.StructField) -> DataFrame:
+    """The figures of the last finished micro-batch, with the answered ids that
+    have a rare name now."""
+    figures = spark.read.parquet(f"{out}/figures").orderBy(F.desc("epoch")).limit(1).drop("epoch")
+    rare = rare_name_ids(spark, f"{out}/names", id_field).join(answered.select(id_field.name).distinct(), id_field.name, "left_semi")
+    return figures.join(F.broadcast(rare.agg(F.count("*").alias("unusual_proper_nouns"))))  # one row
 
 
 class ChatHistory(StatefulProcessor):
