@@ -176,7 +176,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
     shares a bucket, and whether it is the group's hub."""
     member = reps.select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
     buckets = member.groupBy("bucket").agg(F.count("*").alias("met"), F.min("node").alias("first")).filter("met > 1")
-    # a sort-merge join at every size, so that growth can be told from a small run
+    # both sides grow with the documents: neither may be broadcast
     met = materialize(member.hint("merge").join(buckets, "bucket").groupBy("node", "first").agg(F.sum("met").alias("met")), "bucket-links")
     groups = connected_components(met.select(F.col("node").alias("u"), F.col("first").alias("v")))
     degree = met.groupBy("node").agg(F.sum("met").alias("degree")).join(groups, "node")
