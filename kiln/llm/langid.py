@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from kiln.llm.memo import LONGEST_KEY, slices
+from kiln.llm.memo import LONGEST_KEY, slices, tidy
 from kiln.session import materialize
 
 UNKNOWN = "und"
@@ -134,6 +134,7 @@ def key_counts(labelled: DataFrame) -> DataFrame:
     words too long to be keys; counted in each task first."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         counts: dict[tuple[str, bool], Counter] = {}
 
         def flush():
@@ -236,6 +237,7 @@ def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def clear(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tidy()
         scorer = Scorer(shared.value)
         for texts in batches:
             found = [scorer.score(t.as_py()) if t.is_valid else (UNKNOWN, 0.0) for t in texts]

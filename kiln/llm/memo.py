@@ -3,6 +3,8 @@ very long texts."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -42,3 +44,13 @@ def slices(text: str, size: int = 1 << 20) -> Iterator[str]:
         yield text[at:cut.start()]
         at = cut.start()
     yield text[at:] if at else text
+
+
+def tidy() -> None:
+    """Gives back what a task has left behind in its Python worker, which later
+    tasks use again: models and memos hold references in circles and would stay
+    until some later collection, beside those of the next task."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

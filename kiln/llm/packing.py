@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from kiln.llm.bpe import byte_alphabet
-from kiln.llm.memo import Memo, slices
+from kiln.llm.memo import Memo, slices, tidy
 from kiln.session import materialize
 
 #: The published pre-token pattern of the word vocabulary (fixed value).
@@ -144,21 +144,26 @@ def pieces(docs: DataFrame, path: str, piece_tokens: int, end_id: int) -> DataFr
         if path not in _open:
             _open[path] = WordEncoder(vocabulary.value)
         encoder, part, seen = _open[path], TaskContext.get().partitionId(), np.zeros(piece_tokens + 1, np.int64)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                rows = batch.slice(lo, 256)
-                out = []
-                for at, text in enumerate(rows.column("text").to_pylist()):
-                    ids = encoder.encode(text or "") + end
-                    for k, begin in enumerate(range(0, len(ids), 4 * piece_tokens)):
-                        own = ids[begin:begin + 4 * piece_tokens]
-                        length = len(own) // 4
-                        out.append((at, k, begin // 4, length, zlib.crc32(own), seen[length]))
-                        seen[length] += 1
-                at, k, start, length, crc, place = (np.array(x, np.int64) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id").take(pa.array(at)), pa.array(k.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc), pa.array(np.full(len(at), part)), pa.array(place)],
-                    ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"])
+        try:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):
+                    rows = batch.slice(lo, 256)
+                    out = []
+                    for at, text in enumerate(rows.column("text").to_pylist()):
+                        ids = encoder.encode(text or "") + end
+                        for k, begin in enumerate(range(0, len(ids), 4 * piece_tokens)):
+                            own = ids[begin:begin + 4 * piece_tokens]
+                            length = len(own) // 4
+                            out.append((at, k, begin // 4, length, zlib.crc32(own), seen[length]))
+                            seen[length] += 1
+                    at, k, start, length, crc, place = (np.array(x, np.int64) for x in zip(*out))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column("doc_id").take(pa.array(at)), pa.array(k.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc), pa.array(np.full(len(at), part)), pa.array(place)],
+                        ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"])
+        finally:
+            _open.clear()
+            encoder = None
+            tidy()
 
     return docs.select("doc_id", "text").mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part long, place long")
