@@ -141,6 +141,7 @@ def pieces(docs: DataFrame, path: str, piece_tokens: int, end_id: int) -> DataFr
     end = np.uint32(end_id).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         if path not in _open:
             _open[path] = WordEncoder(vocabulary.value)
         encoder, part, seen = _open[path], TaskContext.get().partitionId(), np.zeros(piece_tokens + 1, np.int64)
