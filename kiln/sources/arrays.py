@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, rows_a_batch
 
 _REST_OF_STRING = re.compile(r'(?:[^"\\]|\\.)*"?', re.S)
 _MARK = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}\[\]]', re.S)
@@ -101,7 +101,8 @@ def _chunks(spark: SparkSession, path: str, chunk_bytes: int) -> DataFrame:
             if held:
                 yield packed("".join(held), no)
 
-    return materialize(pieces.mapInArrow(pack, kind), "array-chunks")
+    with rows_a_batch(spark, 1024):
+        return materialize(pieces.mapInArrow(pack, kind), "array-chunks")
 
 
 def array_objects(spark: SparkSession, path: str, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -125,7 +126,8 @@ def array_objects(spark: SparkSession, path: str, chunk_bytes: int = 4 << 20) ->
                 yield pa.RecordBatch.from_arrays([pa.array([file] * len(out), pa.string()), pa.array([start] * len(out), pa.int64()), pa.array([no] * len(out), pa.int64()),
                                                   pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.string())], ["file", "start", "no", "seq", "text"])
 
-    found = materialize(given.mapInArrow(objects, kind), "array-objects")
+    with rows_a_batch(spark, 2):  # a row is a chunk
+        found = materialize(given.mapInArrow(objects, kind), "array-objects")
     # a part belongs to the object that the last beginning before it opened
     order = Window.partitionBy("file").orderBy("start", "no", "seq").rowsBetween(Window.unboundedPreceding, 0)
     parts = found.where("seq < 2").withColumn("_object", F.sum(F.col("seq")).over(order))

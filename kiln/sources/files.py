@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..session import rows_a_batch
+
 QUESTION_SCHEMA = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("air_date", T.StringType()),
@@ -76,22 +78,56 @@ def write_json(df: DataFrame, path: str, partition_by: str | None = None, mode:
     w.json(path)
 
 
+#: Text of an array that a task holds at once, and rows it takes at once.
+PIECE_BYTES, PIECE_ROWS = 1 << 20, 1024
+
+
 def write_json_arrays(objects: DataFrame, path: str, max_rows: int = 10_000, max_bytes: int = 8 << 20) -> None:
     """Files of one JSON array each, from one column of JSON objects as text.
     Every task cuts its rows into files of up to ``max_rows`` objects and
-    ``max_bytes`` bytes; a single larger object has a file of its own."""
+    ``max_bytes`` bytes; a single larger object has a file of its own.
+
+    An array is written as lines of up to ``PIECE_BYTES``, so a task holds two of
+    them and not the array.  All files have the same number of lines, the last
+    ones empty, by which the sink tells where one ends."""
+    lines = max(1, max_bytes // PIECE_BYTES)
+    most = max_bytes // lines
+
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        last, held, size = "", [], 0  # the line before, the objects of this one
+        written = used = count = 0  # lines, the room they take, objects of the file
+
+        def told(values: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
+
+        def end_line() -> Iterator[pa.RecordBatch]:
+            nonlocal last, held, size, written, used
+            if held:
+                if written:
+                    yield told([last])
+                last = ("," if written else "[") + ",".join(held)
+                written, used = written + 1, used + -(-(size + 2) // most)
+                held, size = [], 0
+
+        def end_file() -> Iterator[pa.RecordBatch]:
+            nonlocal last, written, used, count
+            yield told([last + "]"] + [""] * (lines - written))
+            last, written, used, count = "", 0, 0, 0
+
         for batch in batches:
             for value in batch.column(0):
                 value = value.as_py()
                 n = len(value.encode()) + 1
-                if held and (len(held) == max_rows or size + n + 1 > max_bytes):
-                    yield pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
-                    held, size = [], 0
+                if count == max_rows or size + n + 2 > most:
+                    yield from end_line()
+                if written and not held and (count == max_rows or used + -(-(n + 2) // most) > lines):
+                    yield from end_file()
                 held.append(value)
                 size += n
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
+                count += 1
+        yield from end_line()
+        if written:
+            yield from end_file()
 
-    objects.mapInArrow(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
+    with rows_a_batch(objects.sparkSession, PIECE_ROWS):
+        objects.mapInArrow(arrays, "value string").write.option("maxRecordsPerFile", lines).text(path)
