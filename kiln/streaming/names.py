@@ -9,7 +9,7 @@ the flags at any time are the ids with a positive sum.
 
 Scale: the words of a task are counted before the shuffle (a common word is
 one row a task and batch) with at most ``max_df + 1`` candidates each, as more
-cannot matter; a state holds at most ``max_df`` ids and lies in RocksDB, so
+cannot matter; a state holds at most ``max_df`` ids a word and lies in RocksDB, so
 the vocabulary may outgrow the memory.
 """
 
@@ -29,6 +29,12 @@ from ..operators import curation as C
 
 #: Words a task counts before it sends them on.
 HELD_WORDS = 200_000
+#: Input of a micro-batch: each commits every partition of the state, whatever
+#: it holds, so a batch is by bytes and not by files, which may be many and small.
+BATCH_BYTES = 1 << 30
+#: Keys of the state: a call of the state function costs a thousand times what a
+#: word in it costs, so words share keys by hash.  Fixed for a checkpoint.
+WORD_BUCKETS = 1 << 12
 
 
 @contextmanager
@@ -94,29 +100,39 @@ def merged(n: int, flagged: list, new_n: int, new_ids: list, max_df: int) -> tup
 
 
 def stream_rare_names(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str, id_col: str = "doc_id",
-                      text_col: str = "text", max_df: int = 2, files_per_batch: int | None = 1) -> None:
+                      text_col: str = "text", max_df: int = 2, files_per_batch: int | None = None) -> None:
     """Processes the files of ``src`` that are new since the last run and
     appends the changes of flags to ``out``."""
     from .streams import _source
 
     caps, cands = C.name_words(F.col(text_col))
-    given = _source(spark, src, schema, files_per_batch)
+    given = _source(spark, src, schema, files_per_batch, BATCH_BYTES)
     feat = given.where(F.col(id_col).isNotNull()).select(id_col, caps.alias("_caps"), cands.alias("_cands"))
     id_type = schema[id_col].dataType
     changes = _changes(schema[id_col])
-    state = T.StructType([T.StructField("n", T.LongType()), T.StructField("ids", T.ArrayType(id_type))])
+    state = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("n", T.ArrayType(T.LongType())),
+                          T.StructField("ids", T.ArrayType(T.ArrayType(id_type)))])
 
     def update(key, frames, group):
-        n, flagged = group.get if group.exists else (0, [])
-        more, ids = 0, []
+        held = {w: (n, ids) for w, n, ids in zip(*group.get)} if group.exists else {}
+        more: dict[str, tuple[int, list]] = {}
         for frame in frames:
-            more += int(frame["n"].sum())
-            ids += [i for some in frame["ids"] for i in some.tolist()]
-        n, flagged, out_rows = merged(n, list(flagged), more, ids, max_df)
-        group.update((n, flagged))
-        yield pd.DataFrame({id_col: [i for i, _ in out_rows], "word": [key[0]] * len(out_rows), "delta": [d for _, d in out_rows]})
-
-    found = word_counts(feat, id_col, max_df).groupBy("word").applyInPandasWithState(update, changes, state, "append", GroupStateTimeout.NoTimeout)
+            for word, n, ids in zip(frame["word"].tolist(), frame["n"].tolist(), frame["ids"]):
+                known, own = more.get(word, (0, []))
+                more[word] = known + n, own + ids.tolist()
+        out_rows = []
+        for word, (n, ids) in more.items():
+            before, flagged = held.get(word, (0, []))
+            total, flagged, changed = merged(before, list(flagged), n, ids, max_df)
+            held[word] = total, flagged
+            out_rows += [(i, word, d) for i, d in changed]
+        group.update((list(held), [n for n, _ in held.values()], [ids for _, ids in held.values()]))
+        if out_rows:
+            yield pd.DataFrame(out_rows, columns=[id_col, "word", "delta"])
+
+    bucket = F.pmod(F.xxhash64("word"), F.lit(WORD_BUCKETS)).cast("int")
+    counts = word_counts(feat, id_col, max_df).withColumn("bucket", bucket)
+    found = counts.groupBy("bucket").applyInPandasWithState(update, changes, state, "append", GroupStateTimeout.NoTimeout)
     with rocksdb(spark):
         q = (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
              .outputMode("append").trigger(availableNow=True).start())

@@ -18,23 +18,27 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators import curation as C
 from ..operators import retrieval as R
-from .names import rare_name_ids, rocksdb, stream_rare_names
+from .names import BATCH_BYTES, rare_name_ids, rocksdb, stream_rare_names
 
 
-def _source(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None) -> DataFrame:
+def _source(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None, batch_bytes: int | None = None) -> DataFrame:
+    """A micro-batch takes ``files_per_batch`` files, without that as many as
+    ``batch_bytes`` hold, without both all there are."""
     r = spark.readStream.schema(schema).format("parquet")
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
+    elif batch_bytes:
+        r = r.option("maxBytesPerTrigger", batch_bytes)
     return r.load(path)
 
 
 def stream_classify(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str,
-                    id_col: str = "doc_id", text_col: str = "text", files_per_batch: int | None = 1) -> None:
+                    id_col: str = "doc_id", text_col: str = "text", files_per_batch: int | None = None) -> None:
     """The rule flags of every arriving row: those that the row alone tells
     are appended to ``out/flags``, the changes of the rare-name flag, which
     later rows may take back, to ``out/names`` (both exactly once through
     their checkpoints).  ``read_classified`` joins them."""
-    s = _source(spark, src, schema, files_per_batch)
+    s = _source(spark, src, schema, files_per_batch, BATCH_BYTES)
     flags = s.select(id_col, C.rule_has_numbers(F.col(text_col)).alias(C.FLAGS[0]),
                      C.rule_has_non_english(F.col(text_col)).alias(C.FLAGS[1]))
     q = (flags.writeStream.format("parquet").option("path", f"{out}/flags").option("checkpointLocation", f"{ckpt}/flags")
@@ -51,7 +55,7 @@ def read_classified(spark: SparkSession, out: str, id_field: T.StructField) -> D
 
 
 def stream_prevalence(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str,
-                      answered: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_batch: int | None = 1) -> None:
+                      answered: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_batch: int | None = None) -> None:
     """Running quality and prevalence kept as streaming aggregation state:
     rows, rows with an answer (their id is in ``answered``, joined as it is
     at each micro-batch), and of these the rows with numbers and non-English
@@ -59,7 +63,7 @@ def stream_prevalence(spark: SparkSession, src: str, schema: T.StructType, out:
     own, ``figures/epoch=N``, so that a reader never sees a half-written one.
     Rare names, whose flags later rows may take back, are kept as in
     ``stream_classify``, in ``names``; ``read_prevalence`` counts them."""
-    s = _source(spark, src, schema, files_per_batch)
+    s = _source(spark, src, schema, files_per_batch, BATCH_BYTES)
     valid = F.col("_answered").isNotNull()
     agg = (s.join(answered.select(id_col).distinct().withColumn("_answered", F.lit(True)), id_col, "left")
            .agg(F.count("*").alias("total"), F.count_if(valid).alias("successful"),
