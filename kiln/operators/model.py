@@ -27,6 +27,7 @@ from .curation import FLAGS, classify_prompt
 Predictor = Callable[[Sequence[str]], Sequence[str]]
 
 _QUESTION = re.compile(r"\nQuestion: (.*)\nAnswer: ", re.S)
+_DIGIT, _FOREIGN = re.compile("[0-9]"), re.compile(r"[^\x00-\x7f]")
 _NAME = regex.compile(r"\p{L}[^.!?\n\p{L}]+\p{Lu}")
 
 
@@ -38,7 +39,7 @@ def rule_predictor(prompts: Sequence[str]) -> list[str]:
     for p in prompts:
         m = _QUESTION.search(p)
         q = m.group(1) if m else ""
-        answers = (any(ch.isdigit() and ch.isascii() for ch in q), any(ord(ch) > 127 and ch.isalpha() for ch in q), bool(_NAME.search(q)))
+        answers = (bool(_DIGIT.search(q)), any(ch[0].isalpha() for ch in _FOREIGN.finditer(q)), bool(_NAME.search(q)))
         out.append('{"has_numbers": %s, "has_non_english": %s, "has_unusual_proper_nouns": %s}' % tuple(str(a).lower() for a in answers))
     return out
 

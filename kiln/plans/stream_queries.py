@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import curation as C
 from ..operators import model as M
 from ..operators import prep as P
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources import arrays as A
 from ..sources import files as S
 from ..streaming import names as N
@@ -196,7 +196,7 @@ SELECT doc_id, regexp_matches({strip_sql('text')}, '[0-9]') AS llm_has_numbers,
 
 @register("classify_with_model", sql=MODEL_SQL)
 def classify_with_model(spark, sf):
-    return M.classify_with_model(documents_as_records(spark, sf), "doc_id").drop("error")
+    return M.classify_with_model(spread(documents_as_records(spark, sf), "doc_id"), "doc_id").drop("error")
 
 
 @register("stream_predictions", sql=MODEL_SQL)
