@@ -38,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from kiln.llm.memo import LONGEST_KEY, slices, tidy
-from kiln.session import materialize
+from kiln.llm.memo import LONGEST_KEY, slices, tidied, tidy
+from kiln.llm.rows import TEXTS_A_BATCH
+from kiln.session import materialize, rows_a_batch
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -133,8 +134,8 @@ def key_counts(labelled: DataFrame) -> DataFrame:
     """``lang, key, n, gram`` from ``text, lang``: words, and the n-grams of
     words too long to be keys; counted in each task first."""
 
+    @tidied
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tidy()
         counts: dict[tuple[str, bool], Counter] = {}
 
         def flush():
@@ -197,7 +198,8 @@ def learn(labelled: DataFrame, max_documents: int = 50_000, max_words: int = 50_
         if rows[lang] > share:
             some = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * share / rows[lang])
             labelled = labelled.filter((F.col("lang") != lang) | some)
-    counts = materialize(key_counts(labelled), "word-counts")
+    with rows_a_batch(labelled.sparkSession, TEXTS_A_BATCH):
+        counts = materialize(key_counts(labelled), "word-counts")
     marked = F.concat(F.lit("^"), "key", F.lit("$"))
     length = F.length(marked)
     grams = [F.transform(F.sequence(F.lit(1), length - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n))) for n in range(1, LONGEST + 1)]
@@ -239,9 +241,13 @@ def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
     def clear(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tidy()
         scorer = Scorer(shared.value)
-        for texts in batches:
-            found = [scorer.score(t.as_py()) if t.is_valid else (UNKNOWN, 0.0) for t in texts]
-            yield pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_())
+        try:
+            for texts in batches:
+                found = [scorer.score(t.as_py()) if t.is_valid else (UNKNOWN, 0.0) for t in texts]
+                yield pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_())
+        finally:
+            scorer = None
+            tidy()
 
     return docs.filter(clear(F.col("text")))
 

@@ -7,6 +7,9 @@ import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 
 #: Longer keys are computed each time, so that a memo's memory stays bounded.
 LONGEST_KEY = 64
@@ -49,8 +52,23 @@ def slices(text: str, size: int = 1 << 20) -> Iterator[str]:
 def tidy() -> None:
     """Gives back what a task has left behind in its Python worker, which later
     tasks use again: models and memos hold references in circles and would stay
-    until some later collection, beside those of the next task."""
+    until some later collection, beside those of the next task.  Arrow
+    keeps the memory of batches in a pool of its own."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim:
         trim(0)
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task's function, which gives back what tasks before it have left in
+    its worker and, at its end, what it leaves itself."""
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        tidy()
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+    return task

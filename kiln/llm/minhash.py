@@ -40,9 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kiln.llm.components import connected_components
-from kiln.llm.rows import numbered
+from kiln.llm.memo import tidied
+from kiln.llm.rows import TEXTS_A_BATCH, numbered
 from kiln.llm.shingles import mix, sets_of
-from kiln.session import materialize
+from kiln.session import materialize, rows_a_batch
 
 BANDS, ROWS = 40, 5
 _SCATTER, _SHIFT, _ODD = np.uint64(0x2545F4914F6CDD1D), 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
@@ -82,6 +83,7 @@ def _signed(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
+    @tidied
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, keys, bands = _signed(batch.column("text"), width)
@@ -155,6 +157,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 
 def _in_tasks(frame: DataFrame, keys: list[str], order: list[str], compare) -> DataFrame:
     """Edges ``u, v`` of ``compare(rows)`` for each group of ``keys``."""
+    @tidied
     def run(batches):
         found = []
         for _, rows in _grouped(batches, keys):
@@ -190,6 +193,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     names = wanted.columns
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema)
 
+    @tidied
     def shingled(batches):
         for batch in batches:
             found = [s.tobytes() for _, sets in sets_of(batch.column("text"), width) for s in sets]
@@ -251,13 +255,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
 
 def _near_duplicates(docs: DataFrame, width: int, percent: int, block: int = 256) -> DataFrame:
     """``near_duplicates`` of written rows that have their number (``row``)."""
-    signed = materialize(_signatures(docs, width), "signatures")
-    sets = signed.filter("n > 0")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    classes = materialize(sets.groupBy("key", "key2", "n").agg(F.min("row").alias("node"), F.min(place).alias("first"), F.count("*").alias("rows")), "set-classes")
-    reps = sets.hint("merge").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    edges = _confirmed(docs, _candidates(reps), width, percent, block)
-    roots = connected_components(edges)
+    with rows_a_batch(docs.sparkSession, TEXTS_A_BATCH):
+        signed = materialize(_signatures(docs, width), "signatures")
+        sets = signed.filter("n > 0")
+        place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+        classes = materialize(sets.groupBy("key", "key2", "n").agg(F.min("row").alias("node"), F.min(place).alias("first"), F.count("*").alias("rows")), "set-classes")
+        reps = sets.hint("merge").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+        edges = _confirmed(docs, _candidates(reps), width, percent, block)
+        roots = connected_components(edges)
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = grouped.groupBy("root").agg(F.min("first").alias("best"), F.sum("rows").alias("members")).filter("members > 1")
     decided = grouped.join(best, "root").select("key", "key2", "n", "best")

@@ -42,7 +42,8 @@ from pyspark.sql.window import Window
 
 from kiln.llm.bpe import byte_alphabet
 from kiln.llm.memo import Memo, slices, tidy
-from kiln.session import materialize
+from kiln.llm.rows import TEXTS_A_BATCH
+from kiln.session import materialize, rows_a_batch
 
 #: The published pre-token pattern of the word vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
@@ -223,7 +224,8 @@ def best_fit(histogram: dict[int, int], capacity: Capacity, rule: str = "dot") -
 def pack(docs: DataFrame, path: str, capacity: Capacity = Capacity(), end_id: int = 1, rule: str = "dot") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of
     every piece; a sequence's pieces lie at gapless offsets from 0."""
-    cut = materialize(pieces(docs, path, capacity.piece, end_id), "pieces")
+    with rows_a_batch(docs.sparkSession, TEXTS_A_BATCH):
+        cut = materialize(pieces(docs, path, capacity.piece, end_id), "pieces")
     spread = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = spread.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     histogram = {r["length"]: r["n"] for r in spread.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row a length

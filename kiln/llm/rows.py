@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from kiln.session import materialize
 
+#: Whole texts handed to Python at a time: a batch is held by the JVM, and
+#: again by the worker, in every running task.
+TEXTS_A_BATCH = 1024
+
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """``row, doc``: the rows of ``df`` as structs, each with a number that is

@@ -209,3 +209,55 @@ def test_sets_of_words():
     rows = ["A b\tc d", "a  B\nC D", None, "", "one two", "ein wort zwei drei"]
     (_, sets), = sets_of(pa.array(rows), 3)
     assert [len(s) for s in sets] == [2, 2, 0, 0, 1, 1] and (sets[0] == sets[1]).all()
+
+
+def test_no_task_of_cut_repeats_needs_two_workers(spark, tmp_path, capsys):
+    """A Python step right on top of another has a worker of its own, which stays."""
+    spark.createDataFrame([(1, "a text", 6)], "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "d"))
+    cut_repeats(spark.read.parquet(str(tmp_path / "d"))).explain()
+    steps = [re.match(r"[\s:|+-]*(\w+)", line)[1] for line in capsys.readouterr().out.splitlines() if re.match(r"[\s:|]*\+- ", line)]
+    steps = [s for s in steps if s != "Project"]
+    assert "MapInArrow" in steps and ("MapInArrow", "MapInArrow") not in set(itertools.pairwise(steps))
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    from kiln.llm import minhash, rows, suffix_dedup
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), {}
+    for module in (minhash, suffix_dedup):
+        def keep(df, name, write=module.materialize):
+            seen[name] = int(spark.conf.get(key))
+            return write(df, name)
+        monkeypatch.setattr(module, "materialize", keep)
+    docs = spark.createDataFrame([(i, f"one text of some words {i}") for i in range(4)], "doc_id long, text string")
+    assert near_duplicates(docs).count() == repeat_digests(docs).count() == 4
+    texts = ("signatures", "candidate-sets", "hub-links", "repeated-grams", "repeated-segments")
+    assert {seen[name] for name in texts} == {rows.TEXTS_A_BATCH} and spark.conf.get(key) == before
+
+
+def test_a_task_gives_back_what_it_leaves():
+    import gc
+    import weakref
+
+    from kiln.llm.memo import tidied
+    left = []
+
+    class Model:
+        pass
+
+    @tidied
+    def run(batches):
+        model = Model()
+        model.own = model  # held in a circle
+        left.append(weakref.ref(model))
+        yield from batches
+
+    gc.disable()
+    try:
+        assert list(run(iter([1, 2]))) == [1, 2] and left[0]() is None
+        early = run(iter([1, 2]))
+        assert next(early) == 1 and left[1]() is not None
+        early.close()
+        assert left[1]() is None
+    finally:
+        gc.enable()
